@@ -16,7 +16,7 @@ from curbline.operators.zones import zone_dimension
 from curbline.plans import bronze, gold, replay, reports
 from curbline.plans.lake import Lake
 from curbline.schema import DROPOFF, PICKUP, conform, struct_of
-from curbline.session import fresh_path, keep
+from curbline.session import apply_settings, fresh_path
 from curbline.sources import samples
 from curbline.sources.files import file_stream, read_zone_lookup
 from curbline.streaming.tables import drain_to_table
@@ -31,8 +31,7 @@ STAMP = "_gold_updated_at"
 
 
 def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return samples.trips(spark, sf_dir)
+    return samples.trips(apply_settings(spark), sf_dir)
 
 
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -106,7 +105,7 @@ def trips_day_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def events_day_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_settings(spark)
     events = spark.read.schema(struct_of(samples.EVENT_COLUMNS)).parquet(f"{sf_dir}/events.parquet")
     day = one_day(events, "ts", date(2024, 1, 15))
     return day.select(
@@ -226,7 +225,7 @@ def gold_tables_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def conform_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_settings(spark)
     wanted = samples.EVENT_COLUMNS | {"user_id": "double"}
     typed = conform(samples.events(spark, sf_dir), wanted)
     return typed.select(
@@ -242,7 +241,7 @@ def conform_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_settings(spark)
     lake = Lake(spark, f"curbline_{uuid.uuid4().hex}", f"{sf_dir}/events.parquet")
     lake.create(fresh_path(spark, "lake"))
     events = file_stream(spark, lake.landing, samples.EVENT_COLUMNS)
@@ -302,6 +301,15 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # The same results in SQL
 # ---------------------------------------------------------------------------
 
+
+def _round(expression: str, digits: int) -> str:
+    """Half-up rounding of the decimal text of a double.
+
+    DuckDB rounds the binary value, which takes 16.435 to 16.43; Spark gives 16.44.
+    """
+    return f"CAST(round(CAST(CAST({expression} AS VARCHAR) AS DECIMAL(38, 20)), {digits}) AS DOUBLE)"
+
+
 _FIELDS = ", ".join(f"{expression} AS {name}" for name, expression in samples.TRIP_FIELDS.items())
 
 _TRIPS = f"""
@@ -309,24 +317,24 @@ trips AS (SELECT {_FIELDS} FROM lineitem)"""
 
 _SILVER = (
     _TRIPS
-    + """,
+    + f""",
 gated AS (
   SELECT *, CAST(do_sec - pu_sec AS DOUBLE) AS secs FROM trips
   WHERE do_sec > pu_sec AND do_sec - pu_sec < 86400 AND total_amount < 1000),
 measured AS (
   SELECT *,
-    round(secs / 60, 2) AS trip_duration_mins,
-    CASE WHEN fare_amount > 0 THEN round(tip_amount / fare_amount * 100, 1) ELSE 0.0 END AS tip_pct,
+    {_round("secs / 60", 2)} AS trip_duration_mins,
+    CASE WHEN fare_amount > 0 THEN {_round("tip_amount / fare_amount * 100", 1)} ELSE 0.0 END AS tip_pct,
     CASE payment_type WHEN 1 THEN 'credit_card' WHEN 2 THEN 'cash' WHEN 3 THEN 'no_charge'
       WHEN 4 THEN 'dispute' ELSE 'unknown' END AS payment_type_desc,
     CAST(extract(hour FROM make_timestamp(pu_sec * 1000000)) AS INTEGER) AS pickup_hour,
     CAST(CAST(make_timestamp(pu_sec * 1000000) AS DATE) AS VARCHAR) AS pickup_date,
-    CASE WHEN trip_distance > 0 THEN round(fare_amount / trip_distance, 2) END AS fare_per_mile
+    CASE WHEN trip_distance > 0 THEN {_round("fare_amount / trip_distance", 2)} END AS fare_per_mile
   FROM gated),
 labelled AS (
   SELECT *,
     CASE WHEN trip_duration_mins > 0 AND trip_distance > 0
-      THEN round(trip_distance / (trip_duration_mins / 60), 2) END AS speed_mph,
+      THEN {_round("trip_distance / (trip_duration_mins / 60)", 2)} END AS speed_mph,
     CASE WHEN pickup_hour < 6 THEN 'night' WHEN pickup_hour < 12 THEN 'morning'
       WHEN pickup_hour < 17 THEN 'afternoon' WHEN pickup_hour < 21 THEN 'evening'
       ELSE 'night' END AS time_of_day
@@ -348,12 +356,12 @@ silver AS (
 
 _SHARED_KPIS = """
     count(*) AS total_trips,
-    round(sum(CASE WHEN is_anomaly = FALSE THEN total_amount ELSE 0.0 END), 2) AS total_revenue_usd,
-    round(avg(fare_amount), 2) AS avg_fare_usd,
-    round(avg(trip_distance), 2) AS avg_distance_miles,
-    round(avg(trip_duration_mins), 1) AS avg_duration_mins,
-    round(avg(tip_pct), 1) AS avg_tip_pct,
-    round(avg(speed_mph), 1) AS avg_speed_mph,
+    {_round("sum(CASE WHEN is_anomaly = FALSE THEN total_amount ELSE 0.0 END)", 2)} AS total_revenue_usd,
+    {_round("avg(fare_amount)", 2)} AS avg_fare_usd,
+    {_round("avg(trip_distance)", 2)} AS avg_distance_miles,
+    {_round("avg(trip_duration_mins)", 1)} AS avg_duration_mins,
+    {_round("avg(tip_pct)", 1)} AS avg_tip_pct,
+    {_round("avg(speed_mph)", 1)} AS avg_speed_mph,
     CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS anomaly_count"""
 
 _ZONES = """
@@ -369,7 +377,7 @@ _ZONE_KPIS = (
     + f""",
 per_zone AS (
   SELECT PULocationID AS location_id, {_SHARED_KPIS},
-    round(count(*) FILTER (WHERE payment_type_desc = 'credit_card') * CAST(100 AS DOUBLE) / count(*), 1)
+    {_round("count(*) FILTER (WHERE payment_type_desc = 'credit_card') * CAST(100 AS DOUBLE) / count(*)", 1)}
       AS credit_card_pct
   FROM silver WHERE PULocationID IS NOT NULL GROUP BY PULocationID),
 zone_kpis AS (
@@ -452,8 +460,8 @@ SELECT CAST(sum(CAST(anomaly_zero_fare AS INTEGER)) AS BIGINT) AS zero_fare,
   CAST(sum(CAST(is_anomaly AS INTEGER)) AS BIGINT) AS total_anomalies
 FROM silver""",
         "time_of_day_kpis": f"""WITH {_SILVER}
-SELECT time_of_day, count(*) AS trip_count, round(avg(fare_amount), 2) AS avg_fare,
-  round(avg(tip_pct), 1) AS avg_tip_pct
+SELECT time_of_day, count(*) AS trip_count, {_round("avg(fare_amount)", 2)} AS avg_fare,
+  {_round("avg(tip_pct)", 1)} AS avg_tip_pct
 FROM silver GROUP BY time_of_day""",
         "zone_dim": f"WITH {_ZONES} SELECT * FROM zones",
         "zone_kpis": f"WITH {_ZONE_KPIS} SELECT * FROM zone_kpis",
@@ -464,16 +472,16 @@ FROM zone_kpis ORDER BY revenue_rank_overall, location_id LIMIT 15""",
         "hourly_kpis": f"WITH {_SILVER}, {_HOURLY_KPIS} SELECT * FROM hourly_kpis",
         "quality_report": f"""WITH {_SILVER}, {_TALLIES}
 SELECT bronze_rows, silver_rows, bronze_rows - silver_rows AS dropped_rows, anomalies,
-  round(anomalies * CAST(100 AS DOUBLE) / nullif(silver_rows, 0), 1) AS anomaly_rate_pct
+  {_round("anomalies * CAST(100 AS DOUBLE) / nullif(silver_rows, 0)", 1)} AS anomaly_rate_pct
 FROM tallies""",
         "run_report": f"""WITH {_ZONE_KPIS}, {_HOURLY_KPIS}, {_TALLIES},
 peak AS (SELECT * FROM hourly_kpis ORDER BY revenue_rank, pickup_hour LIMIT 1),
 top AS (SELECT * FROM zone_kpis ORDER BY revenue_rank_overall, location_id LIMIT 1)
 SELECT bronze_rows, silver_rows, bronze_rows - silver_rows AS dropped_rows, anomalies,
-  round(anomalies * CAST(100 AS DOUBLE) / nullif(silver_rows, 0), 1) AS anomaly_rate_pct,
+  {_round("anomalies * CAST(100 AS DOUBLE) / nullif(silver_rows, 0)", 1)} AS anomaly_rate_pct,
   (SELECT count(*) FROM zone_kpis) AS zone_rows,
   (SELECT count(*) FROM hourly_kpis) AS hourly_rows,
-  (SELECT round(sum(total_revenue_usd), 2) FROM zone_kpis) AS total_revenue_usd,
+  (SELECT {_round("sum(total_revenue_usd)", 2)} FROM zone_kpis) AS total_revenue_usd,
   (SELECT pickup_hour FROM peak) AS peak_hour,
   (SELECT total_revenue_usd FROM peak) AS peak_hour_revenue_usd,
   (SELECT location_id FROM top) AS top_location_id,
@@ -491,17 +499,17 @@ stored AS (
   UNION ALL
   SELECT 'hours', total_trips, total_revenue_usd, anomaly_count FROM hourly_kpis)
 SELECT table_name, count(*) AS row_count, CAST(sum(total_trips) AS BIGINT) AS trips,
-  round(sum(total_revenue_usd), 2) AS revenue_usd,
+  {_round("sum(total_revenue_usd)", 2)} AS revenue_usd,
   CAST(sum(anomaly_count) AS BIGINT) AS anomalies
 FROM stored GROUP BY table_name""",
         "conform_events": """
 SELECT event_id, epoch_us(ts) AS ts_micros, 'timestamp' AS ts_type,
   CAST(user_id AS DOUBLE) AS user_id, 'double' AS user_id_type, event_type, value, props
 FROM events""",
-        "stream_hourly_windows": """
+        "stream_hourly_windows": f"""
 WITH hours AS (
   SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events,
-    round(sum(value), 2) AS total_value
+    {_round("sum(value)", 2)} AS total_value
   FROM events GROUP BY 1, 2)
 SELECT CAST(epoch(start) AS BIGINT) AS window_start, event_type, events, total_value FROM hours
 WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",

@@ -21,10 +21,11 @@ HOUR_IN_PATH = r"hour[_=](\d+)"
 
 def first_match(cases: Iterable[tuple[Column, str]], default: str) -> Column:
     """The label of the first case that holds, else ``default``."""
-    label = F.lit(default)
-    for holds, text in reversed(list(cases)):
-        label = F.when(holds, F.lit(text)).otherwise(label)
-    return label
+    (holds, text), *others = cases
+    label = F.when(holds, text)
+    for holds, text in others:
+        label = label.when(holds, text)
+    return label.otherwise(default)
 
 
 def payment_label(code: Column) -> Column:

@@ -21,10 +21,10 @@ def rank_descending(rows: DataFrame, measure: str, out: str, slices: int = SLICE
     rows (see ``session.keep``).
     """
     value = F.col(measure)
-    tally = rows.groupBy(measure).agg(F.count(F.lit(1)).alias("_rows"))
-
     steps = [step / slices for step in range(1, slices)]
-    cuts = sorted(set(tally.approxQuantile(measure, steps, 0.25 / slices)))
+    cuts = sorted(set(rows.approxQuantile(measure, steps, 0.25 / slices)))
+
+    tally = rows.groupBy(measure).agg(F.count(F.lit(1)).alias("_rows"))
     tally = tally.withColumn("_slice", _slice_of(value, cuts))
 
     totals = tally.groupBy("_slice").agg(F.sum("_rows").alias("_in_slice"))

@@ -17,6 +17,7 @@ def spark(tmp_path_factory):
         spark__master="local[8]",
         spark__sql__shuffle__partitions="8",
         spark__ui__enabled="false",
+        spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )

@@ -1,0 +1,227 @@
+from __future__ import annotations
+
+import math
+from datetime import date, datetime, timedelta
+from decimal import ROUND_HALF_UP, Decimal
+
+import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
+
+from curbline.operators.refine import DERIVED_COLUMNS, FLAG_COLUMNS, quality_gate, refine
+from curbline.plans.reports import gate_report
+from curbline.schema import DROPOFF, PICKUP, TRIP_COLUMNS
+from tests.rows import START, frame, trip
+
+RESULTS = [*DERIVED_COLUMNS, *FLAG_COLUMNS, "is_anomaly"]
+
+
+def refined(spark, *trips):
+    return [row.asDict() for row in refine(frame(spark, list(trips))).collect()]
+
+
+def test_silver_columns_and_types(spark):
+    silver = refine(frame(spark, [trip()]))
+    assert silver.columns == [*TRIP_COLUMNS, *RESULTS, "_silver_timestamp"]
+    kinds = dict(silver.dtypes)
+    assert [kinds[name] for name in DERIVED_COLUMNS] == [
+        "double", "double", "double", "string", "int", "date", "string", "double",
+    ]
+    assert {kinds[name] for name in [*FLAG_COLUMNS, "is_anomaly"]} == {"boolean"}
+    assert kinds["_silver_timestamp"] == "timestamp"
+
+
+KEPT = [
+    trip(seconds=0.5),
+    trip(seconds=1),
+    trip(seconds=24 * 3600 - 1),
+    trip(seconds=24 * 3600 - 0.1),
+    trip(total_amount=999.99),
+    trip(total_amount=-5.0),
+    trip(fare_amount=None, tip_amount=None, trip_distance=None, PULocationID=None),
+]
+DROPPED = [
+    trip(**{PICKUP: None}),
+    trip(**{DROPOFF: None}),
+    trip(seconds=0),
+    trip(seconds=-60),
+    trip(seconds=24 * 3600),
+    trip(total_amount=1000.0),
+    trip(total_amount=None),
+    trip(total_amount=math.nan),
+]
+
+
+def test_gate_boundaries(spark):
+    assert quality_gate(frame(spark, KEPT)).count() == len(KEPT)
+    assert quality_gate(frame(spark, DROPPED)).count() == 0
+
+
+def test_gate_report_counts_each_check(spark):
+    row = gate_report(frame(spark, KEPT + DROPPED)).first().asDict()
+    assert row == {
+        "rows_in": 15,
+        "rows_kept": 7,
+        "rows_dropped": 8,
+        "fails_pickup_known": 1,
+        "fails_dropoff_known": 1,
+        "fails_ends_after_start": 4,
+        "fails_within_a_day": 3,
+        "fails_total_in_range": 3,
+    }
+
+
+@pytest.mark.parametrize(
+    ("made", "expected"),
+    [
+        (trip(), {"trip_duration_mins": 30.0, "speed_mph": 10.0, "tip_pct": 15.0, "fare_per_mile": 4.0}),
+        (trip(seconds=0.9), {"trip_duration_mins": 0.0, "speed_mph": None, "anomaly_speed": None}),
+        (trip(seconds=1), {"trip_duration_mins": 0.02, "speed_mph": 15000.0, "anomaly_speed": True}),
+        (trip(seconds=30.9), {"trip_duration_mins": 0.5}),
+        (trip(trip_distance=0.0), {"speed_mph": None, "fare_per_mile": None, "is_anomaly": None}),
+        (trip(trip_distance=None), {"speed_mph": None, "fare_per_mile": None, "is_anomaly": None}),
+        (trip(seconds=3600, trip_distance=120.0), {"speed_mph": 120.0, "anomaly_speed": False}),
+        (trip(seconds=3600, trip_distance=120.01), {"speed_mph": 120.01, "anomaly_speed": True}),
+        (trip(seconds=300 * 60), {"anomaly_long_trip": False, "is_anomaly": False}),
+        (trip(seconds=300 * 60 + 1), {"trip_duration_mins": 300.02, "anomaly_long_trip": True}),
+        (trip(fare_amount=0.0), {"tip_pct": 0.0, "anomaly_zero_fare": True, "is_anomaly": True}),
+        (trip(fare_amount=0.0, trip_distance=0.0), {"anomaly_zero_fare": False, "is_anomaly": None}),
+        (trip(fare_amount=None), {"tip_pct": 0.0, "anomaly_zero_fare": None, "is_anomaly": None}),
+        (trip(fare_amount=-1.0), {"tip_pct": 0.0, "anomaly_negative_amount": True}),
+        (trip(tip_amount=-1.0), {"tip_pct": -5.0, "anomaly_negative_amount": True}),
+        (trip(total_amount=-1.0), {"anomaly_negative_amount": True, "is_anomaly": True}),
+        (trip(tip_amount=None), {"tip_pct": None, "anomaly_negative_amount": None, "is_anomaly": None}),
+        (trip(passenger_count=0.0), {"anomaly_no_passengers": True, "is_anomaly": True}),
+        (trip(passenger_count=None), {"anomaly_no_passengers": True, "is_anomaly": True}),
+        (trip(passenger_count=None, tip_amount=None), {"is_anomaly": True}),
+        # Rounding is half up on the decimal text.
+        (trip(trip_distance=3.0, fare_amount=49.305), {"fare_per_mile": 16.44}),
+    ],
+)
+def test_measures_and_flags(spark, made, expected):
+    (row,) = refined(spark, made)
+    assert {name: row[name] for name in expected} == expected
+
+
+def test_labels(spark):
+    hours = [0, 5, 6, 11, 12, 16, 17, 20, 21, 23]
+    rows = refined(spark, *(trip(**{PICKUP: START.replace(hour=hour)}, seconds=60) for hour in hours))
+    parts = ["night"] * 2 + ["morning"] * 2 + ["afternoon"] * 2 + ["evening"] * 2 + ["night"] * 2
+    assert [(row["pickup_hour"], row["time_of_day"]) for row in rows] == list(zip(hours, parts))
+    assert {row["pickup_date"] for row in rows} == {date(2024, 1, 1)}
+
+    codes = [0, 1, 2, 3, 4, 5, None]
+    rows = refined(spark, *(trip(payment_type=code) for code in codes))
+    assert [row["payment_type_desc"] for row in rows] == [
+        "unknown", "credit_card", "cash", "no_charge", "dispute", "unknown", "unknown",
+    ]
+
+
+# A model of the refinement in plain Python, to check random trips against.
+
+
+def half_up(value: float, digits: int) -> float:
+    return float(Decimal(repr(value)).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP))
+
+
+def either(*flags):
+    return True if True in flags else None if None in flags else False
+
+
+def both(*flags):
+    return False if False in flags else None if None in flags else True
+
+
+def test_against(value, test):
+    return None if value is None else test(value)
+
+
+test_against.__test__ = False
+
+
+def whole_seconds(moment: datetime) -> int:
+    return (moment - datetime(1970, 1, 1)) // timedelta(seconds=1)
+
+
+def model(made: dict) -> dict | None:
+    pickup, dropoff, total = made[PICKUP], made[DROPOFF], made["total_amount"]
+    if pickup is None or dropoff is None or dropoff <= pickup or total is None or total >= 1000:
+        return None
+    seconds = whole_seconds(dropoff) - whole_seconds(pickup)
+    if seconds >= 86400:
+        return None
+    fare, tip, miles = made["fare_amount"], made["tip_amount"], made["trip_distance"]
+    minutes = half_up(seconds / 60, 2)
+    moved = miles is not None and miles > 0
+    speed = half_up(miles / (minutes / 60), 2) if moved and minutes > 0 else None
+    hour = pickup.hour
+    flags = {
+        "anomaly_zero_fare": both(
+            test_against(fare, lambda x: x == 0), test_against(miles, lambda x: x > 0)
+        ),
+        "anomaly_speed": test_against(speed, lambda x: x > 120),
+        "anomaly_long_trip": minutes > 300,
+        "anomaly_negative_amount": either(
+            *(test_against(amount, lambda x: x < 0) for amount in (fare, tip, total))
+        ),
+        "anomaly_no_passengers": made["passenger_count"] in (None, 0.0),
+    }
+    if fare is None or fare <= 0:
+        tip_pct = 0.0
+    else:
+        tip_pct = None if tip is None else half_up(tip / fare * 100, 1)
+    return {
+        "trip_duration_mins": minutes,
+        "speed_mph": speed,
+        "tip_pct": tip_pct,
+        "payment_type_desc": {1: "credit_card", 2: "cash", 3: "no_charge", 4: "dispute"}.get(
+            made["payment_type"], "unknown"
+        ),
+        "pickup_hour": hour,
+        "pickup_date": pickup.date(),
+        "time_of_day": "night"
+        if hour < 6 or hour >= 21
+        else "morning" if hour < 12 else "afternoon" if hour < 17 else "evening",
+        "fare_per_mile": half_up(fare / miles, 2) if moved and fare is not None else None,
+        **flags,
+        "is_anomaly": either(*flags.values()),
+    }
+
+
+def maybe(strategy):
+    return st.one_of(st.none(), strategy)
+
+
+cents = st.integers(-5_000, 120_000).map(lambda n: n / 100)
+moments = st.datetimes(datetime(1969, 12, 30), datetime(2024, 2, 1))
+spans = st.one_of(
+    st.integers(-120_000_000, 120_000_000).map(lambda n: timedelta(microseconds=n)),
+    st.integers(-100, 90_000).map(lambda n: timedelta(seconds=n)),
+)
+random_trips = st.builds(
+    lambda pickup, span, lost_dropoff, rest: rest
+    | {PICKUP: pickup, DROPOFF: None if lost_dropoff or not pickup else pickup + span},
+    maybe(moments),
+    spans,
+    st.integers(0, 9).map(lambda n: n == 0),
+    st.fixed_dictionaries(
+        {
+            "passenger_count": maybe(st.sampled_from([0.0, 1.0, 2.0])),
+            "trip_distance": maybe(st.integers(0, 50_000).map(lambda n: n / 100)),
+            "payment_type": maybe(st.integers(0, 6)),
+            "fare_amount": maybe(st.one_of(st.just(0.0), cents)),
+            "tip_amount": maybe(cents),
+            "total_amount": maybe(cents),
+        }
+    ),
+)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(random_trips, min_size=200, max_size=200))
+def test_random_trips_match_the_model(spark, trips):
+    numbered = [made | {"VendorID": number} for number, made in enumerate(trips)]
+    expected = {n: result for n, made in enumerate(trips) if (result := model(made))}
+    rows = refine(frame(spark, numbered)).select("VendorID", *RESULTS).collect()
+    got = {row.VendorID: {name: row[name] for name in RESULTS} for row in rows}
+    assert got == expected
