@@ -1,10 +1,15 @@
 from __future__ import annotations
 
+import os
 import sys
+import time
 from pathlib import Path
 
 import pytest
 
+os.environ["TZ"] = "UTC"  # naive datetimes in test rows mean UTC
+time.tzset()
+
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 from curbline.session import build_session  # noqa: E402
