@@ -39,12 +39,13 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     options = parse(argv)
+    limit = options.max_files_per_trigger
     lake = Lake(
         build_session(),
         options.database,
         options.landing,
         table_format=options.table_format,
-        max_files_per_trigger=options.max_files_per_trigger,
+        source_options={"maxFilesPerTrigger": str(limit)} if limit else {},
     )
     lake.create(options.database_location)
     lake.use()

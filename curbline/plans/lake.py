@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Mapping
+from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,13 +16,14 @@ from curbline.sources.files import read_trips, read_zone_lookup
 @dataclass(frozen=True)
 class Lake:
     """Names and paths of one installation. ``landing`` and the database lie on storage
-    that every executor reaches."""
+    that every executor reaches. ``source_options`` limit what one micro-batch of the
+    bronze and silver streams takes, as in ``{"maxFilesPerTrigger": "10000"}``."""
 
     spark: SparkSession
     database: str
     landing: str
     table_format: str = "parquet"
-    max_files_per_trigger: int | None = None
+    source_options: Mapping[str, str] = field(default_factory=dict)
 
     @property
     def bronze(self) -> str:
@@ -67,13 +69,17 @@ class Lake:
             self.spark,
             self.landing,
             self.bronze,
-            max_files_per_trigger=self.max_files_per_trigger,
+            source_options=self.source_options,
             table_format=self.table_format,
         )
 
     def fill_silver(self) -> None:
         silver.refine_table(
-            self.spark, self.bronze, self.silver, table_format=self.table_format
+            self.spark,
+            self.bronze,
+            self.silver,
+            source_options=self.source_options,
+            table_format=self.table_format,
         )
 
     def fill_gold(self, zones: DataFrame) -> None:

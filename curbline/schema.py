@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-# The published record layout of the yellow-cab trip files.
+# The record layout of the published trip files.
 TRIP_COLUMNS = {
     "VendorID": "long",
     "tpep_pickup_datetime": "timestamp",

@@ -34,14 +34,12 @@ def file_stream(
     spark: SparkSession,
     path: str,
     columns: Mapping[str, str] = TRIP_COLUMNS,
-    max_files_per_trigger: int | None = None,
     **options: str,
 ) -> DataFrame:
     """New Parquet files anywhere below ``path``, as a stream with a declared schema.
 
     Batches arrive in sub-folders, which a file stream reads only with recursive lookup.
+    ``options`` are those of the file source, such as ``maxFilesPerTrigger``.
     """
     reader = spark.readStream.schema(struct_of(columns)).option("recursiveFileLookup", True)
-    if max_files_per_trigger is not None:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     return reader.options(**options).parquet(path)

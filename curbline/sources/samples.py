@@ -1,6 +1,6 @@
 """Trips, zones and events over the test tables.
 
-The test tables are not taxi data. ``TRIP_FIELDS`` maps ``lineitem`` to trips so that
+The test tables hold no trips. ``TRIP_FIELDS`` maps ``lineitem`` to trips so that
 every quality check and anomaly rule has rows on both sides; the expressions mean the
 same in Spark SQL and DuckDB, and the checks in ``__spark_entry__`` use them too.
 """

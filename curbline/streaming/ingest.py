@@ -8,8 +8,16 @@ from pyspark.sql import functions as F
 from curbline.functions.labels import hour_in_path
 
 
+INGEST_COLUMNS = {
+    "_ingest_timestamp": "timestamp",
+    "_source_file": "string",
+    "_kafka_offset_sim": "long",
+    "_batch_hour": "int",
+}
+
+
 def with_ingest_columns(files: DataFrame) -> DataFrame:
-    """Add the four ingest columns to a file scan.
+    """Add INGEST_COLUMNS to a file scan.
 
     ``_kafka_offset_sim`` is the row's position in its file. Together with
     ``_source_file`` it identifies a row, and a replayed micro-batch gives it the same

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import timedelta
+from pathlib import Path
 
 import pytest
 from pyspark.errors import StreamingQueryException
@@ -11,7 +12,7 @@ from curbline.operators.refine import refine
 from curbline.operators.totals import HOUR, total_up
 from curbline.plans import bronze, gold
 from curbline.plans.lake import Lake
-from curbline.schema import PICKUP, TRIP_COLUMNS, TRIP_SCHEMA
+from curbline.schema import PICKUP, TRIP_COLUMNS, TRIP_SCHEMA, conform
 from curbline.sources.files import file_stream
 from curbline.sources.samples import trips as sample_trips
 from curbline.streaming.ingest import with_ingest_columns
@@ -43,6 +44,11 @@ def land_hours(lake):
         land(lake, hour, trip(seconds=600, VendorID=hour, **{PICKUP: pickup}))
 
 
+def micro_batches(spark, table):
+    commits = Path(table_folder(spark, table).removeprefix("file:")) / "_checkpoint" / "commits"
+    return sum(entry.name.isdigit() for entry in commits.iterdir())
+
+
 def test_bronze_columns(spark, lake):
     land_hours(lake)
     stream = with_ingest_columns(file_stream(spark, lake.landing))
@@ -84,9 +90,12 @@ def test_stream_equals_batch(spark, lake, max_files):
     for hour in (4, 0, 3, 1, 2):  # out of order, and with many late rows
         part = rows.filter((F.hour(PICKUP) % 5) == hour).coalesce(1)
         part.write.parquet(f"{lake.landing}/hour_{hour:02d}")
-    lake = Lake(spark, lake.database, lake.landing, max_files_per_trigger=max_files)
+    limits = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
+    lake = Lake(spark, lake.database, lake.landing, source_options=limits)
     lake.fill_bronze()
     lake.fill_silver()
+    for table in (lake.bronze, lake.silver):
+        assert micro_batches(spark, table) == (5 if max_files else 1)
     streamed = spark.table(lake.silver)
     assert streamed.columns[-1] == "_silver_timestamp"
     streamed = streamed.drop(*STAMPS)
@@ -136,6 +145,22 @@ def test_table_folder_matches_spark(spark, lake):
     assert table_folder(spark, lake.bronze) == location
 
 
+def test_files_of_other_types_are_cast_on_the_way_in(spark, lake):
+    """Whole-number counts and times without a zone, as some months have them."""
+    typed = {"passenger_count": "long", "RatecodeID": "long", PICKUP: "timestamp_ntz"}
+    columns = TRIP_COLUMNS | typed
+    conform(frame(spark, [trip(passenger_count=2.0)]), columns).write.parquet(
+        f"{lake.landing}/hour_10"
+    )
+    bronze.ingest(spark, lake.landing, lake.bronze, file_columns=columns)
+    table = spark.table(lake.bronze)
+    assert table.select(*TRIP_COLUMNS).schema == TRIP_SCHEMA
+    row = table.first()
+    assert (row.passenger_count, row[PICKUP], row._batch_hour) == (2.0, START, 10)
+    lake.fill_silver()
+    assert spark.table(lake.silver).count() == 1
+
+
 def test_failed_stream_raises(spark, lake):
     wrong = spark.range(3).selectExpr("CAST(id AS STRING) AS total_amount")
     wrong.write.parquet(f"{lake.landing}/hour_00")
@@ -145,14 +170,15 @@ def test_failed_stream_raises(spark, lake):
 
 def test_watermark_drops_nothing_on_the_way_to_silver(spark, lake):
     land_hours(lake)
-    lake = Lake(spark, lake.database, lake.landing, max_files_per_trigger=1)
+    lake = Lake(spark, lake.database, lake.landing, source_options={"maxFilesPerTrigger": "1"})
     lake.fill_bronze()
     lake.fill_silver()
     assert spark.table(lake.silver).count() == 6
 
 
 def closed_windows(lake, max_files):
-    stream = file_stream(lake.spark, lake.landing, max_files_per_trigger=max_files)
+    limits = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
+    stream = file_stream(lake.spark, lake.landing, **limits)
     table = f"{lake.database}.windows"
     counted = {"trips": F.count(F.lit(1))}
     drain_to_table(windowed(stream, PICKUP, ["VendorID"], counted), table)
@@ -188,7 +214,7 @@ def test_trip_windows_equal_hourly_kpis_of_closed_hours(spark, lake):
 
 def test_drain_gives_up_after_the_timeout(spark, lake):
     land_hours(lake)
-    stream = with_ingest_columns(file_stream(spark, lake.landing, max_files_per_trigger=1))
+    stream = with_ingest_columns(file_stream(spark, lake.landing, maxFilesPerTrigger="1"))
     with pytest.raises(TimeoutError):
         drain_to_table(stream, lake.bronze, timeout_seconds=0.001)
     # Nothing is lost: the next drain takes up where this one stopped.
