@@ -354,7 +354,7 @@ silver AS (
   FROM flagged)"""
 )
 
-_SHARED_KPIS = """
+_SHARED_KPIS = f"""
     count(*) AS total_trips,
     {_round("sum(CASE WHEN is_anomaly = FALSE THEN total_amount ELSE 0.0 END)", 2)} AS total_revenue_usd,
     {_round("avg(fare_amount)", 2)} AS avg_fare_usd,

@@ -20,10 +20,11 @@ def spark(tmp_path_factory):
     session = build_session(
         "curbline-tests",
         spark__master="local[8]",
-        spark__sql__shuffle__partitions="8",
+        spark__sql__shuffle__partitions="4",
         spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false",
         spark__driver__memory="4g",
+        spark__default__parallelism="4",
         spark__sql__warehouse__dir=str(tmp_path_factory.mktemp("warehouse")),
     )
     session.sparkContext.setLogLevel("ERROR")
