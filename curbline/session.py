@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Hours and dates are taken in the session zone, so it is pinned. AQE sizes shuffle
 # partitions at run time: `shuffle.partitions` is only where it starts. The JVM never
 # compiles a method of more than 8000 bytecodes; a stage that would need one is split
-# into smaller methods instead (1.9 s against 14 s for the widest test projection). Times
+# into smaller methods instead (2 s against 14 s for the widest test projection). Times
 # stored as INT96, the default, carry no statistics, and a day filter could skip nothing.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",

@@ -34,7 +34,32 @@ def test_small_and_tied_inputs(spark, values):
     assert ranks(spark, values) == brute_ranks(values)
 
 
-def test_matches_sql_rank_with_a_third_of_rows_tied(spark):
+# The default, and the plan for inputs too large to broadcast, with skewed values split.
+PLANS = [
+    {},
+    {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+    },
+]
+
+
+@pytest.mark.parametrize("plan", PLANS, ids=["broadcast", "merge"])
+def test_matches_sql_rank_with_a_third_of_rows_tied(spark, plan):
+    before = {key: spark.conf.get(key, None) for key in plan}
+    for key, setting in plan.items():
+        spark.conf.set(key, setting)
+    try:
+        check_a_third_tied(spark, "SortMergeJoin" if plan else "BroadcastHashJoin")
+    finally:
+        for key, setting in before.items():
+            spark.conf.unset(key) if setting is None else spark.conf.set(key, setting)
+
+
+def check_a_third_tied(spark, join):
     rows = spark.range(9000).selectExpr(
         "id", "CASE WHEN id % 3 = 0 THEN 0.0 ELSE CAST(id * 7919 % 5003 AS DOUBLE) END AS revenue"
     )
@@ -44,6 +69,7 @@ def test_matches_sql_rank_with_a_third_of_rows_tied(spark):
         "SELECT id, revenue, rank() OVER (ORDER BY revenue DESC) AS place FROM rank_rows"
     )
     ranked = rank_descending(rows, "revenue", "place", slices=20)
+    assert join in ranked._jdf.queryExecution().executedPlan().toString()
     assert ranked.exceptAll(expected).isEmpty()
     assert expected.exceptAll(ranked).isEmpty()
 
