@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date
+from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -268,6 +269,24 @@ def entry(spark: SparkSession) -> DataFrame:
     return hourly_kpis(spark, "/root/testdata/sf0.001")
 
 
+def _corpus_modules() -> list:
+    """The modules with the corpus queries and the pipeline, or none where they aren't installed."""
+    try:
+        return [import_module("curbline.llm.queries"), import_module("corpus_pipeline")]
+    except ModuleNotFoundError as error:
+        if error.name not in ("curbline.llm", "curbline.llm.queries", "corpus_pipeline"):
+            raise
+        return []
+
+
+def _corpus_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return {name: query for module in _corpus_modules() for name, query in module.QUERIES.items()}
+
+
+def _corpus_sql() -> dict[str, str]:
+    return {name: sql for module in _corpus_modules() for name, sql in module.SQL.items()}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = [
         trips_day_window,
@@ -294,7 +313,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         stream_hourly_windows,
         stream_trip_windows,
     ]
-    return {query.__name__: query for query in named}
+    return {query.__name__: query for query in named} | _corpus_queries()
 
 
 # ---------------------------------------------------------------------------
@@ -518,7 +537,7 @@ hours AS (
   SELECT pu_sec - pu_sec % 3600 AS window_start, {_SHARED_KPIS}, {_CARD_CASH}
   FROM silver GROUP BY 1)
 SELECT * FROM hours WHERE window_start + 3600 <= (SELECT max(pu_sec) FROM silver) - 600""",
-    }
+    } | _corpus_sql()
 
 
 _TALLIES = """
