@@ -5,8 +5,18 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.llm import packing, transducer
-from curbline.llm.common import documents
+from curbline.llm import (
+    cover_tree,
+    jaccard_join,
+    language,
+    lattice,
+    packing,
+    quality,
+    toxicity,
+    transducer,
+)
+from curbline.llm.common import documents, table
+from curbline.llm.training import held_out
 
 
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -33,5 +43,53 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-QUERIES = {q.__name__: q for q in (op2_packing, op3_bpe)}
+HELD_OUT = F.coalesce(held_out(), F.lit(False)).alias("held_out")
+
+
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = language.predict(docs, language.train(docs))
+    return found.select("doc_id", HELD_OUT, "lang_pred", "score")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id", HELD_OUT, "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
+
+
+def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.join(documents(spark, sf_dir))
+
+
+def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    found = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+    kept = (F.col("score") >= quality.KEPT_FROM).cast("int").alias("predicted")
+    return found.select("doc_id", HELD_OUT, "score", kept)
+
+
+def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score(documents(spark, sf_dir))
+
+
+QUERIES = {
+    q.__name__: q
+    for q in (
+        op2_packing,
+        op3_bpe,
+        op4_language_id,
+        op5_toxicity,
+        op7_embedding_near_dedup,
+        op8_jaccard_join,
+        op9_quality_classifier,
+        op10_lm_score,
+    )
+}
 SQL: dict[str, str] = {}
