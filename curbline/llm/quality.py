@@ -143,7 +143,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
     that is cut to the bound is rarer in the sample than it should be; the bias makes up for
     it, so that scores are probabilities."""
     known = labels.where(F.col("quality").isin(0, 1) & ~held_out())
-    n = known.agg(F.count_if("quality = 1"), F.count_if("quality = 0")).first()
+    n = known.agg(F.count_if(F.col("quality") == 1), F.count_if(F.col("quality") == 0)).first()
     rows = labelled_texts(docs, labels, "quality", most).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     model = fit([r["text"] for r in rows], [r["label"] for r in rows])

@@ -200,7 +200,7 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Classifier:
     """Voters, label model and classifier from about ``most`` labelled documents of each class,
     none of them held out. Without labels of both classes every score is the prior."""
     known = labels.where(F.col("toxic").isin(0, 1) & ~held_out())
-    n = known.agg(F.count_if("toxic = 1"), F.count_if("toxic = 0")).first()
+    n = known.agg(F.count_if(F.col("toxic") == 1), F.count_if(F.col("toxic") == 0)).first()
     rows = labelled_texts(docs, labels, "toxic", most).collect()
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     truth = [r["label"] for r in rows]
