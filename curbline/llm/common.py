@@ -12,11 +12,6 @@ from curbline.session import keep
 
 # The engine's definition of a word: a run of anything but a space, tab, LF, VT, FF or CR.
 WORD = r"[^\x20\x09-\x0D]+"
-_BLANKS = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
-_ONLY_IN_PYTHON = "\x1c\x1d\x1e\x1f\x85\xa0     　" + "".join(
-    map(chr, range(0x2000, 0x200B))
-)
-_ASCII_LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(ord("A"), ord("Z") + 1)})
 # Rows of documents that go to Python at a time; long texts make a batch large.
 BATCH_ROWS = "500"
 
@@ -31,23 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def lower_words(text: str | None) -> list[bytes]:
+    """The words of a text in order, A-Z in lower case. None has none.
+
+    Bytes are split at, and lowered in, exactly the ASCII characters that the definition names.
+    """
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
+
+
 def words(text: str | None) -> list[str]:
-    """The words of a text, in order. None has none."""
+    """The words of a text as they are, in order."""
     if not text:
         return []
-    if text.isascii():
-        if "\x1c" in text or "\x1d" in text or "\x1e" in text or "\x1f" in text:
-            return [w for w in text.translate(_BLANKS).split(" ") if w]
-        return text.split()
-    for c in _ONLY_IN_PYTHON:
-        if c in text:
-            return [w for w in text.translate(_BLANKS).split(" ") if w]
-    return text.split()
-
-
-def ascii_lower(text: str) -> str:
-    """A-Z in lower case and nothing else."""
-    return text.lower() if text.isascii() else text.translate(_ASCII_LOWER)
+    return [w.decode("utf-8", "surrogatepass") for w in text.encode("utf-8", "surrogatepass").split()]
 
 
 def fold(folds: int, key: str = "doc_id") -> Column:

@@ -23,7 +23,7 @@ COSINE = 0.98
 LEAF = 8
 BLOCK = 512
 # Pivots over all labels at most, and the vectors that one stands for at least.
-PIVOTS, CELL = 4096, 256
+PIVOTS, CELL = 4096, 512
 # Wider than any rounding of a distance; what lies within it is decided by the cosine.
 SLACK = 1e-7
 CHUNK = 1 << 15
@@ -35,6 +35,7 @@ class CoverTree:
 
     def __init__(self, x: np.ndarray):
         self.x = x
+        self.apart = np.sqrt(np.maximum(0, 2 - 2 * (x @ x.T)))  # BLOCK x BLOCK at most
         self.order = np.arange(len(x))
         self.center, self.radius, self.begin, self.end = [], [], [], []
         self.children: list[tuple[int, int]] = []
@@ -46,7 +47,7 @@ class CoverTree:
         self.first, self.count = bounds[:, 0], bounds[:, 1] - bounds[:, 0]
 
     def _distance(self, center: int, rows: np.ndarray) -> np.ndarray:
-        return np.sqrt(np.maximum(0, 2 - 2 * (self.x[rows] @ self.x[center])))
+        return self.apart[center].take(rows)
 
     def _add(self, center: int, far: np.ndarray, begin: int, end: int) -> None:
         self.center.append(center)
@@ -93,6 +94,20 @@ def ranges(begin: np.ndarray, end: np.ndarray):
     return expand(begin, end - begin, np.arange(len(begin)))
 
 
+def distances(a: CoverTree, b: CoverTree, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of rows i of a and j of b, pair by pair; by one product where most combinations occur."""
+    rows, i_at = np.unique(i, return_inverse=True)
+    columns, j_at = np.unique(j, return_inverse=True)
+    if 4 * len(i) >= len(rows) * len(columns):
+        return np.sqrt(np.maximum(0, 2 - 2 * (a.x[rows] @ b.x[columns].T)))[i_at, j_at]
+    out = np.empty(len(i))
+    for s in range(0, len(i), CHUNK):
+        part = slice(s, s + CHUNK)
+        cosines = np.einsum("ij,ij->i", a.x[i[part]], b.x[j[part]])
+        out[part] = np.sqrt(np.maximum(0, 2 - 2 * cosines))
+    return out
+
+
 def dual_traversal(a: CoverTree, b: CoverTree, cosine: float = COSINE):
     """Linked rows (i of a, j of b), and whole ranges that are linked (begin, end in the order of
     a, begin, end in that of b)."""
@@ -100,11 +115,7 @@ def dual_traversal(a: CoverTree, b: CoverTree, cosine: float = COSINE):
     left, right = np.zeros(1, np.int64), np.zeros(1, np.int64)
     single, whole = [], []
     while len(left):
-        gap = np.empty(len(left))
-        for s in range(0, len(left), CHUNK):
-            part = slice(s, s + CHUNK)
-            x, y = a.x[a.center[left[part]]], b.x[b.center[right[part]]]
-            gap[part] = np.sqrt(np.maximum(0, 2 - 2 * np.einsum("ij,ij->i", x, y)))
+        gap = distances(a, b, a.center[left], b.center[right])
         both = a.radius[left] + b.radius[right]
         inside = gap + both <= reach - SLACK
         whole.append(

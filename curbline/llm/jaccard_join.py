@@ -23,16 +23,19 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import batch, map_arrow, stored
+from curbline.llm.common import batch, lower_words, map_arrow, stored
 from curbline.llm.components import components
 
 SHINGLE = 5
 # Similar: 4 * intersection >= 3 * union.
 NUMERATOR, DENOMINATOR = 3, 4
-SLOTS = 1 << 16
+SLOTS = 1 << 20
+# Counts travel in blocks of so many slots, and are added up over so many lanes of tasks first.
+SLOT_BLOCK, LANES = 1 << 14, 64
 # A document with more frequent tokens in its prefix is heavy.
 FEW = 12
 # Nodes of a key that are compared pair by pair at once.
@@ -71,7 +74,7 @@ class Shingler:
         return at
 
     def tokens(self, text: str | None) -> np.ndarray:
-        own = text.encode("utf-8", "surrogatepass").lower().split() if text else []
+        own = lower_words(text)
         if len(self.place) + len(own) > len(self.hashes):
             self.place = {}
             if len(own) > len(self.hashes):
@@ -132,61 +135,105 @@ def fits(n: np.ndarray, m: np.ndarray) -> np.ndarray:
 
 
 def summarised(docs: DataFrame) -> DataFrame:
-    """A row for each document (doc_id, node, n), and rows of (slot, count) for each task."""
+    """A row for each document (doc_id, node, n), and rows of (lane, block, counts) of each task."""
 
     def run(batches):
-        own, counts = shingler(), np.zeros(SLOTS, np.int64)
+        own, counts = shingler(), np.zeros(SLOTS, np.int32)
+        lane = TaskContext.get().partitionId() % LANES
         for rows in batches:
-            nodes, sizes = [], []
+            nodes, sizes, seen = [], [], [np.zeros(0, np.uint64)]
             for text in rows.column("text").to_pylist():
                 tokens = own.tokens(text)
                 sizes.append(len(tokens))
                 nodes.append(fingerprint(tokens) if len(tokens) else None)
-                counts += np.bincount(slot(tokens), minlength=SLOTS)
-            none = pa.nulls(len(nodes), pa.int32())
-            yield batch(
+                seen.append(tokens)
+            slots, n = np.unique(slot(np.concatenate(seen)), return_counts=True)
+            counts[slots] += n.astype(np.int32)
+            yield summary_rows(
                 doc_id=rows.column("doc_id"),
                 node=pa.array(nodes, pa.int64()),
                 n=pa.array(sizes, pa.int64()),
-                slot=none,
             )
-        used = np.flatnonzero(counts)
-        yield batch(
-            doc_id=pa.nulls(len(used), pa.int64()),
-            node=pa.nulls(len(used), pa.int64()),
-            n=pa.array(counts[used], pa.int64()),
-            slot=pa.array(used, pa.int32()),
+        blocks = counts.reshape(-1, SLOT_BLOCK)
+        yield summary_rows(
+            lane=pa.array(np.full(len(blocks), lane), pa.int32()),
+            block=pa.array(np.arange(len(blocks)), pa.int32()),
+            counts=pa.array([b.tobytes() for b in blocks], pa.binary()),
         )
 
-    return map_arrow(docs, run, "doc_id bigint, node bigint, n bigint, slot int")
+    return map_arrow(docs, run, SUMMARY)
+
+
+SUMMARY = "doc_id bigint, node bigint, n bigint, lane int, block int, counts binary"
+SUMMARY_TYPES = {
+    "doc_id": pa.int64(),
+    "node": pa.int64(),
+    "n": pa.int64(),
+    "lane": pa.int32(),
+    "block": pa.int32(),
+    "counts": pa.binary(),
+}
+
+
+def summary_rows(**columns) -> pa.RecordBatch:
+    """Rows of SUMMARY; what isn't given is null."""
+    size = len(next(iter(columns.values())))
+    return batch(
+        **{name: columns.get(name, pa.nulls(size, t)) for name, t in SUMMARY_TYPES.items()}
+    )
+
+
+def token_counts(summary: DataFrame) -> np.ndarray:
+    """The counts of all slots: a vector of fixed size, added up in two steps."""
+
+    def added(table: pa.Table) -> pa.Table:
+        total = np.zeros(SLOT_BLOCK, np.int64)
+        for x in table.column("counts"):
+            data = np.frombuffer(x.as_buffer(), np.int64 if len(x.as_buffer()) > 4 * SLOT_BLOCK else np.int32)
+            total += data
+        return pa.table({"block": table.column("block")[:1], "counts": [total.tobytes()]})
+
+    schema = "block int, counts binary"
+    rows = summary.where("block IS NOT NULL").select("lane", "block", "counts")
+    by_lane = rows.groupBy("block", "lane").applyInArrow(added, schema)
+    counts = np.zeros((SLOTS // SLOT_BLOCK, SLOT_BLOCK), np.int64)
+    for r in by_lane.groupBy("block").applyInArrow(added, schema).collect():
+        counts[r["block"]] = np.frombuffer(r["counts"], np.int64)
+    return counts.reshape(-1)
 
 
 # ---------------------------------------------------------------------------
 # The index
 # ---------------------------------------------------------------------------
 
-ENTRIES = "part bigint, keys binary, nodes binary, sizes binary, kinds binary"
+ENTRIES = "part bigint, keys binary, nodes binary, sizes binary, kinds binary, places binary"
 RARE, LIGHT, HEAVY = 0, 1, 2
 
 
 def index_entries(tokens: np.ndarray, counts: np.ndarray, frequent_from: float):
-    """Keys and kinds of one document; for frequent tokens, the count of the slot as well."""
+    """Keys of one document, their kinds and places in the prefix (in 256 parts, rounded down);
+    for frequent tokens, the count of the slot as well."""
     count = counts[slot(tokens)]
-    take = np.lexsort((tokens, count))[: prefix(len(tokens))]
+    length = prefix(len(tokens))
+    take = np.lexsort((tokens, count))[:length]
     tokens, count = tokens[take], count[take]
+    place = np.arange(length) * 256 // max(1, length)
     often = count >= frequent_from
+    first = place[often]
     rare, frequent = tokens[~often], tokens[often]
     heavy = len(frequent) > FEW
     keys = [rare, frequent]
     kinds = [np.full(len(rare), RARE), np.full(len(frequent), HEAVY if heavy else LIGHT)]
     weight = [np.zeros(len(rare), np.int64), count[often]]
+    places = [place[~often], first]
     if not heavy and len(frequent) > 1:
         i, j = np.triu_indices(len(frequent), 1)
         pairs = np.sort(np.stack([frequent[i], frequent[j]]), axis=0)
         keys.append(mixed(pairs[0] * _ODD[0] + pairs[1] * _ODD[1]))
         kinds.append(np.full(len(i), RARE))
         weight.append(np.minimum(count[often][i], count[often][j]))
-    return np.concatenate(keys), np.concatenate(kinds), np.concatenate(weight)
+        places.append(first[i])
+    return tuple(np.concatenate(x) for x in (keys, kinds, weight, places))
 
 
 def packed_index(docs: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
@@ -198,24 +245,18 @@ def packed_index(docs: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
         own, held, size = shingler(), [], 0
 
         def sent():
-            keys, nodes, sizes, kinds, part = (np.concatenate(x) for x in zip(*held, strict=True))
+            *columns, part = (np.concatenate(x) for x in zip(*held, strict=True))
             order = np.argsort(part, kind="stable")
             bounds = np.flatnonzero(np.diff(part[order])) + 1
             for rows in np.split(order, bounds):
-                yield (
-                    int(part[rows[0]]),
-                    keys[rows].tobytes(),
-                    nodes[rows].tobytes(),
-                    sizes[rows].tobytes(),
-                    kinds[rows].tobytes(),
-                )
+                yield int(part[rows[0]]), *(c[rows].tobytes() for c in columns)
 
         def batches_of(rows):
             columns = list(zip(*rows, strict=True))
-            types = (pa.int64(), *[pa.binary()] * 4)
+            types = (pa.int64(), *[pa.binary()] * 5)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
-                ["part", "keys", "nodes", "sizes", "kinds"],
+                ["part", "keys", "nodes", "sizes", "kinds", "places"],
             )
 
         for rows in batches:
@@ -224,7 +265,7 @@ def packed_index(docs: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
                 if not len(tokens):
                     continue
                 node = fingerprint(tokens)
-                keys, kinds, weight = index_entries(tokens, shared.value, frequent_from)
+                keys, kinds, weight, places = index_entries(tokens, shared.value, frequent_from)
                 # A key of very many documents is spread; its parts meet in the second step.
                 salts = np.maximum(1, -(-weight // SALTED))
                 salt = (np.uint64(node) % salts.astype(np.uint64)) * _ODD[2]
@@ -236,6 +277,7 @@ def packed_index(docs: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
                         np.full(len(keys), node, np.int64),
                         np.full(len(keys), len(tokens), np.int32),
                         kinds.astype(np.uint8),
+                        places.astype(np.uint8),
                         part,
                     )
                 )
@@ -261,12 +303,17 @@ def candidates_of_part(table: pa.Table) -> pa.Table:
 
     keys, nodes = column("keys", np.uint64), column("nodes", np.int64)
     sizes, kinds = column("sizes", np.int32).astype(np.int64), column("kinds", np.uint8)
+    # Tokens of a document that come after the key's, at most.
+    n = sizes
+    length = np.minimum(n, n - -(-NUMERATOR * n // DENOMINATOR) + 2)
+    after = n - 1 - column("places", np.uint8) * length // 256
     order = np.lexsort((nodes, keys))
     keys, nodes = keys[order], nodes[order]
     first = np.ones(len(keys), bool)
     first[1:] = (keys[1:] != keys[:-1]) | (nodes[1:] != nodes[:-1])
     order = order[first]
     keys, nodes, sizes, kinds = keys[first], nodes[first], sizes[order], kinds[order]
+    after = after[order]
     _, at, count = np.unique(keys, return_index=True, return_counts=True)
     many = np.repeat(count, count)
     spread = (kinds & 4) > 0
@@ -274,12 +321,16 @@ def candidates_of_part(table: pa.Table) -> pa.Table:
     # Keys of one node, or of light nodes only, yield nothing.
     paired = np.repeat(np.add.reduceat(kinds != LIGHT, at), count) > 0 if len(at) else many > 1
     use = ((many > 1) & paired) | spread
-    keys, nodes, sizes, kinds = keys[use], nodes[use], sizes[use], kinds[use]
+    keys, nodes, sizes, kinds, after = keys[use], nodes[use], sizes[use], kinds[use], after[use]
     big = (many > SMALL)[use] | spread[use]
     pairs = []
 
     def note(i, j):
-        fit = (fits(sizes[i], sizes[j])) & ((kinds[i] != LIGHT) | (kinds[j] != LIGHT))
+        fit = fits(sizes[i], sizes[j]) & ((kinds[i] != LIGHT) | (kinds[j] != LIGHT))
+        # The first token that two documents share is a key of both, and what comes after it
+        # must still suffice for the intersection.
+        needed = -(-NUMERATOR * (sizes[i] + sizes[j]) // (NUMERATOR + DENOMINATOR))
+        fit &= 1 + np.minimum(after[i], after[j]) >= needed
         i, j = i[fit], j[fit]
         pairs.append(np.unique(np.stack([nodes[i], nodes[j]], 1), axis=0))
 
@@ -430,11 +481,8 @@ def join(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     summary = stored(summarised(docs), "shingle-sets")
-    sets = summary.where("slot IS NULL").select("doc_id", "node", "n")
-    counts = np.zeros(SLOTS, np.int64)
-    slots = summary.where("slot IS NOT NULL").groupBy("slot").agg(F.sum("n").alias("n"))
-    for r in slots.collect():  # SLOTS numbers at most
-        counts[r["slot"]] = r["n"]
+    sets = summary.where("block IS NULL").select("doc_id", "node", "n")
+    counts = token_counts(summary)
     nodes = sets.where("node IS NOT NULL AND doc_id IS NOT NULL").groupBy("node")
     nodes = stored(nodes.agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n")), "nodes")
 

@@ -22,14 +22,22 @@ from pyspark.sql import functions as F
 from curbline.llm.common import batch, map_arrow, words
 from curbline.llm.training import held_out, labelled_texts, logit, sigmoid
 
-BITS = 18
+BITS = 20
 # Labelled documents of each class that lexicons and models are fitted on.
-SAMPLE = 6000
+SAMPLE = 4000
 STEMS = 64
-BEGINNINGS = (4, 5)
+# Lengths of word beginnings that serve as stems.
+BEGINNINGS = (3, 4, 5, 6, 7)
+# What a stem can be asked for: so many distinct words, and such a share of all of them.
+LIMITS = ((1, 0.0), (2, 0.004), (2, 0.01), (3, 0.01), (3, 0.02))
+LEAST_TEXTS, LEAST_ODDS = 5, 10
 ROUNDS = 25
+# Length of all the words of a text together, beside a voter's 1.
+WORDS_LENGTH = 3.0
+# Correlation, given the class, from which two voters count as repeating each other.
+REPEATED = 0.5
 EPOCHS = 6
-ALPHA, BETA, L1, L2 = 0.3, 1.0, 1.0, 0.1
+ALPHA, BETA, L1, L2 = 0.6, 1.0, 1.0, 0.1
 RUN = re.compile(r"[^\W\d_]+")
 PATTERNS = [
     re.compile(r"[^\W\d_]{3,}!{2,}"),  # a word shouted at
@@ -48,44 +56,63 @@ def vocabulary_of(text: str | None) -> set[str]:
     return {w for token in set(words(text)) for w in plain_words(token)}
 
 
-def stem(word: str) -> str:
-    return word[: BEGINNINGS[0]]
-
-
 # ---------------------------------------------------------------------------
 # Voters
 # ---------------------------------------------------------------------------
 
 
-def lexicons(vocabularies: list[set[str]], labels: list[int], most: int = STEMS) -> list[str]:
-    """Stems with the highest log-odds between the classes, weighed by the texts they are in."""
-    of_toxic, of_others = Counter(), Counter()
-    for own, label in zip(vocabularies, labels, strict=True):
-        (of_toxic if label else of_others).update({stem(w) for w in own})
-    toxic, others = max(1, sum(labels)), max(1, len(labels) - sum(labels))
-    weight = {
-        s: n * np.log((n + 0.5) / toxic * others / (of_others[s] + 0.5))
-        for s, n in of_toxic.items()
-        if n >= 5 and (n + 0.5) / toxic > 10 * (of_others[s] + 0.5) / others
-    }
-    return sorted(weight, key=lambda s: (-weight[s], s))[:most]
+def beginnings(own: set[str]) -> Counter:
+    """How many distinct words begin with each stem; whole words count as stems as well."""
+    return Counter(
+        stem for w in own for stem in (*(w[:k] for k in BEGINNINGS if len(w) > k), f"{w} ")
+    )
 
 
-def votes(own: set[str], text: str, stems: dict[str, int]) -> np.ndarray:
-    """One place for each lexicon and pattern: 1 where it fires."""
-    out = np.zeros(len(stems) + len(PATTERNS))
-    for w in own:
-        if (i := stems.get(stem(w))) is not None:
-            out[i] = 1
-    for i, pattern in enumerate(PATTERNS):
-        out[len(stems) + i] = pattern.search(text) is not None
-    return out
+def lexicons(stems_of: list[Counter], sizes: list[int], labels: list[int], most: int = STEMS):
+    """Voters (stem, least count, least share of the distinct words): of each stem's limits those
+    with the highest log-odds between the classes, weighed by the texts that reach them."""
+    toxic, others = max(1, sum(labels)), max(1, len(labels) - sum(labels))
+    texts = Counter(s for own, label in zip(stems_of, labels, strict=True) if label for s in own)
+    wanted = {s for s, n in texts.items() if n >= LEAST_TEXTS}
+    reached = {True: Counter(), False: Counter()}
+    for own, size, label in zip(stems_of, sizes, labels, strict=True):
+        for s in wanted.intersection(own):
+            n = own[s]
+            for limit in LIMITS:
+                if n >= limit[0] and n >= limit[1] * size:
+                    reached[bool(label)][s, *limit] += 1
+    best: dict[str, tuple] = {}
+    for voter, n in reached[True].items():
+        m = reached[False][voter]
+        odds = (n + 0.5) / toxic / ((m + 0.5) / others)
+        if n >= LEAST_TEXTS and odds > LEAST_ODDS:
+            best[voter[0]] = max(best.get(voter[0], (0.0, voter)), (n * float(np.log(odds)), voter))
+    ranked = sorted(best.values(), key=lambda x: (-x[0], x[1]))
+    voters: list[tuple] = []
+    for _, voter in ranked:
+        # One voter for a family: stems that begin alike are the same lexicon.
+        if not any(v[0].startswith(voter[0]) or voter[0].startswith(v[0]) for v in voters):
+            voters.append(voter)
+    return voters[:most]
+
+
+def lexicon_votes(own, size: int, voters: list[tuple]) -> list[bool]:
+    return [own[s] >= least and own[s] >= share * size for s, least, share in voters]
+
+
+def votes(own: Counter, size: int, text: str, label: int, voters: list[tuple]) -> np.ndarray:
+    """1 where a voter fires: the lexicons, "no lexicon", the patterns, and the label that the
+    text of the sample has, for and against."""
+    fired = lexicon_votes(own, size, voters)
+    patterns = (p.search(text) is not None for p in PATTERNS)
+    return np.array([*fired, not any(fired), *patterns, label == 1, label == 0], float)
 
 
 @dataclass
 class LabelModel:
     """``fires[y, j]``: how often voter j fires on class y. ``share[j]``: the part of voter j's
-    evidence that no correlated voter repeats. ``prior``: of the toxic class."""
+    evidence that no correlated voter repeats. ``prior``: of the toxic class. A voter that does
+    not fire abstains; that none of the lexicons fires is a vote of its own."""
 
     fires: np.ndarray
     share: np.ndarray
@@ -93,9 +120,7 @@ class LabelModel:
     correlation: np.ndarray
 
     def posterior(self, fired: np.ndarray) -> np.ndarray:
-        a, b = self.fires[1], self.fires[0]
-        yes, no = np.log(a / b), np.log((1 - a) / (1 - b))
-        evidence = (fired * yes + (1 - fired) * no) * self.share
+        evidence = fired * np.log(self.fires[1] / self.fires[0]) * self.share
         return sigmoid(logit(self.prior) + evidence.sum(1))
 
 
@@ -114,8 +139,8 @@ def label_model(fired: np.ndarray, lexicon_voters: int) -> LabelModel:
             rates.append(np.clip(rate, 1e-4, 1 - 1e-4))
         spread = np.sqrt(np.maximum(np.diag(residual), 1e-12))
         correlation = residual / np.outer(spread, spread)
-        # Only what a voter shares with others is discounted; exclusive voters are not.
-        repeated = np.maximum(correlation, 0)
+        # Voters that mostly fire together share their evidence; the others keep theirs.
+        repeated = np.where(correlation >= REPEATED, correlation, 0)
         share = 1 / np.maximum(1.0, repeated.sum(1))
         prior = float(np.clip(p.mean(), 1e-3, 1 - 1e-3))
         model = LabelModel(np.array(rates), share, prior, correlation)
@@ -130,22 +155,33 @@ def label_model(fired: np.ndarray, lexicon_voters: int) -> LabelModel:
 
 def places(word: str) -> tuple[int, ...]:
     """Places of a word and its beginnings."""
-    names = [f"{word} ", *(word[:k] for k in BEGINNINGS if len(word) >= k)]
+    names = [f"{word} ", *(word[:k] for k in BEGINNINGS if len(word) > k)]
     return tuple(crc32(x.encode("utf-8", "replace")) & ((1 << BITS) - 1) for x in names)
 
 
 class Classifier:
-    """Sparse logistic regression: the margin is the bias plus the weight of each distinct word,
-    which is that of its places. Words are remembered per process."""
-
-    def __init__(self, bias: float, weights: dict[int, float]):
-        self.bias, self.weights = bias, weights
+    """Sparse logistic regression on the lexicon voters and on the distinct words of a text with
+    their beginnings. The words of a text together have a length that does not depend on
+    their number. What is known of a word is remembered per process."""
+
+    def __init__(self, bias: float, voters: list[tuple], of_voter: list[float], of_place: dict):
+        self.bias, self.voters, self.of_voter, self.of_place = bias, voters, of_voter, of_place
+        self.stems = {s: i for i, s in enumerate(dict.fromkeys(v[0] for v in voters))}
+        self.asked = [(self.stems[s], least, share) for s, least, share in voters]
         self.tokens: dict[str, tuple[str, ...]] = {}
-        self.known: dict[str, float] = {}
+        self.known: dict[str, tuple[float, tuple[int, ...]]] = {}
+
+    def _word(self, w: str) -> tuple[float, tuple[int, ...]]:
+        names = (*(w[:k] for k in BEGINNINGS if len(w) > k), f"{w} ")
+        hits = tuple(self.stems[x] for x in names if x in self.stems)
+        found = sum(self.of_place.get(i, 0.0) for i in places(w)), hits
+        if len(w) < 64:
+            self.known[w] = found
+        return found
 
     def margin(self, text: str | None) -> float:
-        tokens, known, weights = self.tokens, self.known, self.weights
-        if len(tokens) > 300_000:
+        tokens, known = self.tokens, self.known
+        if len(tokens) > 250_000:
             tokens.clear()
             known.clear()
         own: set[str] = set()
@@ -156,32 +192,42 @@ class Classifier:
                 if len(token) < 64:
                     tokens[token] = found
             own.update(found)
-        total = self.bias
+        total, counts = 0.0, [0] * len(self.stems)
         for w in own:
-            value = known.get(w)
-            if value is None:
-                value = sum(weights.get(i, 0.0) for i in places(w))
-                if len(w) < 64:
-                    known[w] = value
+            value, hits = known.get(w) or self._word(w)
             total += value
-        return total
+            for i in hits:
+                counts[i] += 1
+        fired = lexicon_votes(counts, len(own), self.asked)
+        lexicon = sum(w for w, f in zip(self.of_voter, fired, strict=True) if f)
+        return self.bias + lexicon + total * word_value(len(own))
 
     def score(self, text: str | None) -> float:
         return float(sigmoid(self.margin(text)))
 
 
-def fit_classifier(vocabularies: list[set[str]], target: np.ndarray, seed: int = 5) -> Classifier:
+def word_value(n: int) -> float:
+    return WORDS_LENGTH / max(1, n) ** 0.5
+
+
+def fit_classifier(
+    vocabularies: list[set[str]], target: np.ndarray, voters: list[tuple], seed: int = 5
+) -> Classifier:
     """Follow-the-regularised-leader on the posteriors; the lasso drops words of no use."""
-    size, random = (1 << BITS) + 1, np.random.default_rng(seed)
+    first = 1 << BITS  # voters come after the words, the bias after the voters
+    size, random = first + len(voters) + 1, np.random.default_rng(seed)
     z, n, rows = np.zeros(size), np.zeros(size), []
     for own in vocabularies:
         counts = Counter(i for w in own for i in places(w))
-        at = np.fromiter([*counts, size - 1], np.int64)
-        rows.append((at, np.fromiter([*counts.values(), 1], float)))
+        fired = first + np.flatnonzero(lexicon_votes(beginnings(own), len(own), voters))
+        at = np.concatenate([np.fromiter(counts, np.int64), fired, [size - 1]])
+        values = np.ones(len(at))
+        values[: len(counts)] = np.fromiter(counts.values(), float) * word_value(len(own))
+        rows.append((at, values))
 
     def weights(at):
-        lasso = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at == size - 1, 0, L1), 0)
-        return -lasso / ((BETA + np.sqrt(n[at])) / ALPHA + L2)
+        lasso = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at >= first, 0, L1), 0)
+        return -lasso / ((BETA + np.sqrt(n[at])) / ALPHA + np.where(at >= first, 0, L2))
 
     for _ in range(EPOCHS):
         for i in random.permutation(len(rows)):
@@ -192,8 +238,9 @@ def fit_classifier(vocabularies: list[set[str]], target: np.ndarray, seed: int =
             z[at] += g - (grown - np.sqrt(n[at])) / ALPHA * w
             n[at] += g * g
     final = weights(np.arange(size))
-    kept = np.flatnonzero(final[:-1])
-    return Classifier(float(final[-1]), dict(zip(kept.tolist(), final[kept].tolist(), strict=True)))
+    kept = np.flatnonzero(final[:first])
+    of_place = dict(zip(kept.tolist(), final[kept].tolist(), strict=True))
+    return Classifier(float(final[-1]), voters, final[first:-1].tolist(), of_place)
 
 
 def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Classifier:
@@ -205,18 +252,28 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Classifier:
     rows.sort(key=lambda r: (r["doc_id"], r["text"]))
     truth = [r["label"] for r in rows]
     if not all(truth.count(k) for k in (0, 1)):
-        return Classifier(logit((n[0] + 0.5) / (n[0] + n[1] + 1)), {})
+        return Classifier(logit((n[0] + 0.5) / (n[0] + n[1] + 1)), [], [], {})
     vocabularies = [vocabulary_of(r["text"]) for r in rows]
-    stems = {s: i for i, s in enumerate(lexicons(vocabularies, truth))}
-    fired = np.array([votes(v, r["text"], stems) for v, r in zip(vocabularies, rows, strict=True)])
-    posterior = label_model(fired, len(stems)).posterior(fired)
-    return fit_classifier(vocabularies, posterior)
+    posterior, voters = posteriors([r["text"] for r in rows], vocabularies, truth)
+    return fit_classifier(vocabularies, posterior, voters)
+
+
+def posteriors(texts: list[str], vocabularies: list[set[str]], truth: list[int]):
+    """Of the label model, for texts whose labels serve to find the lexicons; and the voters."""
+    stems_of, sizes = [beginnings(v) for v in vocabularies], [len(v) for v in vocabularies]
+    voters = lexicons(stems_of, sizes, truth)
+    fired = np.array(
+        [votes(*row, voters) for row in zip(stems_of, sizes, texts, truth, strict=True)]
+    )
+    return label_model(fired, len(voters)).posterior(fired), voters
 
 
 def score(docs: DataFrame, model: Classifier) -> DataFrame:
     """doc_id and score of every whole text. Null and empty texts have no words and get the score
     of the bias; repeated rows are scored alike; an empty table gives no rows."""
-    shared = docs.sparkSession.sparkContext.broadcast((model.bias, model.weights))  # bounded
+    shared = docs.sparkSession.sparkContext.broadcast(
+        (model.bias, model.voters, model.of_voter, model.of_place)
+    )  # of bounded size
 
     def run(batches):
         own = Classifier(*shared.value)
