@@ -12,6 +12,7 @@ from curbline.llm import (
     lattice,
     packing,
     quality,
+    rules,
     toxicity,
     transducer,
 )
@@ -60,6 +61,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.judge(documents(spark, sf_dir))
+
+
 def op7_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cover_tree.near_duplicates(table(spark, sf_dir, "embeddings"))
 
@@ -86,10 +91,11 @@ QUERIES = {
         op3_bpe,
         op4_language_id,
         op5_toxicity,
+        op6_quality_rules,
         op7_embedding_near_dedup,
         op8_jaccard_join,
         op9_quality_classifier,
         op10_lm_score,
     )
 }
-SQL: dict[str, str] = {}
+SQL = {op6_quality_rules.__name__: rules.SQL}
