@@ -10,6 +10,7 @@ from curbline.llm import (
     jaccard_join,
     language,
     lattice,
+    line_dedup,
     packing,
     quality,
     rules,
@@ -20,6 +21,10 @@ from curbline.llm.common import documents, table
 from curbline.llm.training import held_out
 
 
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(documents(spark, sf_dir))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir))
     return pieces.select(
@@ -87,6 +92,7 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     q.__name__: q
     for q in (
+        op1_line_dedup,
         op2_packing,
         op3_bpe,
         op4_language_id,
@@ -98,4 +104,4 @@ QUERIES = {
         op10_lm_score,
     )
 }
-SQL = {op6_quality_rules.__name__: rules.SQL}
+SQL = {op1_line_dedup.__name__: line_dedup.SQL, op6_quality_rules.__name__: rules.SQL}
