@@ -10,8 +10,8 @@ and those of light documents too, but there a pair counts only if one of it is h
 
 Copies collapse first: equal sets are one node. Where many nodes share a key, each is first
 compared with one of them; then only pairs that this has not joined into one component are
-compared, in blocks of bounded size. So a large group of near copies costs a few
-comparisons for each member, and no link between different components is missed.
+compared. So a large group of near copies costs a few comparisons for each member, and no
+link between different components is missed.
 
 Index entries travel as packed arrays, sorted with numpy where they arrive.
 """
@@ -41,10 +41,9 @@ FEW = 12
 # Nodes of a key that are compared pair by pair at once.
 SMALL = 16
 # Index entries of a partition, and those a task holds before it sends them on.
-PARTITION_ENTRIES, HELD_ENTRIES = 1_500_000, 1_500_000
+PARTITION_ENTRIES, HELD_ENTRIES = 800_000, 1_000_000
 # Documents of a frequent token that meet in one place at first.
 SALTED = 50_000
-BLOCK = 256
 BLOOM_BITS = 1 << 23
 MEMORY = 300_000
 _ODD = np.array(
@@ -296,7 +295,8 @@ FOUND = "big boolean, key bigint, a bigint, b bigint"
 
 def candidates_of_part(table: pa.Table) -> pa.Table:
     """Pairs that share a key of one partition of the index. Of keys with more than SMALL nodes:
-    pairs with one of them, and, marked ``big``, the nodes themselves."""
+    pairs with one of them, and, marked ``big``, the nodes themselves, with their kind and the
+    number of tokens after the key in ``b``."""
 
     def column(name, kind):
         return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
@@ -358,7 +358,7 @@ def candidates_of_part(table: pa.Table) -> pa.Table:
             "big": np.repeat([False, True], [len(found), len(large)]),
             "key": np.concatenate([np.zeros(len(found), np.int64), keys[large].view(np.int64)]),
             "a": np.concatenate([found[:, 0], nodes[large]]),
-            "b": np.concatenate([found[:, 1], kinds[large].astype(np.int64)]),
+            "b": np.concatenate([found[:, 1], kinds[large] + 4 * after[large]]),
         }
     )
 
@@ -419,51 +419,35 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 def unjoined_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
     """Pairs of nodes of a large key that are in different components so far.
 
-    ``members``: key, node, kind. Keys whose nodes are all joined go first; the nodes of the
-    others meet block by block.
+    ``members``: key, node, n, kind, after. The component with most nodes of a key is its core; a
+    pair has at least one node outside it. Keys without such nodes go.
     """
     labelled = members.join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
     labelled = stored(labelled, "large-keys")
-    keys = labelled.groupBy("key").agg(
-        F.count("*").alias("n"), F.min("component").alias("low"), F.max("component").alias("high"),
-        F.max("kind").alias("kinds"), F.min("kind").alias("least"),
+    parts = labelled.groupBy("key", "component").agg(
+        F.count("*").alias("size"), F.max(F.col("kind") != LIGHT).alias("pairs")
     )
-    keys = keys.where("low <> high").where(~((F.col("least") == LIGHT) & (F.col("kinds") == LIGHT)))
-    keys = keys.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
-    open_ = labelled.join(keys, "key").withColumn(
-        "block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    )
-    # Every block goes to the places of its pairs with all blocks, itself included.
-    placed = open_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    placed = placed.select(
+    core = F.max(F.struct("size", "component"))["component"].alias("core")
+    keys = parts.groupBy("key").agg(core, F.count("*").alias("parts"), F.max("pairs").alias("pairs"))
+    open_ = labelled.join(keys.where("parts > 1 AND pairs").select("key", "core"), "key")
+    outside = open_.where("component <> core").select(
         "key",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "node",
-        "n",
-        "kind",
-        "component",
+        F.col("node").alias("o"),
+        F.col("n").alias("m"),
+        F.col("kind").alias("o_kind"),
+        F.col("after").alias("o_after"),
+        F.col("component").alias("o_component"),
     )
-
-    def run(table: pa.Table) -> pa.Table:
-        node, n, kind, part = (
-            table.column(c).to_numpy() for c in ("node", "n", "kind", "component")
-        )
-        out = []
-        for i in range(len(node) - 1):
-            rest = slice(i + 1, None)
-            good = (part[rest] != part[i]) & fits(n[rest], n[i]) & (
-                (kind[rest] != LIGHT) | (kind[i] != LIGHT)
-            )
-            if good.any():
-                b = node[rest][good]
-                out.append(np.stack([np.minimum(b, node[i]), np.maximum(b, node[i])], 1))
-        pairs = np.concatenate(out) if out else np.zeros((0, 2), np.int64)
-        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
-
-    return placed.groupBy("key", "i", "j").applyInArrow(run, "a bigint, b bigint").distinct()
+    both = open_.join(outside, "key").where("component <> o_component")
+    once = (F.col("component") == F.col("core")) | (F.col("node") < F.col("o"))
+    sizes = DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")
+    needed = F.ceil(NUMERATOR * (F.col("n") + F.col("m")) / (NUMERATOR + DENOMINATOR))
+    enough = 1 + F.least("after", "o_after") >= needed
+    kinds = (F.col("kind") != LIGHT) | (F.col("o_kind") != LIGHT)
+    pairs = both.where(once & sizes & enough & kinds)
+    return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
 
 
 # ---------------------------------------------------------------------------
@@ -491,7 +475,12 @@ def join(docs: DataFrame) -> DataFrame:
     index = packed_index(docs.where("doc_id IS NOT NULL"), counts, parts)
     found = stored(index.groupBy("part").applyInArrow(candidates_of_part, FOUND), "candidates")
     pairs = stored(found.where("NOT big").select("a", "b").distinct(), "pairs")
-    large = found.where("big").select("key", F.col("a").alias("node"), F.col("b").alias("kind"))
+    large = found.where("big").select(
+        "key",
+        F.col("a").alias("node"),
+        (F.col("b") % 4).alias("kind"),
+        F.floor(F.col("b") / 4).alias("after"),
+    )
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node"))
     ids = stored(nodes.join(wanted.distinct(), "node", "left_semi"), "wanted")
