@@ -11,8 +11,9 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.common import batch, map_arrow, stored
@@ -214,6 +215,18 @@ def train(docs: DataFrame, most: int = SAMPLE) -> Model:
     return fit(examples, languages, idf)
 
 
+def predicted(docs: DataFrame, model: Model) -> Column:
+    """lang_pred and score as a struct over ``text``, for filters."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+
+    @F.pandas_udf("lang_pred string, score double")
+    def prediction(texts: pd.Series) -> pd.DataFrame:
+        found = [shared.value.predict(t) for t in texts]
+        return pd.DataFrame(found, columns=["lang_pred", "score"])
+
+    return prediction(F.col("text"))
+
+
 def predict(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred and score of every whole text. Texts without a letter, null and empty
     ones among them, are "und" with score 0, as is everything if nothing could be learned."""

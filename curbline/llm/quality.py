@@ -10,8 +10,9 @@ import re
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.common import batch, map_arrow, words
@@ -154,6 +155,17 @@ def train(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Machine:
     return model
 
 
+def scored(docs: DataFrame, model: Machine) -> Column:
+    """The score as a column over ``text``, for filters."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # of fixed size
+
+    @F.pandas_udf("double")
+    def score_of(texts: pd.Series) -> pd.Series:
+        return pd.Series([shared.value.score(t) for t in texts], dtype=float)
+
+    return score_of(F.col("text"))
+
+
 def score(docs: DataFrame, model: Machine) -> DataFrame:
     """doc_id and score of every whole text. Null and empty texts are texts without words;
     repeated rows are scored alike; an empty table gives no rows."""
