@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm import (
@@ -49,20 +49,22 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-HELD_OUT = F.coalesce(held_out(), F.lit(False)).alias("held_out")
+def _held_out() -> Column:
+    """Rows without doc_id are of no fold."""
+    return F.coalesce(held_out(), F.lit(False)).alias("held_out")
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = language.predict(docs, language.train(docs))
-    return found.select("doc_id", HELD_OUT, "lang_pred", "score")
+    return found.select("doc_id", _held_out(), "lang_pred", "score")
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
     return found.select(
-        "doc_id", HELD_OUT, "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+        "doc_id", _held_out(), "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
 
 
@@ -82,7 +84,7 @@ def op9_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     found = quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
     kept = (F.col("score") >= quality.KEPT_FROM).cast("int").alias("predicted")
-    return found.select("doc_id", HELD_OUT, "score", kept)
+    return found.select("doc_id", _held_out(), "score", kept)
 
 
 def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
