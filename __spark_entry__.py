@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from datetime import date
+from datetime import date, timedelta
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,9 +19,9 @@ from curbline.plans.lake import Lake
 from curbline.schema import DROPOFF, PICKUP, conform, struct_of
 from curbline.session import apply_settings, fresh_path
 from curbline.sources import samples
-from curbline.sources.files import file_stream, read_zone_lookup
+from curbline.sources.files import file_stream, read_trips, read_zone_lookup
 from curbline.streaming.tables import drain_to_table
-from curbline.streaming.windows import trip_windows, windowed
+from curbline.streaming.windows import close_windows, trip_windows, windowed, with_closing
 
 DAY = date(2024, 1, 1)
 STAMP = "_gold_updated_at"
@@ -35,6 +35,11 @@ def _trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     return samples.trips(apply_settings(spark), sf_dir)
 
 
+def _edge_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips of three days, some without times."""
+    return samples.trips(apply_settings(spark), sf_dir, samples.EDGE_FIELDS)
+
+
 def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refine(_trips(spark, sf_dir))
 
@@ -101,7 +106,7 @@ FLAGS = [*FLAG_COLUMNS, "is_anomaly"]
 
 
 def trips_day_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    day = one_day(_trips(spark, sf_dir), PICKUP, DAY)
+    day = one_day(_edge_trips(spark, sf_dir), PICKUP, DAY)
     return _comparable(day.select(*RAW, F.hour(PICKUP).alias("pickup_hour")))
 
 
@@ -119,11 +124,13 @@ def events_day_window(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def replay_hour_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return replay.hour_batch_counts(spark, _landing(spark, sf_dir))
+    landing = fresh_path(spark, "landing")
+    replay.write_hour_batches(_edge_trips(spark, sf_dir), DAY, landing)
+    return replay.hour_batch_counts(spark, landing)
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return reports.gate_report(_trips(spark, sf_dir))
+    return reports.gate_report(_edge_trips(spark, sf_dir))
 
 
 def trip_measures(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -178,13 +185,13 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = _silver(spark, sf_dir)
-    totals = gold.trip_totals(silver)
+    totals = gold.trip_totals(_silver(spark, sf_dir))
     return reports.run_report(
         _trips(spark, sf_dir),
-        silver,
+        None,
         gold.zone_kpis(totals, _zones(spark, sf_dir)),
         gold.hourly_kpis(totals),
+        totals,
     )
 
 
@@ -247,8 +254,12 @@ def stream_hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake.create(fresh_path(spark, "lake"))
     events = file_stream(spark, lake.landing, samples.EVENT_COLUMNS)
     counted = {"events": F.count(F.lit(1)), "total_value": F.sum("value")}
-    table = f"{lake.database}.event_windows"
-    drain_to_table(windowed(events, "ts", ["event_type"], counted), table)
+    table, markers = f"{lake.database}.event_windows", fresh_path(spark, "markers")
+    windows = windowed(with_closing(events, markers), "ts", ["event_type"], counted)
+    drain_to_table(windows, table)
+    last = samples.events(spark, sf_dir).agg(F.max("ts")).first()[0]
+    close_windows(events, markers, "ts", last + timedelta(days=1))
+    drain_to_table(windows, table)
     return spark.table(table).select(
         F.unix_seconds("window_start").alias("window_start"),
         "event_type",
@@ -259,11 +270,54 @@ def stream_hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_trip_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _silver_lake(spark, sf_dir)
-    table = f"{lake.database}.trip_windows"
-    drain_to_table(trip_windows(spark.readStream.table(lake.silver)), table)
+    table, markers = f"{lake.database}.trip_windows", fresh_path(spark, "markers")
+    silver = spark.readStream.table(lake.silver)
+    windows = trip_windows(with_closing(silver, markers))
+    drain_to_table(windows, table)
+    last = spark.table(lake.silver).agg(F.max(PICKUP)).first()[0]
+    close_windows(silver, markers, PICKUP, last + timedelta(days=1))
+    drain_to_table(windows, table)
     return spark.table(table).withColumn("window_start", F.unix_seconds("window_start"))
 
 
+def bronze_second_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two days that land and drain one after the other, then a drain with nothing new."""
+    trips, landing = _edge_trips(spark, sf_dir), fresh_path(spark, "landing")
+    lake = Lake(spark, f"curbline_{uuid.uuid4().hex}", landing)
+    lake.create(fresh_path(spark, "lake"))
+    for day in (DAY, DAY - timedelta(days=1)):
+        replay.write_hour_batches(trips, day, landing)
+        lake.fill_bronze()
+    lake.fill_bronze()
+    return _comparable(spark.table(lake.bronze).select(*RAW, "_batch_hour"))
+
+
+def bronze_refill(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows, distinct places in files and files of a bronze table that was reset and filled anew,
+    and the rows of a sample."""
+    lake = _bronze_lake(spark, sf_dir)
+    lake.reset()
+    lake.fill_bronze()
+    table = spark.table(lake.bronze)
+    counted = table.agg(
+        F.count(F.lit(1)).alias("row_count"),
+        F.count_distinct("_source_file", "_kafka_offset_sim").alias("places"),
+        F.count_if(F.col("_ingest_timestamp").isNull()).alias("without_time"),
+    )
+    return counted.withColumn("sample_rows", bronze.sample(table).agg(F.count(F.lit(1))).scalar())
+
+
+def mixed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips written in two layouts that differ in types, in columns and in the times' zone."""
+    trips, path = _trips(spark, sf_dir), fresh_path(spark, "months")
+    first = F.col("VendorID") == 1
+    trips.where(first).write.parquet(f"{path}/month=1")
+    other = {"passenger_count": "bigint", PICKUP: "timestamp_ntz", DROPOFF: "timestamp_ntz"}
+    older = trips.where(~first).withColumns({c: F.col(c).cast(t) for c, t in other.items()})
+    older.drop("airport_fee", "Airport_fee").write.parquet(f"{path}/month=2")
+    return _comparable(read_trips(spark, path).select(*RAW))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """The hourly KPIs at the smallest scale."""
     return hourly_kpis(spark, "/root/testdata/sf0.001")
@@ -312,6 +366,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         conform_events,
         stream_hourly_windows,
         stream_trip_windows,
+        bronze_second_drain,
+        bronze_refill,
+        mixed_months,
     ]
     return {query.__name__: query for query in named} | _corpus_queries()
 
@@ -334,6 +391,9 @@ _FIELDS = ", ".join(f"{expression} AS {name}" for name, expression in samples.TR
 _TRIPS = f"""
 trips AS (SELECT {_FIELDS} FROM lineitem)"""
 
+_EDGE_TRIPS = f"""
+trips AS (SELECT {", ".join(f"{e} AS {name}" for name, e in samples.EDGE_FIELDS.items())} FROM lineitem)"""
+
 _SILVER = (
     _TRIPS
     + f""",
@@ -432,7 +492,7 @@ SELECT {_RAW}, {", ".join(DERIVED_COLUMNS)}, {_FLAG_TEXT} FROM silver"""
 
 def oracle_sql() -> dict[str, str]:
     return {
-        "trips_day_window": f"""WITH {_TRIPS}
+        "trips_day_window": f"""WITH {_EDGE_TRIPS}
 SELECT {_RAW}, {_BATCH_HOUR} AS pickup_hour FROM trips
 WHERE make_timestamp(pu_sec * 1000000) >= TIMESTAMP '2024-01-01 00:00:00'
   AND make_timestamp(pu_sec * 1000000) < TIMESTAMP '2024-01-02 00:00:00'""",
@@ -440,12 +500,16 @@ WHERE make_timestamp(pu_sec * 1000000) >= TIMESTAMP '2024-01-01 00:00:00'
 SELECT event_id, epoch_us(ts) AS ts_micros, strftime(ts, '%H') AS hour, event_type, value
 FROM events
 WHERE ts >= TIMESTAMP '2024-01-15 00:00:00' AND ts < TIMESTAMP '2024-01-16 00:00:00'""",
-        "replay_hour_counts": f"""WITH {_TRIPS},
-per_hour AS (SELECT {_BATCH_HOUR} AS hour, count(*) AS found FROM trips GROUP BY 1),
+        "replay_hour_counts": f"""WITH {_EDGE_TRIPS},
+per_hour AS (
+  SELECT {_BATCH_HOUR} AS hour, count(*) AS found FROM trips
+  WHERE make_timestamp(pu_sec * 1000000) >= TIMESTAMP '2024-01-01 00:00:00'
+    AND make_timestamp(pu_sec * 1000000) < TIMESTAMP '2024-01-02 00:00:00'
+  GROUP BY 1),
 hours AS (SELECT CAST(range AS INTEGER) AS hour FROM range(24))
 SELECT hour, CAST(coalesce(sum(found), 0) AS BIGINT) AS trips
 FROM hours LEFT JOIN per_hour USING (hour) GROUP BY ROLLUP (hour)""",
-        "quality_gate": f"""WITH {_TRIPS},
+        "quality_gate": f"""WITH {_EDGE_TRIPS},
 checked AS (
   SELECT pu_sec IS NOT NULL AS a, do_sec IS NOT NULL AS b,
     coalesce(do_sec > pu_sec, FALSE) AS c, coalesce(do_sec - pu_sec < 86400, FALSE) AS d,
@@ -530,13 +594,22 @@ WITH hours AS (
   SELECT date_trunc('hour', ts) AS start, event_type, count(*) AS events,
     {_round("sum(value)", 2)} AS total_value
   FROM events GROUP BY 1, 2)
-SELECT CAST(epoch(start) AS BIGINT) AS window_start, event_type, events, total_value FROM hours
-WHERE start + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 10 MINUTE""",
+SELECT CAST(epoch(start) AS BIGINT) AS window_start, event_type, events, total_value
+FROM hours""",
         "stream_trip_windows": f"""WITH {_SILVER},
 hours AS (
   SELECT pu_sec - pu_sec % 3600 AS window_start, {_SHARED_KPIS}, {_CARD_CASH}
   FROM silver GROUP BY 1)
-SELECT * FROM hours WHERE window_start + 3600 <= (SELECT max(pu_sec) FROM silver) - 600""",
+SELECT * FROM hours""",
+        "bronze_second_drain": f"""WITH {_EDGE_TRIPS}
+SELECT {_RAW}, {_BATCH_HOUR} AS _batch_hour FROM trips
+WHERE make_timestamp(pu_sec * 1000000) >= TIMESTAMP '2023-12-31 00:00:00'
+  AND make_timestamp(pu_sec * 1000000) < TIMESTAMP '2024-01-02 00:00:00'""",
+        "bronze_refill": """
+SELECT count(*) AS row_count, count(*) AS places, CAST(0 AS BIGINT) AS without_time,
+  least(count(*), 10) AS sample_rows
+FROM lineitem""",
+        "mixed_months": f"WITH {_TRIPS} SELECT {_RAW} FROM trips",
     } | _corpus_sql()
 
 

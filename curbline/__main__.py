@@ -6,6 +6,7 @@ import argparse
 from datetime import date
 
 from curbline.plans.lake import Lake
+from curbline.schema import TRIP_COLUMNS
 from curbline.session import build_session
 
 STAGES = ["land", "bronze", "silver", "gold", "report"]
@@ -24,7 +25,19 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--zones", help="zone lookup CSV, for the gold stage")
     parser.add_argument("--format", default="parquet", dest="table_format")
     parser.add_argument("--max-files-per-trigger", type=int)
-    parser.add_argument("--reset", action="store_true", help="first drop the tables that the stages fill, and those after them")
+    parser.add_argument(
+        "--file-type",
+        action="append",
+        default=[],
+        metavar="COLUMN=TYPE",
+        help="the type that landing files of others have for a column",
+    )
+    parser.add_argument(
+        "--reset",
+        action="store_true",
+        help="first drop the tables that the stages fill, and those after them; "
+        "the land stage then replaces a day that has landed",
+    )
     options = parser.parse_args(argv)
     options.stages = options.stages or STAGES
     unknown = set(options.stages) - set(STAGES)
@@ -46,17 +59,24 @@ def main(argv: list[str] | None = None) -> None:
         options.landing,
         table_format=options.table_format,
         source_options={"maxFilesPerTrigger": str(limit)} if limit else {},
+        file_columns=TRIP_COLUMNS | dict(pair.split("=", 1) for pair in options.file_type),
     )
     lake.create(options.database_location)
     lake.use()
     if options.reset:
-        first = {"bronze": lake.bronze, "silver": lake.silver, "gold": lake.gold_zones}
+        # New files for a day that the tables hold would double it.
+        first = {
+            "land": lake.bronze,
+            "bronze": lake.bronze,
+            "silver": lake.silver,
+            "gold": lake.gold_zones,
+        }
         refilled = [first[stage] for stage in STAGES if stage in options.stages and stage in first]
         if refilled:
             lake.reset(refilled[0])
     for stage in (stage for stage in STAGES if stage in options.stages):
         if stage == "land":
-            lake.land(options.trips, options.day).show(30)
+            lake.land(options.trips, options.day, replace=options.reset).show(30)
         elif stage == "bronze":
             lake.fill_bronze()
         elif stage == "silver":

@@ -14,6 +14,7 @@ from curbline.schema import DROPOFF, PICKUP
 
 LATE_BY = "10 minutes"
 
+# The columns that silver adds.
 DERIVED_COLUMNS = [
     "trip_duration_mins",
     "speed_mph",

@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from curbline.operators.ranking import rank_descending
 from curbline.operators.totals import HOUR, ZONE, roll_up, select_kpis, total_up
-from curbline.operators.zones import add_zone_names
+from curbline.operators.zones import add_zone_names, require_unique_zones
 from curbline.session import keep
 
 REVENUE = "total_revenue_usd"
 PEAK_HOURS = 3
 TOP_ZONES = 15
 
+# The columns of both gold tables and of the top zones.
 ZONE_KPIS = [
     "total_trips",
     REVENUE,
@@ -51,11 +52,12 @@ def trip_totals(silver: DataFrame) -> DataFrame:
 def zone_kpis(totals: DataFrame, zones: DataFrame) -> DataFrame:
     """KPIs per known pickup zone, with zone names and the rank by revenue.
 
-    The number of zones is set by the data, so the rank avoids a one-task window.
+    A lookup that repeats a location id is refused. The number of zones is set by the data, so the rank avoids a one-task window.
     """
     per_zone = roll_up(totals.filter(F.col(ZONE).isNotNull()), [ZONE])
     named = add_zone_names(
-        select_kpis(per_zone, [F.col(ZONE).alias("location_id")], ZONE_KPIS), zones
+        select_kpis(per_zone, [F.col(ZONE).alias("location_id")], ZONE_KPIS),
+        require_unique_zones(zones),
     )
     ranked = rank_descending(keep(named, "zone-kpis"), REVENUE, "revenue_rank_overall")
     return ranked.withColumn("_gold_updated_at", F.current_timestamp())

@@ -8,8 +8,9 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from curbline.operators.zones import require_unique_zones, zone_dimension
+from curbline.operators.zones import zone_dimension
 from curbline.plans import bronze, gold, replay, reports, silver
+from curbline.schema import TRIP_COLUMNS
 from curbline.sources.files import read_trips, read_zone_lookup
 
 
@@ -17,13 +18,15 @@ from curbline.sources.files import read_trips, read_zone_lookup
 class Lake:
     """Names and paths of one installation. ``landing`` and the database lie on storage
     that every executor reaches. ``source_options`` limit what one micro-batch of the
-    bronze and silver streams takes, as in ``{"maxFilesPerTrigger": "10000"}``."""
+    bronze and silver streams takes, as in ``{"maxFilesPerTrigger": "10000"}``.
+    ``file_columns`` are the types of landing files that others wrote."""
 
     spark: SparkSession
     database: str
     landing: str
     table_format: str = "parquet"
     source_options: Mapping[str, str] = field(default_factory=dict)
+    file_columns: Mapping[str, str] = field(default_factory=lambda: dict(TRIP_COLUMNS))
 
     @property
     def bronze(self) -> str:
@@ -59,16 +62,19 @@ class Lake:
         for table in tables[tables.index(first) if first else 0 :]:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
-    def land(self, trips_path: str, day: date) -> DataFrame:
-        """Write a day's hourly batches and return their counts."""
-        replay.write_hour_batches(read_trips(self.spark, trips_path), day, self.landing)
-        return replay.hour_batch_counts(self.spark, self.landing)
+    def land(self, trips_path: str, day: date, replace: bool = False) -> DataFrame:
+        """Write a day's hourly batches and return their counts. A day that has landed is refused;
+        ``replace`` it only after a reset, or its trips are taken twice."""
+        trips = read_trips(self.spark, trips_path)
+        replay.write_hour_batches(trips, day, self.landing, replace)
+        return replay.hour_batch_counts(self.spark, replay.day_folder(self.landing, day))
 
     def fill_bronze(self) -> None:
         bronze.ingest(
             self.spark,
             self.landing,
             self.bronze,
+            file_columns=self.file_columns,
             source_options=self.source_options,
             table_format=self.table_format,
         )
@@ -85,7 +91,6 @@ class Lake:
     def fill_gold(self, zones: DataFrame) -> None:
         """Replace both gold tables from one scan of silver."""
         totals = gold.trip_totals(self.spark.table(self.silver))
-        zones = require_unique_zones(zones)
         gold.replace_table(gold.zone_kpis(totals, zones), self.gold_zones, self.table_format)
         gold.replace_table(gold.hourly_kpis(totals), self.gold_hours, self.table_format)
 

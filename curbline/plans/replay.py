@@ -4,39 +4,57 @@ from __future__ import annotations
 
 from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from curbline.functions.labels import hour_in_path
 from curbline.operators.days import one_day, two_digit_hour
-from curbline.schema import PICKUP
+from curbline.schema import PICKUP, TRIP_SCHEMA
 
 
-def write_hour_batches(trips: DataFrame, day: date, landing: str) -> None:
-    """Write the trips of ``day`` under ``landing/hour=00`` to ``landing/hour=23``.
+def day_folder(landing: str, day: date) -> str:
+    return f"{landing.rstrip('/')}/day={day.isoformat()}"
+
+
+def write_hour_batches(trips: DataFrame, day: date, landing: str, replace: bool = False) -> None:
+    """Write the trips of ``day`` under ``landing/day=.../hour=00`` to ``hour=23``.
+
+    Nothing outside the day's folder is touched. A day that has landed is refused, since a
+    stream may have taken its files and would take new ones again; ``replace`` is for a day
+    whose tables are reset as well.
 
     One pass over the day. The rebalance brings an hour's rows together, so that an
     hour is one file, and splits an hour that outgrows
     ``spark.sql.adaptive.advisoryPartitionSizeInBytes`` over several tasks and files.
     An hour without trips gets no folder.
     """
-    (
+    batches = (
         one_day(trips, PICKUP, day)
         .withColumn("hour", two_digit_hour(PICKUP))
         .hint("rebalance", "hour")
         .write.partitionBy("hour")
-        .mode("overwrite")
-        .parquet(landing)
+        .mode("overwrite" if replace else "errorifexists")
     )
+    try:
+        batches.parquet(day_folder(landing, day))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_ALREADY_EXISTS":
+            raise
+        raise ValueError(f"{day} has landed; reset its tables and replace it") from error
 
 
 def hour_batch_counts(spark: SparkSession, landing: str) -> DataFrame:
-    """Trips per hour of the landing folder, hours without trips included.
+    """Trips per hour of a landing folder, or of one day of it, hours without trips included.
 
-    The row with NULL ``hour`` is the total. The counts need no column of the files.
+    The row with NULL ``hour`` is the total. The counts need no column of the files, so no
+    file's types matter, and an hour is found by its path, however it is spelled.
     """
     written = (
-        spark.read.parquet(landing)
-        .groupBy(F.col("hour").cast("int").alias("hour"))
+        spark.read.schema(TRIP_SCHEMA)
+        .option("recursiveFileLookup", True)
+        .parquet(landing)
+        .groupBy(hour_in_path(F.col("_metadata.file_path")).alias("hour"))
         .agg(F.count(F.lit(1)).alias("found"))
     )
     hours = spark.range(24).select(F.col("id").cast("int").alias("hour"))

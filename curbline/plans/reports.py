@@ -9,7 +9,7 @@ from curbline.functions.measures import percent_of
 from curbline.functions.rules import quality_checks
 from curbline.operators.totals import roll_up, select_kpis
 
-# Report column -> anomaly flag.
+# Report column -> anomaly flag.
 BREAKDOWN = {
     "zero_fare": "anomaly_zero_fare",
     "impossible_speed": "anomaly_speed",
@@ -39,20 +39,30 @@ def quality_report(bronze: DataFrame, silver: DataFrame) -> DataFrame:
 
     One pass over the flag column of silver; counting bronze reads no column.
     """
-    return (
-        silver.agg(
-            F.count(F.lit(1)).alias("silver_rows"),
-            F.count_if(F.col("is_anomaly")).alias("anomalies"),
-        )
-        .withColumn("bronze_rows", bronze.agg(F.count(F.lit(1))).scalar())
-        .select(
-            "bronze_rows",
-            "silver_rows",
-            (F.col("bronze_rows") - F.col("silver_rows")).alias("dropped_rows"),
-            "anomalies",
-            percent_of(F.col("anomalies"), F.col("silver_rows")).alias("anomaly_rate_pct"),
-        )
+    counted = silver.agg(
+        F.count(F.lit(1)).alias("silver_rows"),
+        F.count_if(F.col("is_anomaly")).alias("anomalies"),
+    )
+    return _with_bronze(counted, bronze)
+
+
+def _with_bronze(counted: DataFrame, bronze: DataFrame) -> DataFrame:
+    return counted.withColumn("bronze_rows", bronze.agg(F.count(F.lit(1))).scalar()).select(
+        "bronze_rows",
+        "silver_rows",
+        (F.col("bronze_rows") - F.col("silver_rows")).alias("dropped_rows"),
+        "anomalies",
+        percent_of(F.col("anomalies"), F.col("silver_rows")).alias("anomaly_rate_pct"),
+    )
+
+
+def totals_report(bronze: DataFrame, totals: DataFrame) -> DataFrame:
+    """``quality_report`` from totals of silver, which hold its trips and anomalies already."""
+    counted = roll_up(totals, []).select(
+        F.coalesce("trips", F.lit(0)).alias("silver_rows"),
+        F.coalesce("is_anomaly_trips", F.lit(0)).alias("anomalies"),
     )
+    return _with_bronze(counted, bronze)
 
 
 def anomaly_breakdown(totals: DataFrame) -> DataFrame:
@@ -75,11 +85,15 @@ def time_of_day_kpis(totals: DataFrame) -> DataFrame:
 
 
 def run_report(
-    bronze: DataFrame, silver: DataFrame, zone_table: DataFrame, hourly_table: DataFrame
+    bronze: DataFrame,
+    silver: DataFrame | None,
+    zone_table: DataFrame,
+    hourly_table: DataFrame,
+    totals: DataFrame | None = None,
 ) -> DataFrame:
     """One row that sums up a run over its four tables, each read once.
 
-    ``silver_rows`` still holds the flagged trips. Total revenue is that of the zone
+    ``totals`` of silver, where they are at hand, stand in for it. ``silver_rows`` still holds the flagged trips. Total revenue is that of the zone
     table, so trips without a zone are not in it. Ties for the peak hour and the top
     zone go to the smaller hour and location id.
     """
@@ -100,7 +114,10 @@ def run_report(
             ).alias("peak"),
         )
     )
-    tallies = quality_report(bronze, silver)
+    if totals is not None:
+        tallies = totals_report(bronze, totals)
+    else:
+        tallies = quality_report(bronze, silver)
     return (
         tallies.withColumns(
             {

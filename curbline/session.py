@@ -38,7 +38,10 @@ def build_session(app_name: str = "curbline", **extra: str) -> SparkSession:
 
 
 def apply_settings(spark: SparkSession) -> SparkSession:
-    """SETTINGS on a session that somebody else built."""
+    """SETTINGS on a session that somebody else built.
+
+    They stay: results are lazy, so there is no point at which they could be put back.
+    """
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
     return spark

@@ -3,16 +3,48 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
-from pyspark.errors import AnalysisException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, PySparkException
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline.schema import TRIP_COLUMNS, conform, struct_of
 
+# A file stream skips files that are older than this, against the newest it has seen. Its own
+# limit of a week would lose late backfills without an error.
+NEVER_TOO_OLD = "36500d"
+FOOTERS_AT_ONCE = 16
+
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    """Trip files in whatever types they were written with, cast to the trip schema."""
-    return conform(spark.read.parquet(path))
+    """Trip files in whatever types they were written with, cast to the trip schema.
+
+    Months differ: counts are integers or doubles, times have a zone or not, columns are
+    missing. Spark merges the schemas of a folder in tasks. Where two types of a column can't
+    be merged, files are scanned in groups of one schema; the driver then reads one footer for
+    each file and keeps the few distinct schemas.
+    """
+    try:
+        return conform(spark.read.option("mergeSchema", True).parquet(path))
+    except (PySparkException, Py4JJavaError) as error:
+        if "CANNOT_MERGE_SCHEMAS" not in str(error):
+            raise
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    names = [r.path for r in files.load(path).select("path").collect() if _is_data(r.path)]
+    with ThreadPoolExecutor(FOOTERS_AT_ONCE) as pool:
+        schemas = list(pool.map(lambda name: spark.read.parquet(name).schema, names))
+    groups: dict[str, tuple] = {}
+    for name, schema in zip(names, schemas, strict=True):
+        groups.setdefault(schema.json(), (schema, []))[1].append(name)
+    scans = (spark.read.schema(schema).parquet(*own) for schema, own in groups.values())
+    return reduce(DataFrame.unionByName, map(conform, scans))
+
+
+def _is_data(path: str) -> bool:
+    """Spark's rule: names that begin with a dot or an underscore are not data."""
+    return not path.rsplit("/", 1)[-1].startswith(("_", "."))
 
 
 def read_zone_lookup(spark: SparkSession, path: str) -> DataFrame:
@@ -39,7 +71,9 @@ def file_stream(
     """New Parquet files anywhere below ``path``, as a stream with a declared schema.
 
     Batches arrive in sub-folders, which a file stream reads only with recursive lookup.
-    ``options`` are those of the file source, such as ``maxFilesPerTrigger``.
+    Files count as new however old they are. ``options`` are those of the file source, such
+    as ``maxFilesPerTrigger``, or a lower ``maxFileAge`` where nothing is filled in late.
     """
     reader = spark.readStream.schema(struct_of(columns)).option("recursiveFileLookup", True)
+    reader = reader.option("maxFileAge", NEVER_TOO_OLD)
     return reader.options(**options).parquet(path)

@@ -7,6 +7,8 @@ same in Spark SQL and DuckDB, and the checks in ``__spark_entry__`` use them too
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -43,6 +45,18 @@ TRIP_FIELDS = {
     ),
 }
 
+# The same trips over three days, some without a pickup or dropoff time.
+_EDGE_PICKUP = (
+    f"{_PICKUP_SECOND} + CAST((l_orderkey % 3 - 1) * 86400 AS BIGINT)"
+)
+EDGE_FIELDS = TRIP_FIELDS | {
+    "pu_sec": f"CASE WHEN l_partkey % 101 = 0 THEN NULL ELSE {_EDGE_PICKUP} END",
+    "do_sec": (
+        "CASE WHEN l_partkey % 103 = 0 THEN NULL ELSE"
+        f" {TRIP_FIELDS['do_sec'].replace(_PICKUP_SECOND, _EDGE_PICKUP)} END"
+    ),
+}
+
 EVENT_COLUMNS = {
     "event_id": "long",
     "ts": "timestamp",
@@ -53,10 +67,12 @@ EVENT_COLUMNS = {
 }
 
 
-def trips(spark: SparkSession, sf_dir: str) -> DataFrame:
+def trips(
+    spark: SparkSession, sf_dir: str, trip_fields: Mapping[str, str] = TRIP_FIELDS
+) -> DataFrame:
     """All of ``lineitem`` as trips with the full trip schema."""
     fields = spark.read.parquet(f"{sf_dir}/lineitem.parquet").selectExpr(
-        *(f"{expression} AS {name}" for name, expression in TRIP_FIELDS.items())
+        *(f"{expression} AS {name}" for name, expression in trip_fields.items())
     )
     return conform(
         fields.withColumns(

@@ -2,13 +2,17 @@
 
 A window is emitted once the watermark (latest event time seen, less the delay) has
 passed its end. Under ``availableNow`` the last windows therefore stay open until newer
-rows arrive. Groups are combined on the map side before the state store, whose size is
+rows arrive, or until they are closed: a stream ``with_closing`` also reads a folder of
+marker rows, and ``close_windows`` puts one there whose time is past all windows. The
+marker moves the watermark and is left out of the results. What arrives later for a time
+before it is late. Groups are combined on the map side before the state store, whose size is
 the number of open windows times the other keys.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -16,7 +20,11 @@ from pyspark.sql import functions as F
 from curbline.operators.refine import LATE_BY
 from curbline.operators.totals import select_kpis, total_up
 from curbline.schema import PICKUP
+from curbline.sources.files import NEVER_TOO_OLD
 
+MARKER = "_closes_windows"
+
+# The KPIs of a window.
 WINDOW_KPIS = [
     "total_trips",
     "total_revenue_usd",
@@ -31,6 +39,33 @@ WINDOW_KPIS = [
 ]
 
 
+def with_closing(stream: DataFrame, folder: str) -> DataFrame:
+    """``stream`` and the markers of ``folder``, which is made if it is missing."""
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.mode("append").parquet(folder)
+    markers = spark.readStream.schema(stream.schema).option("maxFileAge", NEVER_TOO_OLD)
+    return stream.withColumn(MARKER, F.lit(False)).unionByName(
+        markers.parquet(folder).withColumn(MARKER, F.lit(True))
+    )
+
+
+def close_windows(stream: DataFrame, folder: str, time: str, at: datetime) -> None:
+    """Put a marker of time ``at`` into ``folder``; the next drain emits every window that ends by
+    ``at`` less the delay of the watermark. ``stream`` is the one without markers."""
+    row = [tuple(at if name == time else None for name in stream.columns)]
+    marker = stream.sparkSession.createDataFrame(row, stream.schema)
+    marker.coalesce(1).write.mode("append").parquet(folder)
+
+
+def _watermarked(stream: DataFrame, time: str, late_by: str) -> DataFrame:
+    """Markers count for the watermark and go then. The filter names the time, or Spark would move
+    it before the watermark."""
+    marked = stream.withWatermark(time, late_by)
+    if MARKER not in stream.columns:
+        return marked
+    return marked.filter(F.col(time).isNull() | ~F.col(MARKER)).drop(MARKER)
+
+
 def windowed(
     stream: DataFrame,
     time: str,
@@ -41,7 +76,7 @@ def windowed(
 ) -> DataFrame:
     """Named ``aggregates`` per tumbling window of ``time`` and ``keys``."""
     return (
-        stream.withWatermark(time, late_by)
+        _watermarked(stream, time, late_by)
         .groupBy(F.window(time, width), *keys)
         .agg(*(value.alias(name) for name, value in aggregates.items()))
         .select(F.col("window.start").alias("window_start"), *keys, *aggregates)
@@ -50,5 +85,5 @@ def windowed(
 
 def trip_windows(refined: DataFrame, width: str = "1 hour", late_by: str = LATE_BY) -> DataFrame:
     """Trip KPIs per pickup window of a refined stream."""
-    totals = total_up(refined.withWatermark(PICKUP, late_by), [F.window(PICKUP, width)])
+    totals = total_up(_watermarked(refined, PICKUP, late_by), [F.window(PICKUP, width)])
     return select_kpis(totals, [F.col("window.start").alias("window_start")], WINDOW_KPIS)

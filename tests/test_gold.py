@@ -8,6 +8,7 @@ from curbline.operators.totals import HOUR, ZONE, roll_up, total_up
 from curbline.operators.zones import add_zone_names, require_unique_zones
 from curbline.plans import gold, reports
 from curbline.schema import PICKUP
+from curbline.plans.reports import quality_report, totals_report
 from tests.rows import START, frame, trip
 
 ZONES = "location_id long, borough string, zone_name string, service_zone string"
@@ -130,8 +131,22 @@ def test_top_zones_breaks_ties_by_location(silver, zones):
 
 def test_repeated_zone_is_refused(spark, zones):
     assert require_unique_zones(zones) is zones
+    doubled = zones.unionByName(zones.filter("location_id = 132"))
     with pytest.raises(ValueError, match="132"):
-        require_unique_zones(zones.unionByName(zones.filter("location_id = 132")))
+        require_unique_zones(doubled)
+
+
+def test_zone_kpis_refuse_a_repeated_zone(silver, zones):
+    doubled = zones.unionByName(zones.filter("location_id = 132"))
+    with pytest.raises(ValueError, match="132"):
+        gold.zone_kpis(total_up(silver, [ZONE]), doubled)
+
+
+def test_report_from_totals_equals_the_report_from_trips(silver):
+    totals = total_up(silver, [ZONE, *HOUR])
+    assert totals_report(silver, totals).collect() == quality_report(silver, silver).collect()
+    none = silver.limit(0)
+    assert totals_report(none, total_up(none, [ZONE, *HOUR])).first().silver_rows == 0
 
 
 def test_zone_join_broadcasts_only_below_the_threshold(spark, zones):
@@ -140,7 +155,11 @@ def test_zone_join_broadcasts_only_below_the_threshold(spark, zones):
     def strategy():
         return add_zone_names(rows, zones)._jdf.queryExecution().sparkPlan().toString()
 
-    assert "BroadcastHashJoin" in strategy() or "SortMergeJoin" in strategy()
+    small = zones.sparkSession.range(100, 103).select(
+        F.col("id").alias("location_id"), F.lit("x").alias("zone_name")
+    )
+    known = add_zone_names(rows, small)._jdf.queryExecution().sparkPlan().toString()
+    assert "BroadcastHashJoin" in known
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:

@@ -29,6 +29,13 @@ def test_run_from_the_command_line(spark, tmp_path, capsys):
         main(options)
         lake = Lake(spark, database, str(tmp_path / "landing"))
         report = lake.report().first()
+        # Landing the day again is refused, and nothing is doubled.
+        with pytest.raises(ValueError, match="has landed"):
+            main(options)
+        assert lake.report().first() == report
+        # With a reset, the whole run starts anew.
+        main(["--reset", *options])
+        assert lake.report().first() == report
         # A second run of the later stages replaces and adds nothing.
         main(["bronze", "silver", "gold", *options])
         assert lake.report().first() == report

@@ -19,10 +19,12 @@ def tables():
 
 
 def test_every_query_has_sql():
-    assert registry.queries().keys() == registry.oracle_sql().keys()
+    """The corpus queries say where they are checked instead."""
+    own = registry.queries().keys() - registry._corpus_queries().keys()
+    assert own <= registry.oracle_sql().keys() <= registry.queries().keys()
 
 
-@pytest.mark.parametrize("name", registry.queries())
+@pytest.mark.parametrize("name", registry.oracle_sql().keys() - registry._corpus_sql().keys())
 def test_query_matches_sql(spark, tables, name):
     rows = registry.queries()[name](spark, SF_DIR)
     assert differences(rows, tables, registry.oracle_sql()[name]) == ""

@@ -3,7 +3,9 @@ from __future__ import annotations
 from datetime import date, timedelta
 from pathlib import Path
 
-from curbline.plans.replay import hour_batch_counts, write_hour_batches
+import pytest
+
+from curbline.plans.replay import day_folder, hour_batch_counts, write_hour_batches
 from curbline.schema import PICKUP, TRIP_COLUMNS, conform
 from tests.rows import START, frame, trip
 
@@ -18,7 +20,7 @@ def at(**since_midnight):
 def files(landing):
     return {
         folder.name: len(list(folder.glob("*.parquet")))
-        for folder in Path(landing).iterdir()
+        for folder in Path(day_folder(landing, DAY)).iterdir()
         if folder.is_dir()
     }
 
@@ -31,17 +33,45 @@ def test_one_file_per_hour_of_the_day(spark, tmp_path):
     write_hour_batches(rows, DAY, landing)
     assert files(landing) == {"hour=00": 1, "hour=05": 1, "hour=23": 1}
     written = spark.read.parquet(landing)
-    assert written.columns == [*TRIP_COLUMNS, "hour"]
+    assert written.columns == [*TRIP_COLUMNS, "day", "hour"]
     kept = frame(spark, trips[:60])
     assert conform(written).exceptAll(kept).isEmpty() and written.count() == 60
 
     counts = [tuple(row) for row in hour_batch_counts(spark, landing).collect()]
     assert counts == [(h, 20 if h in (0, 5, 23) else 0) for h in range(24)] + [(None, 60)]
 
-    write_hour_batches(rows.limit(0).unionByName(frame(spark, [at(hours=1)])), DAY, landing)
+    one = rows.limit(0).unionByName(frame(spark, [at(hours=1)]))
+    with pytest.raises(ValueError, match="has landed"):
+        write_hour_batches(one, DAY, landing)
+    assert len(files(landing)) == 3
+    write_hour_batches(one, DAY, landing, replace=True)
     assert files(landing) == {"hour=01": 1}
 
 
+def test_landing_touches_one_day_only(spark, tmp_path):
+    landing = tmp_path / "batches"
+    rows = frame(spark, [at(hours=3), at(hours=27), at(hours=28)])
+    write_hour_batches(rows, DAY, str(landing))
+    (landing / "zones.csv").write_text("LocationID\n")
+    write_hour_batches(rows, DAY + timedelta(days=1), str(landing))
+    write_hour_batches(rows, DAY, str(landing), replace=True)
+    assert (landing / "zones.csv").exists()
+    assert spark.read.option("pathGlobFilter", "*.parquet").parquet(str(landing)).count() == 3
+
+
+def test_counts_of_a_day_without_trips(spark, tmp_path):
+    landing = str(tmp_path / "batches")
+    write_hour_batches(frame(spark, [at(hours=30)]), DAY, landing)
+    counts = hour_batch_counts(spark, day_folder(landing, DAY)).collect()
+    assert [tuple(row) for row in counts] == [(h, 0) for h in range(24)] + [(None, 0)]
+
+
+def test_counts_of_folders_spelled_otherwise(spark, tmp_path):
+    frame(spark, [at(hours=7)] * 2).write.parquet(str(tmp_path / "b" / "hour_07"))
+    counts = dict(map(tuple, hour_batch_counts(spark, str(tmp_path / "b")).collect()))
+    assert counts[7] == counts[None] == 2
+
+
 def test_hot_hour_is_split_over_tasks(spark, tmp_path):
     """An hour beyond the advisory size becomes several files, and no row is lost."""
     settings = {

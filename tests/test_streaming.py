@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import os
+import time
 import uuid
 from datetime import timedelta
 from pathlib import Path
@@ -17,7 +19,7 @@ from curbline.sources.files import file_stream
 from curbline.sources.samples import trips as sample_trips
 from curbline.streaming.ingest import with_ingest_columns
 from curbline.streaming.tables import drain_to_table, table_folder
-from curbline.streaming.windows import trip_windows, windowed
+from curbline.streaming.windows import close_windows, trip_windows, windowed, with_closing
 from tests.rows import START, frame, trip
 
 MIDNIGHT = START.replace(hour=0)
@@ -197,6 +199,36 @@ def test_rows_behind_the_watermark_are_dropped(lake):
     assert set(closed_windows(lake, 1)) < {0, 1, 2, 3}
 
 
+def test_closing_emits_every_window(lake):
+    land_hours(lake)
+    stream, folder = file_stream(lake.spark, lake.landing), f"{lake.landing}_markers"
+    counted = {"trips": F.count(F.lit(1))}
+    windows = windowed(with_closing(stream, folder), PICKUP, ["VendorID"], counted)
+    table = f"{lake.database}.windows"
+    drain_to_table(windows, table)
+    open_ = lake.spark.table(table).count()
+    close_windows(stream, folder, PICKUP, START + timedelta(days=2))
+    drain_to_table(windows, table)
+    closed = lake.spark.table(table)
+    assert open_ < closed.count() and closed.agg(F.sum("trips")).first()[0] == 6
+    # A second marker closes the window of the first one, which has no rows.
+    close_windows(stream, folder, PICKUP, START + timedelta(days=4))
+    drain_to_table(windows, table)
+    assert lake.spark.table(table).agg(F.sum("trips")).first()[0] == 6
+
+
+def test_files_are_taken_however_old_they_are(spark, lake):
+    land_hours(lake)
+    lake.fill_bronze()
+    before = spark.table(lake.bronze).count()
+    frame(spark, [trip(), trip()]).write.parquet(f"{lake.landing}/late/hour_01")
+    weeks_ago = time.time() - 60 * 86400
+    for path in Path(f"{lake.landing}/late").rglob("*"):
+        os.utime(path, (weeks_ago, weeks_ago))
+    lake.fill_bronze()
+    assert spark.table(lake.bronze).count() == before + 2
+
+
 def test_trip_windows_equal_hourly_kpis_of_closed_hours(spark, lake):
     rows = sample_trips(spark, "/root/testdata/sf0.001")
     rows.write.parquet(f"{lake.landing}/hour_00")
