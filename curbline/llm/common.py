@@ -54,6 +54,18 @@ def map_arrow(
     return rows.mapInArrow(function, schema)
 
 
+def larger(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of ``rows`` or a little more; the last may be smaller."""
+    held: list[pa.RecordBatch] = []
+    for one in batches:
+        held.append(one)
+        if sum(b.num_rows for b in held) >= rows:
+            yield pa.concat_batches(held)
+            held = []
+    if held:
+        yield pa.concat_batches(held)
+
+
 def batch(**columns) -> pa.RecordBatch:
     """A record batch of the columns in the given order."""
     return pa.RecordBatch.from_pydict(columns)

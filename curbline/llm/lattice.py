@@ -25,13 +25,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import batch, fold, lower_words, map_arrow, stored
+from curbline.llm.common import batch, fold, larger, lower_words, map_arrow, stored
 from curbline.llm.vocabularies import vocabulary
 
 PIECES = "piece_bpe_32k.model"
 FOLDS, HELD_OUT = 7, 2
 # A group ends when it has as many distinct words, or tokens.
 GROUP_WORDS, GROUP_TOKENS = 250_000, 2_000_000
+# Words that are summed at once: those of one length share the array operations.
+WORDS_AT_ONCE = 20_000
 # Rounds of learning, uses of pieces that the vocabulary stands for, and lanes of sums.
 ROUNDS, PRIOR, LANES = 2, 1000.0, 64
 WORD_START = "▁"
@@ -167,7 +169,7 @@ def learned_weights(counted: DataFrame, folder: str | None, rounds: int = ROUNDS
         def expected(batches, weights=weights):
             own = lattice(vocabulary(PIECES, folder))
             counts = np.zeros(len(weights))
-            for rows in batches:
+            for rows in larger(batches, WORDS_AT_ONCE):
                 own.masses(rows.column("word").to_pylist(), weights, counts)
             yield batch(
                 lane=pa.array([TaskContext.get().partitionId() % LANES], pa.int32()),
@@ -263,7 +265,7 @@ def score(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     def masses(batches):
         own = lattice(vocabulary(PIECES, folder))
-        for rows in batches:
+        for rows in larger(batches, WORDS_AT_ONCE):
             found = own.masses(rows.column("word").to_pylist(), weights)
             yield batch(
                 word=rows.column("word"), c=rows.column("c"), mass=pa.array(found, pa.float64())

@@ -133,7 +133,7 @@ def label_model(fired: np.ndarray, lexicon_voters: int) -> LabelModel:
     for _ in range(ROUNDS):
         residual, rates = np.zeros((voters, voters)), []
         for weight in (1 - p, p):
-            rate = (weight @ fired + 0.5) / (weight.sum() + 50)
+            rate = (weight @ fired + 0.5) / (weight.sum() + 1)
             centred = fired - rate
             residual += (centred * weight[:, None]).T @ centred / max(1.0, n)
             rates.append(np.clip(rate, 1e-4, 1 - 1e-4))

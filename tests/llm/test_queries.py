@@ -1,0 +1,62 @@
+"""Registered queries against their SQL, and the pipeline stage by stage."""
+
+from __future__ import annotations
+
+import os
+import zlib
+
+import pytest
+
+import corpus_pipeline
+from curbline.llm import queries
+from tests.llm.corpora import clashing, frame, near_copies, odd_texts
+from tests.oracle import connect, differences
+
+SF_DIR = os.environ.get("CURBLINE_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.mark.parametrize("name", queries.SQL)
+def test_query_matches_sql(spark, name):
+    with connect(SF_DIR) as tables:
+        assert differences(queries.QUERIES[name](spark, SF_DIR), tables, queries.SQL[name]) == ""
+
+
+def test_held_out_documents_are_classified_well(spark):
+    """On documents that no model has seen."""
+    labels = {r.doc_id: r for r in spark.read.parquet(f"{SF_DIR}/labels.parquet").collect()}
+    langs = {r.doc_id: r.lang for r in spark.read.parquet(f"{SF_DIR}/documents.parquet").collect()}
+    good = [r for r in queries.op9_quality_classifier(spark, SF_DIR).collect()]
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in good)
+    known = [r for r in good if r.held_out and r.doc_id in labels]
+    assert sum(r.predicted == labels[r.doc_id].quality for r in known) >= 0.8 * len(known)
+    found = [r for r in queries.op4_language_id(spark, SF_DIR).collect() if r.held_out]
+    assert sum(r.lang_pred == langs[r.doc_id] for r in found) >= 0.9 * len(found)
+    assert len({r.doc_id for r in queries.op5_toxicity(spark, SF_DIR).collect()}) == len(langs)
+
+
+def test_stages_keep_the_columns_and_take_effect(spark):
+    """Each stage's rows are among its input's, and it drops what it should."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    columns, before = docs.columns, docs.count()
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        after = corpus_pipeline.stored(stage(spark, docs, SF_DIR), name)
+        assert after.columns == columns
+        assert after.join(docs, "doc_id", "left_anti").isEmpty()
+        assert after.count() <= docs.count()
+        if name == "ngram_jaccard_join":
+            again = corpus_pipeline.jaccard_join.join(after)
+            assert again.where("doc_id <> component_id").isEmpty()
+        docs = after
+    assert docs.count() < before
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, SF_DIR)
+    assert pieces.select("doc_id").distinct().count() == docs.count()
+
+
+def test_stages_accept_odd_rows(spark):
+    docs = clashing(frame(spark, [*odd_texts(), *near_copies(groups=1, copies=6)]))
+    for name, stage in corpus_pipeline.STAGES:
+        out = corpus_pipeline.stored(stage(spark, docs, SF_DIR), name)
+        assert out.count() > 0
+        if name != "packing":
+            assert out.columns == docs.columns
+            assert stage(spark, docs.limit(0), SF_DIR).count() == 0
