@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm import jaccard_join, language, line_dedup, packing, quality
-from curbline.llm.common import stored, table
+from curbline.llm.common import stored, table, whole_rows
 
 # Languages are kept when the prediction is one of those learned, and as sure as this.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -46,13 +46,14 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest doc_id. Of rows that
     share a doc_id all or none stay."""
-    found = stored(jaccard_join.join(docs).distinct(), "pipeline-components")
-    first = found.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(
-        F.min("component_id").alias("_component")
+    found = stored(jaccard_join.join(docs), "pipeline-components")
+    found = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
+        F.min("component_id").alias("component_id")
     )
-    joined = docs.join(first, F.col("doc_id").cast("bigint") == F.col("_id"), "left")
-    alone = F.col("_component").isNull() | (F.col("_component") == F.col("_id"))
-    return joined.where(alone).select(docs.columns)
+    same = F.col("row.doc_id").cast("bigint") == F.col("doc_id")
+    joined = whole_rows(docs).join(found, same, "left")
+    first = F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))
+    return joined.where(first).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -71,6 +71,11 @@ def batch(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(columns)
 
 
+def whole_rows(docs: DataFrame) -> DataFrame:
+    """Each row as one struct ``row``, which no other column's name can clash with."""
+    return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written to the shared folder and read back: computed once, and there is
     nothing to recompute when an executor is lost."""

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import stored
+from curbline.llm.common import stored, whole_rows
 from curbline.llm.rules import HAS_WORD, bound, word_list
 
 # Similar: 10 * intersection >= 9 * union.
@@ -193,15 +193,20 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     besides doc_id and text are passed on. An empty table gives no rows.
     """
     removed = stored(removed_by_document(docs), "removed-lines")
-    removed = removed.select(F.col("doc_id").alias("_removed_of"), F.col("removed").alias("_removed"))
-    joined = docs.join(removed, F.col("doc_id").cast("bigint") == F.col("_removed_of"), "left")
-    parts = F.split("text", "\n")
-    kept = F.array_join(
-        F.filter(parts, lambda x, i: ~F.array_contains("_removed", i)), "\n"
+    same = F.col("row.doc_id").cast("bigint") == F.col("doc_id")
+    joined = whole_rows(docs).join(removed, same, "left")
+    parts = F.filter(
+        F.split("row.text", "\n"), lambda x, i: ~F.array_contains("removed", i)
+    )
+    whole = F.col("removed").isNull()
+    text = F.when(whole, F.col("row.text")).otherwise(F.array_join(parts, "\n"))
+    joined = joined.withColumn("left_text", text)
+    return joined.where(whole | F.col("left_text").rlike(HAS_WORD)).select(
+        *(
+            (F.col("left_text") if c == "text" else F.col(f"row.`{c}`")).alias(c)
+            for c in docs.columns
+        )
     )
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(kept)
-    result = joined.withColumn("text", text)
-    return result.where(F.col("_removed").isNull() | F.col("text").rlike(HAS_WORD)).select(docs.columns)
 
 
 def report(docs: DataFrame) -> DataFrame:
