@@ -69,7 +69,7 @@ def main(argv: list[str] | None = None) -> None:
             "land": lake.bronze,
             "bronze": lake.bronze,
             "silver": lake.silver,
-            "gold": lake.gold_zones,
+            "gold": lake.gold_totals,
         }
         refilled = [first[stage] for stage in STAGES if stage in options.stages and stage in first]
         if refilled:

@@ -15,6 +15,7 @@ from curbline.operators.zones import add_zone_names, require_unique_zones
 from curbline.session import keep
 
 REVENUE = "total_revenue_usd"
+LOADED, THROUGH = "_silver_timestamp", "_through"
 PEAK_HOURS = 3
 TOP_ZONES = 15
 
@@ -49,6 +50,29 @@ def trip_totals(silver: DataFrame) -> DataFrame:
     return keep(total_up(silver, [ZONE, *HOUR]), "trip-totals")
 
 
+def add_totals(silver: DataFrame, table: str, table_format: str = "parquet") -> None:
+    """Append to ``table`` the totals of the silver rows that it does not hold yet.
+
+    Totals add up, so old rows are never read again, and late rows for an old day are
+    rows like others. ``_through`` is the latest load time that a row of totals covers. It is
+    written with the totals it belongs to: a refresh that fails leaves neither. Silver is only
+    appended to, and the rows of a micro-batch share one load time, so a comparison with the
+    latest finds exactly the new ones, and skips files by their statistics.
+    """
+    spark = silver.sparkSession
+    if spark.catalog.tableExists(table):
+        through = spark.table(table).agg(F.max(THROUGH)).first()[0]
+        if through is not None:
+            silver = silver.filter(F.col(LOADED) > F.lit(through))
+    until = silver.agg(F.max(LOADED)).first()[0]
+    if until is None and spark.catalog.tableExists(table):
+        return
+    if until is not None:
+        silver = silver.filter(F.col(LOADED) <= F.lit(until))
+    totals = total_up(silver, [ZONE, *HOUR]).withColumn(THROUGH, F.lit(until).cast("timestamp"))
+    totals.write.format(table_format).mode("append").saveAsTable(table)
+
+
 def zone_kpis(totals: DataFrame, zones: DataFrame) -> DataFrame:
     """KPIs per known pickup zone, with zone names and the rank by revenue.
 

@@ -36,6 +36,10 @@ class Lake:
     def silver(self) -> str:
         return f"{self.database}.silver_trips"
 
+    @property
+    def gold_totals(self) -> str:
+        return f"{self.database}.gold_totals"
+
     @property
     def gold_zones(self) -> str:
         return f"{self.database}.gold_zone_kpis"
@@ -56,9 +60,9 @@ class Lake:
         """Drop ``first`` and every table after it, with their checkpoints.
 
         A checkpoint counts the files of the table before it, so a table is never
-        dropped without those that stream from it. All four go by default.
+        dropped without those that stream from it. All of them go by default.
         """
-        tables = [self.bronze, self.silver, self.gold_zones, self.gold_hours]
+        tables = [self.bronze, self.silver, self.gold_totals, self.gold_zones, self.gold_hours]
         for table in tables[tables.index(first) if first else 0 :]:
             self.spark.sql(f"DROP TABLE IF EXISTS {table}")
 
@@ -89,8 +93,9 @@ class Lake:
         )
 
     def fill_gold(self, zones: DataFrame) -> None:
-        """Replace both gold tables from one scan of silver."""
-        totals = gold.trip_totals(self.spark.table(self.silver))
+        """Add the totals of new silver rows, and replace both gold tables from all totals."""
+        gold.add_totals(self.spark.table(self.silver), self.gold_totals, self.table_format)
+        totals = self.spark.table(self.gold_totals)
         gold.replace_table(gold.zone_kpis(totals, zones), self.gold_zones, self.table_format)
         gold.replace_table(gold.hourly_kpis(totals), self.gold_hours, self.table_format)
 

@@ -5,8 +5,12 @@ from __future__ import annotations
 import uuid
 
 import pytest
+from pyspark.sql import functions as F
 
 from curbline.__main__ import main, parse
+from curbline.operators.totals import HOUR, total_up
+from curbline.operators.zones import zone_dimension
+from curbline.plans import gold
 from curbline.plans import silver as silver_plan
 from curbline.plans.lake import Lake
 from curbline.session import apply_settings, fresh_path, shared_folder
@@ -54,6 +58,31 @@ def test_run_from_the_command_line(spark, tmp_path, capsys):
     assert silver_plan.sample(spark.table(lake.silver), 4).count() == 4
 
 
+def test_gold_refresh_reads_new_rows_only(spark, tmp_path):
+    """Two loads, a late row for the first day among the second: as good as one computation."""
+    lake = Lake(spark, f"t_{uuid.uuid4().hex}", str(tmp_path / "landing"))
+    lake.create(str(tmp_path / "db"))
+    zones = samples.zone_lookup(spark, SF_DIR)
+    trips = samples.trips(spark, SF_DIR, samples.EDGE_FIELDS)
+    for part in range(2):
+        chosen = trips.filter(f"(VendorID + trip_distance * 4) % 2 = {part}")
+        chosen.write.parquet(f"{lake.landing}/hour_{part:02d}")
+        lake.fill_bronze()
+        lake.fill_silver()
+        lake.fill_gold(zone_dimension(zones))
+    lake.fill_gold(zone_dimension(zones))  # nothing new
+    assert spark.table(lake.gold_totals).select("_through").distinct().count() == 2
+    whole = gold.hourly_kpis(total_up(spark.table(lake.silver), HOUR))
+    columns = ["pickup_hour", "total_trips", "anomaly_count", "credit_card_trips"]
+    stored = spark.table(lake.gold_hours).select(columns)
+    assert stored.exceptAll(whole.select(columns)).isEmpty() and stored.count() == whole.count()
+    newest = spark.table(lake.gold_totals).agg(F.max("_through")).first()[0]
+    later = spark.table(lake.silver).filter(F.col("_silver_timestamp") > F.lit(newest))
+    assert "GreaterThan(_silver_timestamp" in later._jdf.queryExecution().executedPlan().toString()
+    lake.reset(lake.silver)
+    assert not spark.catalog.tableExists(lake.gold_totals)
+
+
 @pytest.mark.parametrize("arguments", [["land"], ["gold"], ["unheard-of"]])
 def test_command_line_refuses_incomplete_arguments(arguments):
     with pytest.raises(SystemExit):
