@@ -8,9 +8,10 @@ frequent ones, whose combination is indexed. A document with many frequent token
 prefix ("heavy") would have too many combinations; its frequent tokens are indexed alone,
 and those of light documents too, but there a pair counts only if one of it is heavy.
 
-Copies collapse first: equal sets are one node. Where many nodes share a key, each is first
-compared with one of them; then only pairs that this has not joined into one component are
-compared. So a large group of near copies costs a few comparisons for each member, and no
+Copies collapse first: equal sets are one node. Similar documents share far more of their
+prefixes than two tokens, so pairs that share too few go unverified. Where many nodes share a
+key, each is first compared with a few of them, those that most such keys have; then only
+pairs that this has not joined into one component are compared. So a large group of near copies costs a few comparisons for each member, and no
 link between different components is missed.
 
 Index entries travel as packed arrays, sorted with numpy where they arrive.
@@ -24,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.llm.common import batch, lower_words, map_arrow, stored
@@ -45,6 +46,8 @@ PARTITION_ENTRIES, HELD_ENTRIES = 800_000, 1_000_000
 # Documents of a frequent token that meet in one place at first.
 SALTED = 50_000
 BLOOM_BITS = 1 << 23
+# Rounds in which each large key meets one more of its nodes.
+PIVOT_ROUNDS = 3
 MEMORY = 300_000
 _ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -116,6 +119,20 @@ def prefix(n: int) -> int:
     return min(n, n - least + 2)
 
 
+def least_common(n: Column, m: Column) -> Column:
+    """Prefix tokens that similar documents of n and m tokens share at least.
+
+    What one has and the other lacks is at most its size less the least intersection; all
+    the rest of the prefix that ends first in the order of tokens is in the other as well.
+    """
+
+    def prefix_of(x: Column) -> Column:
+        return F.least(x, x - F.ceil(NUMERATOR * x / DENOMINATOR) + 2)
+
+    shared = F.ceil(NUMERATOR * (n + m) / (NUMERATOR + DENOMINATOR))
+    return F.least(prefix_of(n) - (n - shared), prefix_of(m) - (m - shared))
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     both = np.concatenate([a, b])
     both.sort()
@@ -206,7 +223,7 @@ def token_counts(summary: DataFrame) -> np.ndarray:
 # ---------------------------------------------------------------------------
 
 ENTRIES = "part bigint, keys binary, nodes binary, sizes binary, kinds binary, places binary"
-RARE, LIGHT, HEAVY = 0, 1, 2
+RARE, LIGHT, HEAVY, PAIR = 0, 1, 2, 3
 
 
 def index_entries(tokens: np.ndarray, counts: np.ndarray, frequent_from: float):
@@ -229,7 +246,7 @@ def index_entries(tokens: np.ndarray, counts: np.ndarray, frequent_from: float):
         i, j = np.triu_indices(len(frequent), 1)
         pairs = np.sort(np.stack([frequent[i], frequent[j]]), axis=0)
         keys.append(mixed(pairs[0] * _ODD[0] + pairs[1] * _ODD[1]))
-        kinds.append(np.full(len(i), RARE))
+        kinds.append(np.full(len(i), PAIR))
         weight.append(np.minimum(count[often][i], count[often][j]))
         places.append(first[i])
     return tuple(np.concatenate(x) for x in (keys, kinds, weight, places))
@@ -290,13 +307,13 @@ def packed_index(docs: DataFrame, counts: np.ndarray, parts: int) -> DataFrame:
     return map_arrow(docs.select("text"), run, ENTRIES)
 
 
-FOUND = "big boolean, key bigint, a bigint, b bigint"
+FOUND = "big boolean, key bigint, a bigint, b bigint, n bigint"
 
 
 def candidates_of_part(table: pa.Table) -> pa.Table:
-    """Pairs that share a key of one partition of the index. Of keys with more than SMALL nodes:
-    pairs with one of them, and, marked ``big``, the nodes themselves, with their kind and the
-    number of tokens after the key in ``b``."""
+    """Pairs that share a key of one partition of the index, and how many. Keys with more than SMALL
+    nodes are marked ``big``: they yield their nodes, with kind and number of tokens after the
+    key in ``b`` and the size in ``n``."""
 
     def column(name, kind):
         return np.concatenate([np.frombuffer(x.as_py(), kind) for x in table.column(name)])
@@ -326,13 +343,9 @@ def candidates_of_part(table: pa.Table) -> pa.Table:
     pairs = []
 
     def note(i, j):
-        fit = fits(sizes[i], sizes[j]) & ((kinds[i] != LIGHT) | (kinds[j] != LIGHT))
-        # The first token that two documents share is a key of both, and what comes after it
-        # must still suffice for the intersection.
-        needed = -(-NUMERATOR * (sizes[i] + sizes[j]) // (NUMERATOR + DENOMINATOR))
-        fit &= 1 + np.minimum(after[i], after[j]) >= needed
-        i, j = i[fit], j[fit]
-        pairs.append(np.unique(np.stack([nodes[i], nodes[j]], 1), axis=0))
+        fit = fits(sizes[i], sizes[j])
+        ends = np.sort(np.stack([nodes[i[fit]], nodes[j[fit]]], 1), axis=1)
+        pairs.append(np.unique(ends, axis=0, return_counts=True))
 
     few = np.flatnonzero(~big)
     for step in range(1, SMALL):
@@ -341,24 +354,15 @@ def candidates_of_part(table: pa.Table) -> pa.Table:
             break
         note(few[same], few[same + step])
     large = np.flatnonzero(big)
-    if len(large):
-        begins = np.ones(len(large), bool)
-        begins[1:] = keys[large[1:]] != keys[large[:-1]]
-        # The middle size of the key stands for all its nodes.
-        by_size = large[np.lexsort((sizes[large], keys[large]))]
-        starts = np.flatnonzero(begins)
-        width = np.diff(np.append(starts, len(large)))
-        pivot = np.repeat(by_size[starts + width // 2], width)
-        other = large != pivot
-        note(pivot[other], large[other])
-    found = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-    found = np.sort(found, axis=1)
+    found = np.concatenate([np.zeros((0, 2), np.int64), *(p[0] for p in pairs)])
+    shared = np.concatenate([np.zeros(0, np.int64), *(p[1] for p in pairs)])
     return pa.table(
         {
             "big": np.repeat([False, True], [len(found), len(large)]),
             "key": np.concatenate([np.zeros(len(found), np.int64), keys[large].view(np.int64)]),
             "a": np.concatenate([found[:, 0], nodes[large]]),
             "b": np.concatenate([found[:, 1], kinds[large] + 4 * after[large]]),
+            "n": np.concatenate([shared, sizes[large]]),
         }
     )
 
@@ -416,38 +420,71 @@ def verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return map_arrow(pairs.join(left, "a").join(right, "b"), run, "a bigint, b bigint")
 
 
-def unjoined_pairs(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Pairs of nodes of a large key that are in different components so far.
-
-    ``members``: key, node, n, kind, after. The component with most nodes of a key is its core; a
-    pair has at least one node outside it. Keys without such nodes go.
-    """
+def labelled_members(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``members`` of large keys with their component so far, of keys that have several."""
     labelled = members.join(found, "node", "left").withColumn(
         "component", F.coalesce("component", "node")
     )
-    labelled = stored(labelled, "large-keys")
-    parts = labelled.groupBy("key", "component").agg(
-        F.count("*").alias("size"), F.max(F.col("kind") != LIGHT).alias("pairs")
+    keys = labelled.groupBy("key").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.max(F.col("kind") != LIGHT).alias("pairs"),
+    )
+    keys = keys.where("low <> high AND pairs").select("key")
+    return stored(labelled.join(keys, "key", "left_semi"), "large-keys")
+
+
+def pivot_pairs(labelled: DataFrame, used: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Of each large key, its nodes with one of them: the one that most large keys have, as a text
+    with few changes is in most of its copies' keys. ``used`` are the pivots of earlier rounds."""
+    free = labelled.join(used, "node", "left_anti")
+    best = free.groupBy("key").agg(
+        F.max(F.struct("degree", "node", F.col("n").alias("m"), "component")).alias("pivot")
     )
+    both = labelled.join(best.select("key", "pivot.*").toDF("key", "d", "p", "m", "c"), "key")
+    sizes = DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")
+    pairs = both.where((F.col("component") != F.col("c")) & sizes)
+    pairs = pairs.select(F.least("node", "p").alias("a"), F.greatest("node", "p").alias("b"))
+    pivots = best.select(F.col("pivot.node").alias("node"))
+    return stored(pairs.distinct(), "pivot-pairs"), pivots.distinct()
+
+
+def unjoined_pairs(labelled: DataFrame) -> DataFrame:
+    """Pairs of nodes of large keys that are still in different components.
+
+    The component with most nodes of a key is its core; a pair has at least one node outside it.
+    Pairs that share too few large keys, even if they shared all their other keys, go.
+    """
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
     core = F.max(F.struct("size", "component"))["component"].alias("core")
-    keys = parts.groupBy("key").agg(core, F.count("*").alias("parts"), F.max("pairs").alias("pairs"))
-    open_ = labelled.join(keys.where("parts > 1 AND pairs").select("key", "core"), "key")
+    open_ = labelled.join(parts.groupBy("key").agg(core), "key")
+    mine = ["node", "n", "kind", "after", "component", "degree"]
     outside = open_.where("component <> core").select(
-        "key",
-        F.col("node").alias("o"),
-        F.col("n").alias("m"),
-        F.col("kind").alias("o_kind"),
-        F.col("after").alias("o_after"),
-        F.col("component").alias("o_component"),
+        "key", *(F.col(c).alias(f"o_{c}") for c in mine)
     )
     both = open_.join(outside, "key").where("component <> o_component")
-    once = (F.col("component") == F.col("core")) | (F.col("node") < F.col("o"))
-    sizes = DENOMINATOR * F.least("n", "m") >= NUMERATOR * F.greatest("n", "m")
-    needed = F.ceil(NUMERATOR * (F.col("n") + F.col("m")) / (NUMERATOR + DENOMINATOR))
+    once = (F.col("component") == F.col("core")) | (F.col("node") < F.col("o_node"))
+    sizes = DENOMINATOR * F.least("n", "o_n") >= NUMERATOR * F.greatest("n", "o_n")
+    needed = F.ceil(NUMERATOR * (F.col("n") + F.col("o_n")) / (NUMERATOR + DENOMINATOR))
+    # Of all keys that two nodes share, the first in the order of tokens passes this.
     enough = 1 + F.least("after", "o_after") >= needed
     kinds = (F.col("kind") != LIGHT) | (F.col("o_kind") != LIGHT)
-    pairs = both.where(once & sizes & enough & kinds)
-    return pairs.select(F.least("node", "o").alias("a"), F.greatest("node", "o").alias("b")).distinct()
+    counted = both.where(once & sizes).groupBy(
+        F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")
+    ).agg(
+        F.count("*").alias("shared"),
+        F.max(enough & kinds).alias("possible"),
+        F.first(least_common(F.col("n"), F.col("o_n")) - FEW).alias("needed"),
+        F.first(F.least(_others("n", "degree"), _others("o_n", "o_degree"))).alias("others"),
+    )
+    return counted.where("possible AND shared + others >= needed").select("a", "b")
+
+
+def _others(n: str, degree: str) -> Column:
+    """Prefix tokens of a node that are no large key, at most."""
+    size = F.col(n)
+    whole = F.least(size, size - F.ceil(NUMERATOR * size / DENOMINATOR) + 2)
+    return F.greatest(whole - F.col(degree), F.lit(0))
 
 
 # ---------------------------------------------------------------------------
@@ -474,21 +511,43 @@ def join(docs: DataFrame) -> DataFrame:
     parts = max(8, -(-entries // PARTITION_ENTRIES))
     index = packed_index(docs.where("doc_id IS NOT NULL"), counts, parts)
     found = stored(index.groupBy("part").applyInArrow(candidates_of_part, FOUND), "candidates")
-    pairs = stored(found.where("NOT big").select("a", "b").distinct(), "pairs")
     large = found.where("big").select(
         "key",
         F.col("a").alias("node"),
+        "n",
         (F.col("b") % 4).alias("kind"),
         F.floor(F.col("b") / 4).alias("after"),
     )
+    degree = F.count_if(F.col("kind") != PAIR).alias("degree")
+    degrees = stored(large.groupBy("node").agg(degree), "degrees")
+    large = stored(large.join(degrees, "node"), "large-members")
+
+    # Pairs of small keys, unless they share too few, even with all large keys of either.
+    counted = found.where("NOT big").groupBy("a", "b").agg(F.sum("n").alias("shared"))
+    described = nodes.select("node", "n").join(degrees, "node", "left").select(
+        "node", "n", F.coalesce("degree", F.lit(0)).alias("degree")
+    )
+    for end in "ab":
+        counted = counted.join(described.toDF(end, f"n_{end}", f"degree_{end}"), end)
+    least = least_common(F.col("n_a"), F.col("n_b")) - FEW
+    most = F.col("shared") + F.least("degree_a", "degree_b")
+    pairs = stored(counted.where(most >= least).select("a", "b"), "pairs")
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node"))
     ids = stored(nodes.join(wanted.distinct(), "node", "left_semi"), "wanted")
     tokens = sets_of(docs, ids.select("doc_id", "node"))
     links = stored(verified(pairs, tokens), "links")
     joined = components(links)
-    members = large.join(nodes.select("node", "n"), "node")
-    more = stored(unjoined_pairs(members, joined), "more-pairs")
+    used = spark.createDataFrame([], "node bigint")
+    for _ in range(PIVOT_ROUNDS):
+        labelled = labelled_members(large, joined)
+        if labelled.isEmpty():
+            break
+        pairs, pivots = pivot_pairs(labelled, used)
+        used = stored(used.unionByName(pivots).distinct(), "pivots")
+        links = stored(links.unionByName(verified(pairs, tokens)), "links")
+        joined = components(links)
+    more = stored(unjoined_pairs(labelled_members(large, joined)), "more-pairs")
     if not more.isEmpty():
         links = links.unionByName(stored(verified(more, tokens), "more-links"))
         joined = components(links)
