@@ -42,11 +42,16 @@ def word_set(line: Column) -> Column:
     return F.array_distinct(word_list(line))
 
 
+def word_hashes(line: Column) -> Column:
+    """64-bit hashes of the distinct words."""
+    return F.array_distinct(F.transform(word_list(line), lambda w: F.xxhash64(w)))
+
+
 def rarities(lines: DataFrame) -> DataFrame:
     """One row with an array of SLOTS small numbers: the logarithm of how many lines have a word of
     the slot."""
-    slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int").alias("slot")
-    found = lines.select(F.explode(word_set(F.col("line"))).alias("word")).groupBy(slot)
+    slot = F.pmod("word", F.lit(SLOTS)).cast("int").alias("slot")
+    found = lines.select(F.explode(word_hashes(F.col("line"))).alias("word")).groupBy(slot)
     found = found.agg(F.count("*").alias("n"))
     spark = lines.sparkSession
     every = spark.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
@@ -68,7 +73,7 @@ def keyed_lines(lines: DataFrame, ranks: DataFrame) -> DataFrame:
     def keys(table: Column) -> Column:
         """Hashes of the words, rarest first: the rank in the upper bits."""
         return F.transform(
-            F.transform(word_set(F.col("line")), lambda w: F.xxhash64(w)),
+            word_hashes(F.col("line")),
             lambda h: F.shiftleft(
                 F.get(table, F.pmod(h, F.lit(SLOTS)).cast("int")).cast("bigint"), HASH_BITS
             ).bitwiseOR(h.bitwiseAND(mask)),
@@ -96,11 +101,34 @@ def may_be_similar(n: Column, at: Column, m: Column, other_at: Column) -> Column
     )
 
 
-def similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
+def enough_in_common(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose prefixes share as many words as those of similar lines must.
+
+    At most n less the least intersection of a line's words are not in the other line; the rest
+    of the prefix that ends first in the order of words is in the other prefix as well.
+    """
+    own = classes.select(*PLACE, "n", "prefix")
+    other = classes.select(
+        F.col("doc_id").alias("a_doc"),
+        F.col("line_no").alias("a_line"),
+        F.col("n").alias("m"),
+        F.col("prefix").alias("a_prefix"),
+    )
+    both = pairs.join(own, PLACE).join(other, ["a_doc", "a_line"])
+    shared = F.ceil(NUMERATOR * (F.col("n") + F.col("m")) / (NUMERATOR + DENOMINATOR))
+    least = F.least(
+        F.size("prefix") - (F.col("n") - shared), F.size("a_prefix") - (F.col("m") - shared)
+    )
+    found = both.where(F.size(F.array_intersect("prefix", "a_prefix")) >= least)
+    return stored(found.select(pairs.columns), "close-line-pairs")
+
+
+def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
     """Of the pairs (doc_id, line_no, a_doc, a_line), the later places of those that are similar.
 
     The words are read again, of the lines that a bitmap of fixed size does not rule out.
     """
+    pairs = enough_in_common(pairs, classes)
     wanted = pairs.select(*PLACE).unionByName(
         pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no"))
     )
@@ -152,7 +180,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     pairs = starred.select(
         *PLACE, F.col("first.doc_id").alias("a_doc"), F.col("first.line_no").alias("a_line")
     )
-    found = similar_pairs(stored(pairs.distinct(), "line-pairs"), docs)
+    found = similar_pairs(pairs.distinct(), docs, classes)
 
     left = index.where("lines > 2").where(other).join(found, PLACE, "left_anti")
     left = left.select("key", *PLACE, "n", "at")
@@ -169,7 +197,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     )
     more = stored(more.select(*PLACE, "a_doc", "a_line").distinct(), "more-line-pairs")
     if not more.isEmpty():
-        found = found.unionByName(similar_pairs(more, docs)).distinct()
+        found = found.unionByName(similar_pairs(more, docs, classes)).distinct()
 
     near = found.select(*PLACE, F.lit(True).alias("near"))
     named = classes.join(near, PLACE, "left").select(

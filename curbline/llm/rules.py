@@ -29,8 +29,9 @@ def bound(value: Column, use: Callable[[Column], Column]) -> Column:
 
 def word_list(text: Column) -> Column:
     """Runs of anything but a space, tab, LF, VT, FF or CR."""
-    parts = F.split(F.translate(text, "\t\n\x0b\x0c\r", " " * 5), " ")
-    return F.filter(parts, lambda w: w != "")
+    for blank in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def repeated_window_words(words: Column) -> Column:
