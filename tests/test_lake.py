@@ -89,6 +89,11 @@ def test_command_line_refuses_incomplete_arguments(arguments):
         parse([*arguments, "--landing", "x"])
 
 
+def test_types_of_landing_files_can_be_named():
+    options = parse(["bronze", "--landing", "x", "--file-type", "passenger_count=bigint"])
+    assert options.file_type == ["passenger_count=bigint"]
+
+
 def test_shared_folder_follows_the_session_setting(spark):
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
