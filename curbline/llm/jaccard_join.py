@@ -42,13 +42,13 @@ FEW = 12
 # Nodes of a key that are compared pair by pair at once.
 SMALL = 16
 # Index entries of a partition, and those a task holds before it sends them on.
-PARTITION_ENTRIES, HELD_ENTRIES = 800_000, 1_000_000
+PARTITION_ENTRIES, HELD_ENTRIES = 500_000, 500_000
 # Documents of a frequent token that meet in one place at first.
 SALTED = 50_000
 BLOOM_BITS = 1 << 23
 # Rounds in which each large key meets one more of its nodes.
 PIVOT_ROUNDS = 3
-MEMORY = 300_000
+MEMORY = 120_000
 _ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     np.uint64,

@@ -37,7 +37,7 @@ END = 1
 PERIOD = 512
 # Sources with a queue of their own; the smallest others share one.
 QUEUES = 64
-MEMORY = 250_000
+MEMORY = 120_000
 
 
 class ByteTokenizer:
