@@ -23,7 +23,7 @@ from curbline.llm.rules import HAS_WORD, bound, word_list
 NUMERATOR, DENOMINATOR = 9, 10
 # Lines of fewer distinct words say too little to be copies of each other; they stay.
 LEAST_WORDS = 5
-SLOTS = 1 << 19
+SLOTS = 1 << 21
 HASH_BITS = 56
 BITMAP = 1 << 23
 PLACE = ["doc_id", "line_no"]
