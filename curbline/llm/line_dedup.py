@@ -21,8 +21,8 @@ from curbline.llm.rules import HAS_WORD, bound, word_list
 
 # Similar: 10 * intersection >= 9 * union.
 NUMERATOR, DENOMINATOR = 9, 10
-# Lines of fewer distinct words say too little to be copies of each other; they stay.
-LEAST_WORDS = 5
+# All lines with a word take part; a caller can leave out those of fewer distinct words.
+LEAST_WORDS = 1
 SLOTS = 1 << 21
 HASH_BITS = 56
 BITMAP = 1 << 23
@@ -66,8 +66,12 @@ def least_shared(n: Column) -> Column:
     return F.floor((NUMERATOR * n + DENOMINATOR - 1) / DENOMINATOR)
 
 
-def keyed_lines(lines: DataFrame, ranks: DataFrame) -> DataFrame:
-    """Place, size, identity (two hashes of the whole set) and prefix of every line that takes part."""
+def keyed_lines(lines: DataFrame, ranks: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """Place, size, identity (two hashes of the whole set) and prefix of every line that takes part.
+
+    A set so small that one more word is too much difference is similar to equal ones only. Those
+    share its identity, so it has an empty prefix and is not indexed.
+    """
     mask = F.lit((1 << HASH_BITS) - 1)
 
     def keys(table: Column) -> Column:
@@ -82,14 +86,15 @@ def keyed_lines(lines: DataFrame, ranks: DataFrame) -> DataFrame:
     # A scalar subquery: read once, then a constant of every task.
     ranked = lines.withColumn("ranks", ranks.scalar())
     keyed = ranked.select(*PLACE, F.sort_array(bound(F.col("ranks"), keys)).alias("keys"))
-    keyed = keyed.where(F.size("keys") >= LEAST_WORDS)
+    keyed = keyed.where(F.size("keys") >= least_words)
     n = F.size("keys")
+    length = F.when(DENOMINATOR * n >= NUMERATOR * (n + 1), n - least_shared(n) + 1).otherwise(0)
     return keyed.select(
         *PLACE,
         n.alias("n"),
         F.xxhash64("keys").alias("h1"),
         F.xxhash64(F.lit(7), "keys").alias("h2"),
-        F.slice("keys", F.lit(1), (n - least_shared(n) + 1).cast("int")).alias("prefix"),
+        F.slice("keys", F.lit(1), length.cast("int")).alias("prefix"),
     )
 
 
@@ -160,10 +165,10 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> Data
     return stored(found.select(*PLACE).distinct(), "similar-lines")
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id and line_no of the lines to remove."""
+def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+    """doc_id and line_no of the lines to remove, of those with ``least_words`` distinct words."""
     lines = lines_of(docs)
-    keyed = stored(keyed_lines(lines, rarities(lines)), "keyed-lines")
+    keyed = stored(keyed_lines(lines, rarities(lines), least_words), "keyed-lines")
     place = F.struct(*PLACE)
     classes = keyed.groupBy("h1", "h2").agg(
         F.min(place).alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
@@ -207,20 +212,20 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return all_lines.where(F.col("near") | (place != F.col("first"))).select(*PLACE).distinct()
 
 
-def removed_by_document(docs: DataFrame) -> DataFrame:
+def removed_by_document(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id and the sorted places of its removed lines, for documents that have any."""
     places = F.sort_array(F.collect_set("line_no")).alias("removed")
-    return removed_lines(docs).groupBy("doc_id").agg(places)
+    return removed_lines(docs, least_words).groupBy("doc_id").agg(places)
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``docs`` with the text that is left. Documents of which no word is left, and that had some,
     are dropped; null and empty texts, and rows without doc_id, stay as they are.
 
     Rows with one doc_id are one document: a line goes from the same place of all of them. Columns
     besides doc_id and text are passed on. An empty table gives no rows.
     """
-    removed = stored(removed_by_document(docs), "removed-lines")
+    removed = stored(removed_by_document(docs, least_words), "removed-lines")
     same = F.col("row.doc_id").cast("bigint") == F.col("doc_id")
     joined = whole_rows(docs).join(removed, same, "left")
     parts = F.filter(
@@ -237,7 +242,7 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     )
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id, n_lines (with a word), n_removed and removed_lines (places, joined by commas) of every
     document."""
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(HAS_WORD))
@@ -245,7 +250,7 @@ def report(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
     ).withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    removed = stored(removed_by_document(docs), "removed-lines")
+    removed = stored(removed_by_document(docs, least_words), "removed-lines")
     return counted.join(removed, "doc_id", "left").select(
         "doc_id",
         "n_lines",

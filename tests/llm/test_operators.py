@@ -96,6 +96,23 @@ def test_line_dedup_equals_pairs_by_hand(spark):
             assert i not in kept
 
 
+def test_short_lines_are_deduplicated(spark):
+    """Repeats of lines of few distinct words go, near copies of nine and ten words as well."""
+    ten = "a b c d e f g h i j"
+    texts = [
+        "read more\nfirst\nbuy now buy now\n" + ten[:-2],
+        "read more\nsecond\nmore read\nread\n" + ten,
+        "now buy\nread more",
+        "one two three four five six seven eight\none two three four five six seven",
+    ]
+    docs = clashing(frame(spark, texts))
+    wanted = {(1, 0), (1, 2), (1, 4), (2, 0), (2, 1)}
+    assert {tuple(r) for r in line_dedup.removed_lines(docs).collect()} == wanted
+    kept = {r.doc_id: r.text for r in line_dedup.dedup_lines(docs).collect()}
+    assert kept == {0: texts[0], 1: "second\nread", 3: texts[3]}
+    assert {tuple(r) for r in line_dedup.removed_lines(docs, 5).collect()} == {(1, 4)}
+
+
 # ---------------------------------------------------------------------------
 # 2: packing
 # ---------------------------------------------------------------------------
