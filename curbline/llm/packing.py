@@ -11,6 +11,12 @@ partitions: a document needs only the number of tokens that its queue has before
 
 When a queue runs dry its share goes to the others and a new schedule begins. Documents are
 cut wherever a window ends; only the last window can be padded.
+
+Sources without a queue of their own in that schedule are any number. They are the leaves of
+a binary tree and give their tokens in rounds of the size that all of them have in a window: of
+the first p tokens below a node, floor(p * left / all) come from its left side. So every source
+keeps its proportion of each round, to a token for a level of the tree, and the place of a token
+follows from the sizes along its path.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from bisect import bisect_right
 from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -35,8 +42,10 @@ WINDOW = 2048
 END = 1
 # Shares of the mixture are multiples of 1 / (PERIOD * WINDOW).
 PERIOD = 512
-# Sources with a queue of their own; the smallest others share one.
+# Queues of the schedule when there are no target shares: the largest sources, and the tree of the rest.
 QUEUES = 64
+# Sources, in bits, whose part of the tree one task makes.
+CHUNK_BITS = 12
 MEMORY = 120_000
 
 
@@ -102,6 +111,8 @@ def byte_tokenizer(folder: str | None) -> ByteTokenizer:
 
 def whole_units(shares: list[float], units: int) -> list[int]:
     """Shares as whole units that add up; a positive share gets one at least."""
+    if sum(s > 0 for s in shares) > units:
+        raise ValueError(f"more than {units} sources with a target share")
     total = sum(shares)
     exact = [s / total * units for s in shares]
     out = [max(1, int(x)) if x > 0 else 0 for x in exact]
@@ -132,7 +143,7 @@ def round_robin(units: tuple[int, ...], window: int, period: int) -> np.ndarray:
     return given
 
 
-@dataclass(frozen=True)
+@dataclass(frozen=True, eq=False)
 class Segment:
     """Windows in a row with one schedule; ``before`` is what each queue has given so far."""
 
@@ -200,17 +211,102 @@ def pieces_of(
         start += n
 
 
-@lru_cache(maxsize=4 * QUEUES)
+@lru_cache(maxsize=16 * QUEUES)
 def _begins(segments: tuple[Segment, ...], queue: int) -> list[int]:
     return [s.before[queue] for s in segments]
 
 
-@lru_cache(maxsize=4 * QUEUES)
+@lru_cache(maxsize=16 * QUEUES)
 def _tables(s: Segment, queue: int, window: int, period: int):
     given = s.given(window, period)
     return given, np.diff(given, axis=0)[:, :queue].sum(1).tolist(), given[:, queue].tolist()
 
 
+# ---------------------------------------------------------------------------
+# The tree
+# ---------------------------------------------------------------------------
+
+
+def tree_paths(sizes: list[int]) -> list[list[int]]:
+    """For each leaf, from the root down: the tokens on the left of a node, negative where the path
+    goes right, and all tokens of the node."""
+    ends = [0, *accumulate(sizes)]
+    out: list[list[int]] = [[] for _ in sizes]
+    nodes = [(0, len(sizes))]
+    while nodes:
+        low, high = nodes.pop()
+        if high - low > 1:
+            mid = (low + high) // 2
+            left, both = ends[mid] - ends[low], ends[high] - ends[low]
+            for i in range(low, high):
+                out[i] += [left if i < mid else -left, both]
+            nodes += [(low, mid), (mid, high)]
+    return out
+
+
+def given_by(path: list[int], p: int) -> tuple[int, int]:
+    """Of the first ``p`` tokens of the tree: those of leaves further left, and those of this leaf."""
+    before = 0
+    for left, both in zip(path[::2], path[1::2], strict=True):
+        if left > 0:
+            p = p * left // both
+        else:
+            other = p * -left // both
+            before += other
+            p -= other
+    return before, p
+
+
+def tree_pieces(
+    path: list[int], total: int, size: int, start: int, stop: int
+) -> Iterator[tuple[int, int]]:
+    """(position among all tokens of the tree, length) of each piece of a leaf's tokens ``start`` to
+    ``stop``. Rounds are ``size`` tokens; in a round the leaves stand from left to right."""
+    if not path:
+        yield start, stop - start
+        return
+    own, rounds = given_by(path, total)[1], -(-total // size)
+    # A leaf is within a token for each level of its exact proportion.
+    slack = len(path) // 2 + 1
+    k, after = -1, (0, 0)
+    while start < stop:
+        if k >= 0 and k + 1 < rounds:
+            k, now = k + 1, after
+            after = given_by(path, min((k + 1) * size, total))
+        if k < 0 or not now[1] <= start < after[1]:
+            low = max(0, (start - slack) * total // (own * size) - 1)
+            high = min(rounds, (start + 1 + slack) * total // (own * size) + 2)
+            k = low - 1 + bisect_right(
+                range(low, high), start, key=lambda r: given_by(path, r * size)[1]
+            )
+            now, after = given_by(path, k * size), given_by(path, min((k + 1) * size, total))
+        n = min(after[1], stop) - start
+        yield k * size + after[0] - now[0] + start - now[1], n
+        start += n
+
+
+def source_paths(sizes: DataFrame) -> DataFrame:
+    """queue and path of each source (queue, n) in one tree. The driver sees one total for each
+    2**CHUNK_BITS sources."""
+    chunk = F.shiftright(F.monotonically_increasing_id(), CHUNK_BITS).alias("chunk")
+    sizes = stored(sizes.select("queue", "n", chunk), "small-sources")
+    totals = sizes.groupBy("chunk").agg(F.sum("n").alias("n")).orderBy("chunk").collect()
+    upper = tree_paths([r["n"] for r in totals])
+    upper = {r["chunk"]: path for r, path in zip(totals, upper, strict=True)}
+
+    def run(batches):
+        for rows in batches:
+            for chunk, own in zip(*(rows.column(c).to_pylist() for c in ("chunk", "own")), strict=True):
+                paths = tree_paths([x["n"] for x in own])
+                yield batch(
+                    queue=pa.array([x["queue"] for x in own], pa.string()),
+                    path=pa.array([upper[chunk] + x for x in paths], pa.list_(pa.int64())),
+                )
+
+    own = F.sort_array(F.collect_list(F.struct("queue", "n"))).alias("own")
+    return map_arrow(sizes.groupBy("chunk").agg(own), run, "queue string, path array<bigint>")
+
+
 # ---------------------------------------------------------------------------
 # The operator
 # ---------------------------------------------------------------------------
@@ -261,61 +357,74 @@ def pack(
     """Pieces of all documents: which tokens (``ids``, 32-bit little-endian), from where in the
     document, and where in which sequence.
 
-    ``shares`` are the target proportions by source (a null source is ""); without them, each
-    source has its share of all tokens, so that the mixture holds to the last window. Sources
-    beyond the QUEUES - 1 largest share a queue. Null and empty texts are the END id alone.
-    Repeated rows are packed as often as they come. An empty table gives no pieces.
+    ``shares`` are the target proportions by source (a null source is ""). Each source in it has a
+    queue with its target; the others come when those are empty, in proportion to their tokens.
+    Without ``shares``, each source has its share of all tokens, so that the mixture holds to the
+    last window. Null and empty texts are the END id alone. Repeated rows are packed as often as
+    they come. An empty table gives no pieces.
     """
     spark = docs.sparkSession
     tokens = tokenized(docs, folder)
     sizes = tokens.groupBy("queue", "part").agg(F.sum("n").alias("n"))
-    by_source = sizes.groupBy("queue").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "queue")
-    largest = by_source.limit(QUEUES - 1).collect()
-    names = [r["queue"] for r in largest]
-    totals = [r["n"] for r in largest]
-    everything = tokens.agg(F.sum("n")).first()[0] or 0
+    sizes = stored(sizes, "queue-sizes")
+    by_source = sizes.groupBy("queue").agg(F.sum("n").alias("n"))
+    first = by_source.orderBy(F.desc("n"), "queue")
+    if shares is None:
+        first = first.limit(QUEUES - 1).collect()
+    else:
+        first = first.where(F.col("queue").isin([q for q, s in shares.items() if s > 0])).collect()
+    names = [r["queue"] for r in first]
+    totals = [r["n"] for r in first]
+    everything = sizes.agg(F.sum("n")).first()[0] or 0
     rest = everything - sum(totals)
     if rest:
         totals.append(rest)
     if shares is None:
         target = [float(n) for n in totals]
+        size = max(1, window * rest // max(1, everything))
     else:
-        target = [float(shares.get(name, 0)) for name in names]
-        target += [max(0.0, sum(shares.values()) - sum(target))] * bool(rest)
+        target = [float(shares[name]) for name in names] + [0.0] * bool(rest)
+        size = window
     plan = schedule(totals, target, window)
 
-    # A small array of names; sources without a place in it share the last queue.
+    # A small array of names; sources without a place in it are leaves of the tree.
     place = F.array_position(F.array(*map(F.lit, names)), F.col("queue")) if names else F.lit(0)
     place = F.when(place > 0, place - 1).otherwise(len(names)).cast("int")
-    earlier = Window.partitionBy("place").orderBy("part", "queue").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    bases = stored(
-        sizes.withColumn("place", place).select(
-            "queue", "part", "place", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")
-        ),
-        "queue-bases",
-    )
+    earlier = Window.partitionBy("queue").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    base = F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("base")
+    bases = sizes.select("queue", "part", place.alias("place"), base)
+    if rest:
+        paths = source_paths(by_source.where(~F.col("queue").isin(names)))
+        bases = bases.join(paths, "queue", "left")
+    else:
+        bases = bases.withColumn("path", F.lit(None).cast("array<bigint>"))
+    bases = stored(bases, "queue-bases")
     placed = tokens.join(bases, ["queue", "part"]).select(
         "doc_id",
         F.when(F.col("queue") != "", F.col("queue")).alias("source"),
         "place",
+        "path",
         (F.col("base") + F.col("local")).alias("begin"),
         "n",
         "ids",
     )
 
+    def places(queue: int, path: list[int] | None, start: int, stop: int):
+        if path is None:
+            yield from pieces_of(plan, queue, start, stop, window, PERIOD)
+        else:
+            for at, length in tree_pieces(path, rest, size, start, stop):
+                yield from pieces_of(plan, queue, at, at + length, window, PERIOD)
+
     def run(batches):
         for rows in batches:
             out: list[tuple] = []
-            names = ("doc_id", "source", "place", "begin", "n", "ids")
+            names = ("doc_id", "source", "place", "path", "begin", "n", "ids")
             for row in zip(*(rows.column(c).to_pylist() for c in names), strict=True):
-                doc_id, source, queue, begin, n, ids = row
+                doc_id, source, queue, path, begin, n, ids = row
                 ids = np.frombuffer(ids, "<u2").astype("<u4").tobytes()
                 done = 0
-                for sequence, offset, length in pieces_of(
-                    plan, queue, begin, begin + n, window, PERIOD
-                ):
+                for sequence, offset, length in places(queue, path, begin, begin + n):
                     own = ids[4 * done : 4 * (done + length)]
                     out.append((doc_id, source, done, length, own, n, sequence, offset))
                     done += length

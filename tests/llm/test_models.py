@@ -111,6 +111,24 @@ def test_schedule_places_every_token_once(totals, shares):
         assert end == 64 or window == max(places)
 
 
+@pytest.mark.parametrize("sizes", [[5], [1, 1], [300, 1, 40, 7, 7], [20] * 90, list(range(1, 70))])
+@pytest.mark.parametrize("size", [1, 16, 100])
+def test_tree_places_every_token_once_and_in_proportion(sizes, size):
+    total, found = sum(sizes), []
+    for n, path in zip(sizes, packing.tree_paths(sizes), strict=True):
+        assert packing.given_by(path, total)[1] == n
+        depth = len(path) // 2
+        for p in range(total + 1):
+            assert abs(packing.given_by(path, p)[1] - p * n / total) <= depth
+        own = []
+        for start in range(0, n, 13):
+            for at, length in packing.tree_pieces(path, total, size, start, min(n, start + 13)):
+                own += range(at, at + length)
+        assert len(own) == n and own == sorted(own)
+        found += own
+    assert sorted(found) == list(range(total))
+
+
 def test_round_robin_carries_credits_and_comes_round():
     given_ = packing.round_robin(tuple(packing.whole_units([0.5, 0.3, 0.2], 64 * 16)), 64, 16)
     assert (np.diff(given_, axis=0).sum(1) == 64).all()

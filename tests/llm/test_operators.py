@@ -155,6 +155,49 @@ def test_packing_keeps_the_mixture_in_every_window(spark):
     assert {share[w, "src0"] for w in range(20)} == {128}
 
 
+def by_window(rows):
+    share, last = Counter(), 0
+    for r in rows.collect():
+        share[r.sequence_id, r.source] += r.length
+        last = max(last, r.sequence_id)
+    return share, last
+
+
+def with_sources(spark, words_of):
+    rows = [
+        (i, " ".join(f"token{k % 50}" for k in range(n)), "en", source, 0)
+        for i, (source, n) in enumerate(words_of)
+    ]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def test_packing_keeps_the_mixture_of_many_sources(spark, monkeypatch):
+    monkeypatch.setattr(packing, "CHUNK_BITS", 2)
+    docs = with_sources(spark, [(f"s{i}", 100) for i in range(100) for _ in range(2)])
+    share, last = by_window(packing.pack(docs, window=1000))
+    assert sum(share.values()) > 20_000 and last > 20
+    for w in range(last):
+        own = [share[w, f"s{i}"] for i in range(100)]
+        assert sum(own) == 1000 and min(own) >= 5 and max(own) <= 15
+
+
+def test_packing_keeps_the_shares_of_many_sources(spark):
+    """Small sources have their targets; sources without one come last, and shares of sources that
+    are not there go to the others in proportion."""
+    sizes = [(f"s{i}", 300) for i in range(69)] + [("small", 200)] + [(f"no{i}", 250) for i in range(9)]
+    shares = {f"s{i}": 1.0 for i in range(69)} | {"small": 23.0, "absent": 50.0}
+    share, last = by_window(packing.pack(with_sources(spark, sizes), shares, window=368))
+    # 92 units of 4 tokens: 4 for each, 92 for the small one.
+    assert [share[w, "small"] for w in range(2)] == [92, 92]
+    assert {share[w, f"s{i}"] for w in range(2) for i in range(69)} == {4}
+    ends = max(w for w, source in share if source.startswith("s"))
+    assert min(w for w, source in share if source.startswith("no")) >= ends
+    # The last round of the tree is short, and reaches into the last window but one.
+    for w in range(ends + 1, last - 1):
+        own = [share[w, f"no{i}"] for i in range(9)]
+        assert sum(own) == 368 and min(own) >= 30 and max(own) <= 52
+
+
 # ---------------------------------------------------------------------------
 # 3: encoding
 # ---------------------------------------------------------------------------
