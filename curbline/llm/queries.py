@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from curbline.llm import (
+    alignment,
     cover_tree,
     jaccard_join,
     language,
@@ -14,8 +15,10 @@ from curbline.llm import (
     packing,
     quality,
     rules,
+    spelling,
     toxicity,
     transducer,
+    warc,
 )
 from curbline.llm.common import documents, table
 from curbline.llm.training import held_out
@@ -92,6 +95,21 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.score(documents(spark, sf_dir))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = alignment.align(documents(spark, sf_dir))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return found.select(*(c for c in found.columns if c != "groups"), digest.alias("groups_sha256"))
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(documents(spark, sf_dir))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # The times of the index are those that the query gives the pages, so SQL knows its order.
+    return warc.captures(table(spark, sf_dir, "pages")).drop("since_last")
+
+
 QUERIES = {
     q.__name__: q
     for q in (
@@ -105,6 +123,13 @@ QUERIES = {
         op8_jaccard_join,
         op9_quality_classifier,
         op10_lm_score,
+        op11_token_alignment,
+        op12_spelling_variants,
+        op13_warc,
     )
 }
-SQL = {op1_line_dedup.__name__: line_dedup.SQL, op6_quality_rules.__name__: rules.SQL}
+SQL = {
+    op1_line_dedup.__name__: line_dedup.SQL,
+    op6_quality_rules.__name__: rules.SQL,
+    op13_warc.__name__: warc.SQL,
+}
