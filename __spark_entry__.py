@@ -5,6 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 from importlib import import_module
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,11 +18,18 @@ from curbline.operators.zones import zone_dimension
 from curbline.plans import bronze, gold, replay, reports
 from curbline.plans.lake import Lake
 from curbline.schema import DROPOFF, PICKUP, conform, struct_of
-from curbline.session import apply_settings, fresh_path
+from curbline.session import apply_settings, fresh_path, keep
 from curbline.sources import samples
-from curbline.sources.files import file_stream, read_trips, read_zone_lookup
-from curbline.streaming.tables import drain_to_table
-from curbline.streaming.windows import close_windows, trip_windows, windowed, with_closing
+from curbline.sources.files import file_stream, read_trips, read_zone_lookup, table_stream
+from curbline.streaming.tables import checkpoint_of, drain_to_table
+from curbline.streaming.windows import (
+    close_windows,
+    late_rows,
+    open_windows,
+    trip_windows,
+    windowed,
+    with_closing,
+)
 
 DAY = date(2024, 1, 1)
 STAMP = "_gold_updated_at"
@@ -248,38 +256,95 @@ def conform_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+EVENT_TOTALS = ["events", "total_value"]
+
+
+def _event_windows(stream: DataFrame) -> DataFrame:
+    totals = (F.count(F.lit(1)), F.sum("value"))
+    return windowed(stream, "ts", ["event_type"], dict(zip(EVENT_TOTALS, totals, strict=True)))
+
+
 def stream_hourly_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Closed windows from the table that the stream fills, open ones from its state."""
     apply_settings(spark)
     lake = Lake(spark, f"curbline_{uuid.uuid4().hex}", f"{sf_dir}/events.parquet")
     lake.create(fresh_path(spark, "lake"))
     events = file_stream(spark, lake.landing, samples.EVENT_COLUMNS)
-    counted = {"events": F.count(F.lit(1)), "total_value": F.sum("value")}
-    table, markers = f"{lake.database}.event_windows", fresh_path(spark, "markers")
-    windows = windowed(with_closing(events, markers), "ts", ["event_type"], counted)
-    drain_to_table(windows, table)
-    last = samples.events(spark, sf_dir).agg(F.max("ts")).first()[0]
-    close_windows(events, markers, "ts", last + timedelta(days=1))
-    drain_to_table(windows, table)
-    return spark.table(table).select(
-        F.unix_seconds("window_start").alias("window_start"),
-        "event_type",
-        "events",
-        F.round("total_value", 2).alias("total_value"),
+    table = f"{lake.database}.event_windows"
+    drain_to_table(_event_windows(events), table)
+    still_open = open_windows(spark, checkpoint_of(spark, table), ["event_type"], EVENT_TOTALS)
+    return (
+        spark.table(table)
+        .unionByName(still_open)
+        .select(
+            F.unix_seconds("window_start").alias("window_start"),
+            "event_type",
+            "events",
+            F.round("total_value", 2).alias("total_value"),
+        )
     )
 
 
 def stream_trip_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = _silver_lake(spark, sf_dir)
-    table, markers = f"{lake.database}.trip_windows", fresh_path(spark, "markers")
-    silver = spark.readStream.table(lake.silver)
+    lake.fill_windows()
+    found = lake.windows().drop("is_open")
+    return found.withColumn("window_start", F.unix_seconds("window_start"))
+
+
+def stream_closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All windows from the table alone, after a marker has closed them."""
+    lake = _silver_lake(spark, sf_dir)
+    table, markers = f"{lake.database}.closed_windows", fresh_path(spark, "markers")
+    silver = table_stream(spark, lake.silver)
     windows = trip_windows(with_closing(silver, markers))
-    drain_to_table(windows, table)
     last = spark.table(lake.silver).agg(F.max(PICKUP)).first()[0]
+    drain_to_table(windows, table)
     close_windows(silver, markers, PICKUP, last + timedelta(days=1))
     drain_to_table(windows, table)
     return spark.table(table).withColumn("window_start", F.unix_seconds("window_start"))
 
 
+def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events that come in six files, in no order and one at a time: those in closed windows, in
+    open ones, and too late, are all events."""
+    apply_settings(spark)
+    landing, arrival = fresh_path(spark, "landing"), [4, 5, 0, 2, 1, 3]
+    part = F.least(F.lit(5), F.floor((F.dayofmonth("ts") - 1) / 5))
+    events = keep(samples.events(spark, sf_dir).withColumn("part", part), "events")
+    for number in arrival:
+        own = events.where(F.col("part") == number).drop("part")
+        own.coalesce(1).write.mode("append").parquet(landing)
+    lake = Lake(spark, f"curbline_{uuid.uuid4().hex}", landing)
+    lake.create(fresh_path(spark, "lake"))
+    stream = file_stream(spark, landing, samples.EVENT_COLUMNS, maxFilesPerTrigger="1")
+    table = f"{lake.database}.event_windows"
+    drain_to_table(_event_windows(stream), table)
+    checkpoint = checkpoint_of(spark, table)
+    still_open = open_windows(spark, checkpoint, ["event_type"], EVENT_TOTALS)
+    rows = spark.read.schema(struct_of(samples.EVENT_COLUMNS)).parquet(landing)
+    late = late_rows(rows, checkpoint, "ts").groupBy("event_type").agg(F.count(F.lit(1)).alias("events"))
+    counted = [spark.table(table), still_open, late]
+    every = reduce(DataFrame.unionByName, (c.select("event_type", "events") for c in counted))
+    return every.groupBy("event_type").agg(F.sum("events").alias("events"))
+
+
+def gold_second_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly KPIs after two loads, the second stamped earlier than the first."""
+    trips, landing = _edge_trips(spark, sf_dir), fresh_path(spark, "landing")
+    lake = Lake(spark, f"curbline_{uuid.uuid4().hex}", landing)
+    lake.create(fresh_path(spark, "lake"))
+    for days, year in (((0,), 2030), ((-1, 1), 2020)):
+        for offset in days:
+            replay.write_hour_batches(trips, DAY + timedelta(days=offset), landing)
+        lake.fill_bronze()
+        stamp = F.lit(date(year, 1, 1)).cast("timestamp")
+        rows = refine(table_stream(spark, lake.bronze)).withColumn("_silver_timestamp", stamp)
+        drain_to_table(rows, lake.silver)
+        lake.fill_gold(_zones(spark, sf_dir))
+    return spark.table(lake.gold_hours).drop(STAMP)
+
+
 def bronze_second_drain(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two days that land and drain one after the other, then a drain with nothing new."""
     trips, landing = _edge_trips(spark, sf_dir), fresh_path(spark, "landing")
@@ -366,6 +431,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         conform_events,
         stream_hourly_windows,
         stream_trip_windows,
+        stream_closed_windows,
+        stream_late_rows,
+        gold_second_refresh,
         bronze_second_drain,
         bronze_refill,
         mixed_months,
@@ -490,6 +558,13 @@ _SILVER_ROWS = f"""WITH {_SILVER}
 SELECT {_RAW}, {", ".join(DERIVED_COLUMNS)}, {_FLAG_TEXT} FROM silver"""
 
 
+_TRIP_WINDOWS = f"""WITH {_SILVER},
+hours AS (
+  SELECT pu_sec - pu_sec % 3600 AS window_start, {_SHARED_KPIS}, {_CARD_CASH}
+  FROM silver GROUP BY 1)
+SELECT * FROM hours"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "trips_day_window": f"""WITH {_EDGE_TRIPS}
@@ -596,11 +671,11 @@ WITH hours AS (
   FROM events GROUP BY 1, 2)
 SELECT CAST(epoch(start) AS BIGINT) AS window_start, event_type, events, total_value
 FROM hours""",
-        "stream_trip_windows": f"""WITH {_SILVER},
-hours AS (
-  SELECT pu_sec - pu_sec % 3600 AS window_start, {_SHARED_KPIS}, {_CARD_CASH}
-  FROM silver GROUP BY 1)
-SELECT * FROM hours""",
+        "stream_trip_windows": _TRIP_WINDOWS,
+        "stream_closed_windows": _TRIP_WINDOWS,
+        "stream_late_rows": "SELECT event_type, count(*) AS events FROM events GROUP BY 1",
+        "gold_second_refresh": f"""WITH {_SILVER.replace(_TRIPS, _EDGE_TRIPS)}, {_HOURLY_KPIS}
+SELECT * FROM hourly_kpis""",
         "bronze_second_drain": f"""WITH {_EDGE_TRIPS}
 SELECT {_RAW}, {_BATCH_HOUR} AS _batch_hour FROM trips
 WHERE make_timestamp(pu_sec * 1000000) >= TIMESTAMP '2023-12-31 00:00:00'

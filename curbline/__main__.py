@@ -10,12 +10,14 @@ from curbline.schema import TRIP_COLUMNS
 from curbline.session import build_session
 
 STAGES = ["land", "bronze", "silver", "gold", "report"]
+# Not among those that run by default.
+MORE_STAGES = ["windows"]
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser = argparse.ArgumentParser(prog="curbline", description=__doc__)
     parser.add_argument(
-        "stages", nargs="*", metavar="stage", help=f"any of {', '.join(STAGES)}; all by default"
+        "stages", nargs="*", metavar="stage", help=f"any of {', '.join(STAGES + MORE_STAGES)}; by default all but windows"
     )
     parser.add_argument("--database", default="trips")
     parser.add_argument("--database-location")
@@ -40,7 +42,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     )
     options = parser.parse_args(argv)
     options.stages = options.stages or STAGES
-    unknown = set(options.stages) - set(STAGES)
+    unknown = set(options.stages) - set(STAGES + MORE_STAGES)
     if unknown:
         parser.error(f"unknown stages: {', '.join(sorted(unknown))}")
     if "land" in options.stages and not options.trips:
@@ -69,12 +71,12 @@ def main(argv: list[str] | None = None) -> None:
             "land": lake.bronze,
             "bronze": lake.bronze,
             "silver": lake.silver,
-            "gold": lake.gold_totals,
+            "gold": lake.gold_zones,
         }
         refilled = [first[stage] for stage in STAGES if stage in options.stages and stage in first]
         if refilled:
             lake.reset(refilled[0])
-    for stage in (stage for stage in STAGES if stage in options.stages):
+    for stage in (stage for stage in STAGES + MORE_STAGES if stage in options.stages):
         if stage == "land":
             lake.land(options.trips, options.day, replace=options.reset).show(30)
         elif stage == "bronze":
@@ -83,6 +85,9 @@ def main(argv: list[str] | None = None) -> None:
             lake.fill_silver()
         elif stage == "gold":
             lake.fill_gold_from_csv(options.zones)
+        elif stage == "windows":
+            lake.fill_windows()
+            lake.windows().orderBy("window_start").show(100)
         else:
             lake.report().show(truncate=False, vertical=True)
 

@@ -3,7 +3,8 @@
 Every KPI here is a sum, a count, or a ratio of the two. Totals at a fine grain can
 therefore be added up to any coarser grain, and one pass over the refined trips
 serves all KPI tables. The first aggregation combines on the map side, so a zone or
-hour that holds a third of all trips reaches the shuffle as one row per task.
+hour that holds a third of all trips reaches the shuffle as one row per task. Sums are exact,
+so neither the partitions of a run nor the number of refreshes shows in a KPI.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from curbline.functions.measures import percent_of
+from curbline.operators.exact import exact_sums, exact_total
 from curbline.operators.refine import FLAG_COLUMNS
 
 ZONE = "PULocationID"
@@ -28,18 +30,23 @@ def _totals() -> dict[str, Column]:
     paid_by = F.col("payment_type_desc")
     totals = {
         "trips": F.count(F.lit(1)),
-        "clean_revenue": F.sum(clean),
+        **exact_sums("clean_revenue", clean),
         "credit_card_trips": F.count_if(paid_by == "credit_card"),
         "cash_trips": F.count_if(paid_by == "cash"),
     }
     for name in AVERAGED:
-        totals[f"{name}_sum"] = F.sum(name)
+        totals |= exact_sums(name, F.col(name))
         totals[f"{name}_known"] = F.count(name)
     for name in FLAGS:
         totals[f"{name}_trips"] = F.sum(F.col(name).cast("int"))
     return totals
 
 
+def total_names() -> list[str]:
+    """The columns of totals, besides their keys."""
+    return list(_totals())
+
+
 def total_up(trips: DataFrame, keys: Sequence[Column | str]) -> DataFrame:
     """Additive totals of refined trips per ``keys``."""
     return trips.groupBy(*keys).agg(*(value.alias(name) for name, value in _totals().items()))
@@ -51,14 +58,14 @@ def roll_up(totals: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _mean(name: str, digits: int) -> Column:
-    return F.round(F.try_divide(F.col(f"{name}_sum"), F.col(f"{name}_known")), digits)
+    return F.round(F.try_divide(exact_total(name), F.col(f"{name}_known")), digits)
 
 
 def kpis() -> dict[str, Column]:
     """Every KPI over a frame of totals, by output name."""
     return {
         "total_trips": F.col("trips"),
-        "total_revenue_usd": F.round("clean_revenue", 2),
+        "total_revenue_usd": F.round(exact_total("clean_revenue"), 2),
         "avg_fare_usd": _mean("fare_amount", 2),
         "avg_distance_miles": _mean("trip_distance", 2),
         "avg_duration_mins": _mean("trip_duration_mins", 1),

@@ -6,16 +6,17 @@ table once (``trip_totals``) and build both from the result.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbline.operators.ranking import rank_descending
 from curbline.operators.totals import HOUR, ZONE, roll_up, select_kpis, total_up
 from curbline.operators.zones import add_zone_names, require_unique_zones
 from curbline.session import keep
+from curbline.streaming.segments import Segments
+from curbline.streaming.versions import publish
 
 REVENUE = "total_revenue_usd"
-LOADED, THROUGH = "_silver_timestamp", "_through"
 PEAK_HOURS = 3
 TOP_ZONES = 15
 
@@ -50,27 +51,15 @@ def trip_totals(silver: DataFrame) -> DataFrame:
     return keep(total_up(silver, [ZONE, *HOUR]), "trip-totals")
 
 
-def add_totals(silver: DataFrame, table: str, table_format: str = "parquet") -> None:
-    """Append to ``table`` the totals of the silver rows that it does not hold yet.
+def silver_totals(spark: SparkSession, folder: str) -> Segments:
+    """Totals per zone and hour of all silver rows taken so far, in ``folder``.
 
-    Totals add up, so old rows are never read again, and late rows for an old day are
-    rows like others. ``_through`` is the latest load time that a row of totals covers. It is
-    written with the totals it belongs to: a refresh that fails leaves neither. Silver is only
-    appended to, and the rows of a micro-batch share one load time, so a comparison with the
-    latest finds exactly the new ones, and skips files by their statistics.
+    Totals add up, so old rows are never read again, and late rows for an old day are rows like
+    others. Which rows are new is known from the files that each micro-batch took, so no row is
+    lost or counted twice whatever the clocks of the loads say.
     """
-    spark = silver.sparkSession
-    if spark.catalog.tableExists(table):
-        through = spark.table(table).agg(F.max(THROUGH)).first()[0]
-        if through is not None:
-            silver = silver.filter(F.col(LOADED) > F.lit(through))
-    until = silver.agg(F.max(LOADED)).first()[0]
-    if until is None and spark.catalog.tableExists(table):
-        return
-    if until is not None:
-        silver = silver.filter(F.col(LOADED) <= F.lit(until))
-    totals = total_up(silver, [ZONE, *HOUR]).withColumn(THROUGH, F.lit(until).cast("timestamp"))
-    totals.write.format(table_format).mode("append").saveAsTable(table)
+    keys = [ZONE, *HOUR]
+    return Segments(spark, folder, lambda rows: total_up(rows, keys), lambda t: roll_up(t, keys))
 
 
 def zone_kpis(totals: DataFrame, zones: DataFrame) -> DataFrame:
@@ -122,7 +111,11 @@ def top_zones(zone_table: DataFrame, rows: int = TOP_ZONES) -> DataFrame:
 
 
 def replace_table(rows: DataFrame, table: str, table_format: str = "parquet") -> None:
-    """Replace ``table``, its schema included."""
+    """Replace ``table``, its schema included, without a moment in which readers find it missing or
+    half written. Files get a new version; a table format with versions of its own is overwritten."""
+    if table_format == "parquet":
+        publish(rows, table)
+        return
     writer = rows.write.format(table_format).mode("overwrite")
     if table_format == "delta":
         writer = writer.option("overwriteSchema", True)

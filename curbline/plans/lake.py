@@ -7,11 +7,15 @@ from dataclasses import dataclass, field
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from curbline.operators.zones import zone_dimension
 from curbline.plans import bronze, gold, replay, reports, silver
-from curbline.schema import TRIP_COLUMNS
-from curbline.sources.files import read_trips, read_zone_lookup
+from curbline.schema import PICKUP, TRIP_COLUMNS
+from curbline.sources.files import read_trips, read_zone_lookup, table_stream
+from curbline.streaming import versions, windows
+from curbline.streaming.segments import Segments
+from curbline.streaming.tables import checkpoint_of, drain_to_table, table_folder
 
 
 @dataclass(frozen=True)
@@ -37,8 +41,12 @@ class Lake:
         return f"{self.database}.silver_trips"
 
     @property
-    def gold_totals(self) -> str:
-        return f"{self.database}.gold_totals"
+    def closed_windows(self) -> str:
+        return f"{self.database}.trip_windows"
+
+    @property
+    def gold_totals(self) -> Segments:
+        return gold.silver_totals(self.spark, table_folder(self.spark, f"{self.database}.gold_totals"))
 
     @property
     def gold_zones(self) -> str:
@@ -60,15 +68,18 @@ class Lake:
         """Drop ``first`` and every table after it, with their checkpoints.
 
         A checkpoint counts the files of the table before it, so a table is never
-        dropped without those that stream from it. All of them go by default.
+        dropped without those that stream from it. All of them go by default. The totals
+        of silver go with any of them.
         """
-        tables = [self.bronze, self.silver, self.gold_totals, self.gold_zones, self.gold_hours]
+        tables = [self.bronze, self.silver, self.closed_windows, self.gold_zones, self.gold_hours]
         for table in tables[tables.index(first) if first else 0 :]:
-            self.spark.sql(f"DROP TABLE IF EXISTS {table}")
+            versions.drop(self.spark, table)
+        self.gold_totals.drop()
 
     def land(self, trips_path: str, day: date, replace: bool = False) -> DataFrame:
-        """Write a day's hourly batches and return their counts. A day that has landed is refused;
-        ``replace`` it only after a reset, or its trips are taken twice."""
+        """Publish a day's hourly batches and return their counts. A day that has landed is refused;
+        ``replace`` it only after a reset, or its trips are taken twice. A landing that broke off is
+        simply repeated."""
         trips = read_trips(self.spark, trips_path)
         replay.write_hour_batches(trips, day, self.landing, replace)
         return replay.hour_batch_counts(self.spark, replay.day_folder(self.landing, day))
@@ -92,10 +103,28 @@ class Lake:
             table_format=self.table_format,
         )
 
+    def fill_windows(self) -> None:
+        """Take new silver rows into hourly event-time windows; those that close are emitted."""
+        stream = table_stream(self.spark, self.silver, **self.source_options)
+        drain_to_table(windows.trip_windows(stream), self.closed_windows)
+
+    def windows(self) -> DataFrame:
+        """The KPIs of every window, ``is_open`` where rows in time can still change them."""
+        spark, closed = self.spark, self.spark.table(self.closed_windows)
+        opened = windows.open_trip_windows(spark, checkpoint_of(spark, self.closed_windows))
+        return closed.withColumn("is_open", F.lit(False)).unionByName(
+            opened.withColumn("is_open", F.lit(True))
+        )
+
+    def late_trips(self) -> DataFrame:
+        """Silver rows that came too late for their window, which are in all other tables."""
+        checkpoint = checkpoint_of(self.spark, self.closed_windows)
+        return windows.late_rows(self.spark.table(self.silver), checkpoint, PICKUP)
+
     def fill_gold(self, zones: DataFrame) -> None:
         """Add the totals of new silver rows, and replace both gold tables from all totals."""
-        gold.add_totals(self.spark.table(self.silver), self.gold_totals, self.table_format)
-        totals = self.spark.table(self.gold_totals)
+        self.gold_totals.drain(table_stream(self.spark, self.silver, **self.source_options))
+        totals = self.gold_totals.read()
         gold.replace_table(gold.zone_kpis(totals, zones), self.gold_zones, self.table_format)
         gold.replace_table(gold.hourly_kpis(totals), self.gold_hours, self.table_format)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from curbline.functions.measures import percent_of
 from curbline.functions.rules import quality_checks
+from curbline.operators.exact import exact_sum
 from curbline.operators.totals import roll_up, select_kpis
 
 # Report column -> anomaly flag.
@@ -99,7 +100,7 @@ def run_report(
     """
     zones = zone_table.agg(
         F.count(F.lit(1)).alias("zone_rows"),
-        F.round(F.sum("total_revenue_usd"), 2).alias("total_revenue_usd"),
+        F.round(exact_sum(F.col("total_revenue_usd")), 2).alias("total_revenue_usd"),
         F.min_by(
             F.struct("location_id", "zone_name", "borough"),
             F.struct("revenue_rank_overall", "location_id"),

@@ -7,6 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession
 
 from curbline.operators.refine import refine
+from curbline.sources.files import table_stream
 from curbline.streaming.tables import drain_to_table
 
 # The columns of a silver sample.
@@ -31,7 +32,7 @@ def refine_table(
     **sink_options,
 ) -> None:
     """Append refined trips for the bronze rows the silver table has not seen yet."""
-    rows = spark.readStream.options(**(source_options or {})).table(bronze)
+    rows = table_stream(spark, bronze, **(source_options or {}))
     drain_to_table(refine(rows), silver, **sink_options)
 
 

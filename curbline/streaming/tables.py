@@ -12,6 +12,11 @@ def table_folder(spark: SparkSession, table: str) -> str:
     return f"{spark.catalog.getDatabase(database).locationUri.rstrip('/')}/{name.lower()}"
 
 
+def checkpoint_of(spark: SparkSession, table: str) -> str:
+    """The checkpoint of the stream that fills ``table``, where none is given."""
+    return f"{table_folder(spark, table)}/_checkpoint"
+
+
 def drain_to_table(
     stream: DataFrame,
     table: str,
@@ -29,7 +34,7 @@ def drain_to_table(
     query = (
         stream.writeStream.format(table_format)
         .outputMode("append")
-        .option("checkpointLocation", checkpoint or f"{table_folder(spark, table)}/_checkpoint")
+        .option("checkpointLocation", checkpoint or checkpoint_of(spark, table))
         .trigger(availableNow=True)
         .toTable(table)
     )

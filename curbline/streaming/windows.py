@@ -1,8 +1,12 @@
 """Event-time windows with a watermark: closed windows are emitted, later rows dropped.
 
 A window is emitted once the watermark (latest event time seen, less the delay) has
-passed its end. Under ``availableNow`` the last windows therefore stay open until newer
-rows arrive, or until they are closed: a stream ``with_closing`` also reads a folder of
+passed its end. The last windows stay open until newer rows arrive. ``open_windows`` reads them from
+the state of the stream, as they are after its last batch: with the emitted ones they are all
+windows, and rows that come afterwards still count. Rows that came behind the watermark are in
+``late_rows``: emitted, open and late rows are all rows.
+
+A backfill that is over can be closed for good: a stream ``with_closing`` also reads a folder of
 marker rows, and ``close_windows`` puts one there whose time is past all windows. The
 marker moves the watermark and is left out of the results. What arrives later for a time
 before it is late. Groups are combined on the map side before the state store, whose size is
@@ -14,11 +18,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
-from curbline.operators.refine import LATE_BY
-from curbline.operators.totals import select_kpis, total_up
+from curbline.operators.refine import FLAG_COLUMNS, LATE_BY
+from curbline.operators.totals import select_kpis, total_names, total_up
 from curbline.schema import PICKUP
 from curbline.sources.files import NEVER_TOO_OLD
 
@@ -87,3 +92,70 @@ def trip_windows(refined: DataFrame, width: str = "1 hour", late_by: str = LATE_
     """Trip KPIs per pickup window of a refined stream."""
     totals = total_up(_watermarked(refined, PICKUP, late_by), [F.window(PICKUP, width)])
     return select_kpis(totals, [F.col("window.start").alias("window_start")], WINDOW_KPIS)
+
+
+def open_windows(
+    spark: SparkSession, checkpoint: str, keys: Sequence[str], aggregates: Sequence[str]
+) -> DataFrame:
+    """What ``windowed`` would give for the windows still open after the last batch of its stream.
+
+    ``aggregates`` are the names in their order there. Each must be kept in one value, as counts, sums,
+    least and largest values are; means are not.
+    """
+    state = spark.read.format("statestore").load(checkpoint)
+    held = state.schema["value"].dataType.fields
+    if len(held) != len(aggregates):
+        raise ValueError(f"{len(aggregates)} aggregates are kept in {len(held)} values")
+    named = StructType([StructField(n, f.dataType) for n, f in zip(aggregates, held, strict=True)])
+    return state.select(
+        F.col("key.window.start").alias("window_start"),
+        *(F.col(f"key.{name}").alias(name) for name in keys),
+        F.col("value").cast(named).alias("value"),
+    ).select("window_start", *keys, "value.*")
+
+
+def open_trip_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``trip_windows`` of the windows still open."""
+    # The state holds the totals that the KPIs need, and trips per flag are not among them.
+    unused = {f"{flag}_trips" for flag in FLAG_COLUMNS}
+    totals = open_windows(spark, checkpoint, [], [n for n in total_names() if n not in unused])
+    return select_kpis(totals, ["window_start"], WINDOW_KPIS)
+
+
+def _one_spelling(path: Column) -> Column:
+    """Local paths are written with one slash after the scheme, or with three."""
+    return F.regexp_replace(path, "^file:/+", "file:/")
+
+
+def late_rows(
+    rows: DataFrame, checkpoint: str, time: str, width: str = "1 hour", late_by: str = LATE_BY
+) -> DataFrame:
+    """The rows that the windowed stream with this checkpoint found too late, with ``window_start``
+    and ``seconds_late``, the time by which the watermark had passed the end of their window.
+
+    ``rows`` are the files or the table that the stream has read, as a batch. The log of the stream's
+    source says which batch took a file. A batch goes by the watermark that the batch before it
+    closed windows with, so by the rows of the batches before that.
+    """
+    spark = rows.sparkSession
+    # A line for each file, and again in each file of the log that sums up earlier ones.
+    entry = F.from_json("value", "path string, batchId long").alias("entry")
+    log = spark.read.text(f"{checkpoint}/sources/0").where("value LIKE '{%'").select(entry)
+    path = _one_spelling(F.col("entry.path")).alias("_path")
+    taken = log.groupBy(path).agg(F.max("entry.batchId").alias("_batch"))
+    own = rows.withColumn("_file", _one_spelling(F.col("_metadata.file_path")))
+    batches = own.join(taken, F.col("_file") == F.col("_path")).drop("_file", "_path")
+    newest = batches.groupBy("_batch").agg(F.max(time).alias("_newest"))
+    # One row for each batch.
+    earlier = Window.orderBy("_batch").rangeBetween(Window.unboundedPreceding, -2)
+    delay = F.expr(f"INTERVAL {late_by}")
+    watermark = F.date_trunc("millisecond", F.max("_newest").over(earlier)) - delay
+    watermarks = newest.select(F.col("_batch").alias("_of"), watermark.alias("_watermark"))
+    window = F.window(time, width)
+    seconds = (F.unix_micros("_watermark") - F.unix_micros("_end")) / 1_000_000
+    return (
+        batches.join(watermarks, F.col("_batch") == F.col("_of"))
+        .withColumns({"window_start": window["start"], "_end": window["end"]})
+        .where("_end <= _watermark")
+        .select(*rows.columns, "window_start", seconds.alias("seconds_late"))
+    )

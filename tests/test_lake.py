@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from datetime import datetime
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from curbline.__main__ import main, parse
+from curbline.operators.refine import refine
 from curbline.operators.totals import HOUR, total_up
 from curbline.operators.zones import zone_dimension
 from curbline.plans import gold
@@ -15,6 +18,9 @@ from curbline.plans import silver as silver_plan
 from curbline.plans.lake import Lake
 from curbline.session import apply_settings, fresh_path, shared_folder
 from curbline.sources import samples
+from curbline.sources.files import table_stream
+from curbline.streaming.segments import Segment, widest
+from curbline.streaming.tables import drain_to_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -58,29 +64,81 @@ def test_run_from_the_command_line(spark, tmp_path, capsys):
     assert silver_plan.sample(spark.table(lake.silver), 4).count() == 4
 
 
-def test_gold_refresh_reads_new_rows_only(spark, tmp_path):
-    """Two loads, a late row for the first day among the second: as good as one computation."""
+def filled_in_parts(spark, tmp_path, parts, stamp=None):
+    """A lake whose trips come in ``parts`` loads, each followed by a refresh of gold."""
     lake = Lake(spark, f"t_{uuid.uuid4().hex}", str(tmp_path / "landing"))
     lake.create(str(tmp_path / "db"))
-    zones = samples.zone_lookup(spark, SF_DIR)
     trips = samples.trips(spark, SF_DIR, samples.EDGE_FIELDS)
-    for part in range(2):
-        chosen = trips.filter(f"(VendorID + trip_distance * 4) % 2 = {part}")
+    for part in range(parts):
+        chosen = trips.filter(f"pmod(hash(VendorID, trip_distance, fare_amount), {parts}) = {part}")
         chosen.write.parquet(f"{lake.landing}/hour_{part:02d}")
         lake.fill_bronze()
-        lake.fill_silver()
-        lake.fill_gold(zone_dimension(zones))
-    lake.fill_gold(zone_dimension(zones))  # nothing new
-    assert spark.table(lake.gold_totals).select("_through").distinct().count() == 2
-    whole = gold.hourly_kpis(total_up(spark.table(lake.silver), HOUR))
-    columns = ["pickup_hour", "total_trips", "anomaly_count", "credit_card_trips"]
-    stored = spark.table(lake.gold_hours).select(columns)
-    assert stored.exceptAll(whole.select(columns)).isEmpty() and stored.count() == whole.count()
-    newest = spark.table(lake.gold_totals).agg(F.max("_through")).first()[0]
-    later = spark.table(lake.silver).filter(F.col("_silver_timestamp") > F.lit(newest))
-    assert "GreaterThan(_silver_timestamp" in later._jdf.queryExecution().executedPlan().toString()
+        if stamp:
+            rows = refine(table_stream(spark, lake.bronze)).withColumn("_silver_timestamp", stamp(part))
+            drain_to_table(rows, lake.silver)
+        else:
+            lake.fill_silver()
+        lake.fill_gold(zone_dimension(samples.zone_lookup(spark, SF_DIR)))
+    return lake
+
+
+def gold_rows(spark, lake):
+    return [
+        sorted((r.asDict() for r in spark.table(t).drop("_gold_updated_at").collect()), key=str)
+        for t in (lake.gold_zones, lake.gold_hours)
+    ]
+
+
+def test_gold_refresh_adds_new_rows_only(spark, tmp_path):
+    """Two loads, a late row for the first day among the second: as good as one computation."""
+    lake = filled_in_parts(spark, tmp_path, 2)
+    before = lake.gold_totals.complete()
+    lake.fill_gold(zone_dimension(samples.zone_lookup(spark, SF_DIR)))  # nothing new
+    assert lake.gold_totals.complete() == before == [Segment(0, 0), Segment(1, 1)]
+    whole = gold.hourly_kpis(total_up(spark.table(lake.silver), HOUR)).drop("_gold_updated_at")
+    stored = spark.table(lake.gold_hours).select(whole.columns)
+    assert sorted(map(str, stored.collect())) == sorted(map(str, whole.collect()))
     lake.reset(lake.silver)
-    assert not spark.catalog.tableExists(lake.gold_totals)
+    assert not lake.gold_totals.exists()
+
+
+def test_gold_refresh_does_not_trust_clocks(spark, tmp_path):
+    """Each load is stamped a day before the one that it follows."""
+    lake = filled_in_parts(spark, tmp_path, 3, lambda part: F.lit(datetime(2030, 1, 9 - part)))
+    assert spark.table(lake.silver).select("_silver_timestamp").distinct().count() == 3
+    counted = lake.gold_totals.read().agg(F.sum("trips")).first()[0]
+    assert counted == spark.table(lake.silver).count() > 4000
+
+
+def test_repeated_batch_is_counted_once(spark, tmp_path):
+    """The commit of the last batch is lost, as when a driver dies after writing totals."""
+    lake = filled_in_parts(spark, tmp_path, 2)
+    before = gold_rows(spark, lake)
+    commits = Path(lake.gold_totals.checkpoint.removeprefix("file:")) / "commits"
+    for file in (commits / "1", commits / ".1.crc"):
+        file.unlink(missing_ok=True)
+    lake.fill_gold(zone_dimension(samples.zone_lookup(spark, SF_DIR)))
+    assert gold_rows(spark, lake) == before
+    assert (commits / "1").exists()
+
+
+def test_gold_is_the_same_however_many_loads(spark, tmp_path):
+    """Bit for bit, with and without merged segments."""
+    one, many = filled_in_parts(spark, tmp_path / "a", 1), filled_in_parts(spark, tmp_path / "b", 9)
+    assert widest(many.gold_totals.complete()) == [Segment(0, 7), Segment(8, 8)]
+    assert gold_rows(spark, one) == gold_rows(spark, many)
+
+
+def test_readers_that_began_before_a_refresh_end_well(spark, tmp_path):
+    lake = filled_in_parts(spark, tmp_path, 1)
+    began = spark.table(lake.gold_zones)
+    before = began.select("location_id").collect()
+    files = began.inputFiles()
+    lake.fill_gold(zone_dimension(samples.zone_lookup(spark, SF_DIR).limit(0)))
+    assert sorted(began.select("location_id").collect()) == sorted(before)
+    assert began.filter("zone_name IS NOT NULL").count() > 0
+    assert spark.table(lake.gold_zones).filter("zone_name IS NOT NULL").isEmpty()
+    assert set(spark.table(lake.gold_zones).inputFiles()).isdisjoint(files)
 
 
 @pytest.mark.parametrize("arguments", [["land"], ["gold"], ["unheard-of"]])

@@ -1,12 +1,24 @@
 from __future__ import annotations
 
+import uuid
 from datetime import date, timedelta
 from pathlib import Path
 
 import pytest
-
-from curbline.plans.replay import day_folder, hour_batch_counts, write_hour_batches
+from pyspark.sql import functions as F
+
+from curbline import storage
+from curbline.plans.replay import (
+    day_folder,
+    has_landed,
+    hour_batch_counts,
+    manifest,
+    staging_folder,
+    write_hour_batches,
+)
 from curbline.schema import PICKUP, TRIP_COLUMNS, conform
+from curbline.sources.files import file_stream
+from curbline.streaming.tables import drain_to_table
 from tests.rows import START, frame, trip
 
 DAY = date(2024, 1, 1)
@@ -98,3 +110,51 @@ def test_hot_hour_is_split_over_tasks(spark, tmp_path):
     assert counts[None] == 40_000
     assert counts[8] > 26_000
     assert spark.read.parquet(landing).select("VendorID").distinct().count() == 40_000
+
+
+def test_a_landing_that_broke_off_is_repeated(spark, tmp_path):
+    """What older and failed landings leave: an unfinished folder, and staged files."""
+    landing = str(tmp_path / "batches")
+    left = Path(day_folder(landing, DAY)) / "_temporary" / "0"
+    left.mkdir(parents=True)
+    staged = Path(staging_folder(landing)) / f"day={DAY}.x" / "hour=01"
+    staged.mkdir(parents=True)
+    assert not has_landed(spark, landing, DAY)
+    write_hour_batches(frame(spark, [at(hours=1), at(hours=1), at(hours=4)]), DAY, landing)
+    assert has_landed(spark, landing, DAY) and files(landing) == {"hour=01": 1, "hour=04": 1}
+    assert manifest(spark, landing, DAY) == {
+        "day": "2024-01-01", "trips": 3, "hours": {"01": 2, "04": 1},
+    }
+    assert not any(Path(staging_folder(landing)).iterdir())
+    assert spark.read.parquet(landing).count() == 3
+
+
+def test_nothing_shows_of_a_landing_that_fails(spark, tmp_path):
+    """A task fails after others have written their files; a stream sees none, then the whole day."""
+    landing = str(tmp_path / "batches")
+    rows = frame(spark, [at(hours=h) for h in range(8)]).repartition(8)
+    broken = rows.withColumn(
+        "total_amount", F.when(F.hour(PICKUP) == 7, F.raise_error(F.lit("no more disk")).cast("double"))
+    )
+    with pytest.raises(Exception, match="no more disk"):
+        write_hour_batches(broken, DAY, landing)
+    assert not Path(day_folder(landing, DAY)).exists()
+    Path(landing).mkdir(exist_ok=True)
+    table = f"t_{uuid.uuid4().hex}"
+    drain_to_table(file_stream(spark, landing), table)
+    write_hour_batches(rows, DAY, landing)
+    drain_to_table(file_stream(spark, landing), table)
+    assert spark.table(table).count() == 8
+    spark.sql(f"DROP TABLE {table}")
+
+
+def test_renames_never_overwrite(spark, tmp_path):
+    for name in ("a", "b"):
+        storage.write_text(spark, str(tmp_path / name), name)
+    with pytest.raises(FileExistsError):
+        storage.rename(spark, str(tmp_path / "a"), str(tmp_path / "b"))
+    with pytest.raises(Exception):
+        storage.rename(spark, str(tmp_path / "none"), str(tmp_path / "c"))
+    storage.rename(spark, str(tmp_path / "a"), str(tmp_path / "new" / "c"))
+    assert storage.read_text(spark, str(tmp_path / "new" / "c")) == "a"
+    assert storage.names_in(spark, str(tmp_path / "missing")) == []

@@ -8,7 +8,7 @@ from curbline.functions.labels import hour_in_path
 from curbline.operators.zones import zone_dimension
 from curbline.schema import PICKUP, TRIP_COLUMNS, TRIP_SCHEMA, conform
 from curbline.sources import samples
-from curbline.sources.files import read_trips, read_zone_lookup
+from curbline.sources.files import _layout, layouts, read_trips, read_zone_lookup, scans_by_layout
 from tests.rows import frame, trip
 
 CSV = 'LocationID,Borough,Zone,service_zone\n1,EWR,"Newark, NJ",EWR\n264,Unknown,N/A,\n'
@@ -82,3 +82,43 @@ def test_sample_trips(spark):
     assert rows.columns == list(TRIP_COLUMNS)
     raw = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
     assert rows.count() == raw.count()
+
+
+@pytest.fixture
+def mixed(spark, tmp_path):
+    """Months of two layouts: two whole folders, one that mixes them, one with a folder below it."""
+    whole = spark.createDataFrame([(1, 2), (3, 4)], "VendorID long, passenger_count long")
+    other = whole.selectExpr("VendorID", "CAST(passenger_count AS STRING) AS passenger_count")
+    for name, rows in (("a", whole), ("b", other), ("c", whole), ("c", other), ("d", whole), ("d/e", other)):
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / name))
+    (tmp_path / "a" / "_notes.txt").write_text("not data")
+    return str(tmp_path)
+
+
+def test_folders_of_two_layouts_are_read(spark, mixed):
+    scans = scans_by_layout(spark, mixed)
+    assert len(scans) == 2
+    rows = [row for scan in scans for row in conform(scan).select("VendorID", "passenger_count").collect()]
+    assert sorted(map(tuple, rows)) == sorted([(1, 2.0), (3, 4.0)] * 6)
+
+
+def test_tasks_read_the_layouts(spark, mixed):
+    found = layouts(spark, mixed)
+    assert found.count() == 6 and found.select("layout").distinct().count() == 2
+    assert "MapInArrow" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_files_that_tasks_cannot_reach_are_layouts_of_their_own():
+    assert _layout("nosuchstore://host/part.parquet") == "nosuchstore://host/part.parquet"
+
+
+def test_months_of_conflicting_types(spark, tmp_path):
+    for name, kind in (("month=1", "bigint"), ("month=2", "string"), ("month=3", "double")):
+        spark.sql(f"SELECT 7 AS VendorID, CAST(2 AS {kind}) AS passenger_count").write.parquet(str(tmp_path / name))
+    rows = read_trips(spark, str(tmp_path)).select("VendorID", "passenger_count").collect()
+    assert sorted(map(tuple, rows)) == [(7, 2.0)] * 3
+
+
+def test_other_errors_are_not_hidden(spark, tmp_path):
+    with pytest.raises(AnalysisException, match="PATH_NOT_FOUND"):
+        read_trips(spark, str(tmp_path / "none"))

@@ -18,8 +18,15 @@ from curbline.schema import PICKUP, TRIP_COLUMNS, TRIP_SCHEMA, conform
 from curbline.sources.files import file_stream
 from curbline.sources.samples import trips as sample_trips
 from curbline.streaming.ingest import with_ingest_columns
-from curbline.streaming.tables import drain_to_table, table_folder
-from curbline.streaming.windows import close_windows, trip_windows, windowed, with_closing
+from curbline.streaming.tables import checkpoint_of, drain_to_table, table_folder
+from curbline.streaming.windows import (
+    close_windows,
+    late_rows,
+    open_windows,
+    trip_windows,
+    windowed,
+    with_closing,
+)
 from tests.rows import START, frame, trip
 
 MIDNIGHT = START.replace(hour=0)
@@ -217,6 +224,73 @@ def test_closing_emits_every_window(lake):
     assert lake.spark.table(table).agg(F.sum("trips")).first()[0] == 6
 
 
+def counted_windows(lake, max_files=None):
+    """VendorID and trips of closed, open and late windows after a drain."""
+    limits = {"maxFilesPerTrigger": str(max_files)} if max_files else {}
+    stream, table = file_stream(lake.spark, lake.landing, **limits), f"{lake.database}.windows"
+    drain_to_table(windowed(stream, PICKUP, ["VendorID"], {"trips": F.count(F.lit(1))}), table)
+    checkpoint = checkpoint_of(lake.spark, table)
+    opened = open_windows(lake.spark, checkpoint, ["VendorID"], ["trips"])
+    files = lake.spark.read.schema(TRIP_SCHEMA).option("recursiveFileLookup", True).parquet(lake.landing)
+    late = late_rows(files, checkpoint, PICKUP)
+    found = [sorted((r.VendorID, r.trips) for r in rows.collect()) for rows in (lake.spark.table(table), opened)]
+    return *found, sorted((r.VendorID, r.seconds_late) for r in late.collect())
+
+
+def test_open_windows_come_from_the_state(spark, lake):
+    land_hours(lake)
+    closed, opened, late = counted_windows(lake)
+    assert closed == [(h, 1) for h in range(4)] and opened == [(4, 1), (5, 1)] and late == []
+    # A row in time for an open window still counts, and nothing comes out twice.
+    pickup = MIDNIGHT + timedelta(hours=5, minutes=50)
+    land(lake, 6, trip(seconds=60, VendorID=5, **{PICKUP: pickup}))
+    closed, opened, late = counted_windows(lake)
+    assert closed == [(h, 1) for h in range(5)] and opened == [(5, 2)] and late == []
+
+
+@pytest.mark.parametrize("max_files", [1, 2])
+def test_emitted_open_and_late_rows_are_all_rows(spark, lake, max_files):
+    for hour in ARRIVAL:
+        trips = [trip(VendorID=hour, **{PICKUP: MIDNIGHT + timedelta(hours=hour, minutes=m)}) for m in (1, 40)]
+        land(lake, hour, *trips)
+        time.sleep(1.1)  # the order of files is that of their times
+    closed, opened, late = counted_windows(lake, max_files)
+    assert len(late) > 0 and sum(n for _, n in closed + opened) + len(late) == 12
+    assert {v for v, _ in late}.isdisjoint(v for v, _ in opened)
+    # A second drain, and rows that are late for it.
+    land(lake, 7, trip(VendorID=9, **{PICKUP: MIDNIGHT + timedelta(hours=9)}))
+    time.sleep(1.1)
+    land(lake, 8, trip(VendorID=1, **{PICKUP: MIDNIGHT + timedelta(hours=1)}))
+    closed, opened, late = counted_windows(lake, max_files)
+    assert sum(n for _, n in closed + opened) + len(late) == 14
+    land(lake, 9, trip(VendorID=2, **{PICKUP: MIDNIGHT + timedelta(hours=2)}))
+    closed, opened, late = counted_windows(lake, max_files)
+    assert sum(n for _, n in closed + opened) + len(late) == 15
+    assert (2, 21000.0 if max_files == 1 else 9000.0) in late
+
+
+def test_means_cannot_be_read_from_the_state(spark, lake):
+    land_hours(lake)
+    table = f"{lake.database}.windows"
+    drain_to_table(windowed(file_stream(spark, lake.landing), PICKUP, [], {"mean": F.avg("fare_amount")}), table)
+    with pytest.raises(ValueError, match="kept in 2 values"):
+        open_windows(spark, checkpoint_of(spark, table), [], ["mean"])
+
+
+def test_lake_windows_are_the_hourly_kpis(spark, lake):
+    sample_trips(spark, "/root/testdata/sf0.001").write.parquet(f"{lake.landing}/hour_00")
+    lake.fill_bronze()
+    lake.fill_silver()
+    lake.fill_windows()
+    found = lake.windows().withColumn("pickup_hour", F.hour("window_start"))
+    assert found.filter("is_open").count() == 1 and lake.late_trips().isEmpty()
+    hourly = gold.hourly_kpis(total_up(spark.table(lake.silver), HOUR)).select(
+        [c for c in found.columns if c not in ("is_open", "window_start")]
+    )
+    assert found.count() == 24
+    assert found.select(hourly.columns).exceptAll(hourly).isEmpty()
+
+
 def test_files_are_taken_however_old_they_are(spark, lake):
     land_hours(lake)
     lake.fill_bronze()
