@@ -15,18 +15,25 @@ whole corpus is found in these steps:
 
 No step sees all pairs at once. A shard has at most the ids of A times its share of those of B.
 Documents never move.
+
+Before a space that follows anything but white space, tokens of both sides end: A splits there, and
+no piece of B has a space behind another character. So a text is aligned part by part, and what
+is known of a part is remembered.
 """
 
 from __future__ import annotations
 
+import re
 from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import chain, pairwise
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -42,10 +49,12 @@ PIECE_BPE = "piece_bpe_32k.model"
 SHARDS = 128
 LEAF_TASKS = 512
 FAN = 32
-# Bytes of text encoded, and looked up, at a time.
-ENCODED_BYTES, ALIGNED_BYTES = 1 << 20, 1 << 24
-# Links of a task after which its pairs are made distinct, and pairs after which they are handed on.
-PENDING_LINKS, HELD_PAIRS = 1 << 21, 1 << 21
+# Letters of text aligned at a time, about.
+ALIGNED_BYTES = 1 << 20
+# Parts, and letters of them, beyond which a task forgets what it knows of parts.
+HELD_PARTS, HELD_LETTERS = 250_000, 6_000_000
+# Distinct pairs of a task after which they are handed on.
+HELD_PAIRS = 1 << 20
 HELD_BYTES = 96 << 20
 B_BITS = np.uint64(32)
 B_MASK = np.uint64((1 << 32) - 1)
@@ -55,40 +64,36 @@ B_MASK = np.uint64((1 << 32) - 1)
 # Tokens and links
 # ---------------------------------------------------------------------------
 
+ODD_SPACE = re.compile(r"^ |\s ")
+BORDER = re.compile(r"(?<=\S)(?= )")
 
-@dataclass
-class Aligned:
-    """Tokens of several texts one after the other. ``a_of``, ``b_of``: the place of each token's
-    text. ``link_a``, ``link_b``: places of the tokens that end together."""
-
-    texts: int
-    a: np.ndarray
-    b: np.ndarray
-    a_of: np.ndarray
-    b_of: np.ndarray
-    link_a: np.ndarray
-    link_b: np.ndarray
 
-    def pairs(self) -> np.ndarray:
-        """The id pair of every link, as one number."""
-        return (self.a[self.link_a].astype(np.uint64) << B_BITS) | self.b[self.link_b].astype(
-            np.uint64
-        )
+def parts_of(text: str) -> list[str]:
+    """The parts of a text that are aligned on their own, each without the space before it."""
+    if ODD_SPACE.search(text):
+        return [part[1:] for part in BORDER.split(f" {text}")]
+    return text.split(" ")
 
 
 class Aligner:
+    """Aligns texts by their parts. Part number i has ``n_a[i]`` and ``n_b[i]`` tokens, ``n_links[i]`` of
+    the linked ``pairs``, and the text ``groups[i]`` where those are wanted. A part that loses bytes
+    has no tokens and is ``lost``."""
+
     def __init__(self, folder: str | None):
         from sentencepiece import SentencePieceProcessor
 
         self.coder = ByteTokenizer(folder).coder
         self.pieces = SentencePieceProcessor(model_file=vocabulary(PIECE_BPE, folder))
-        a_ids = range(self.coder.n_vocab)
-        self.a_bytes = [self._token(i) for i in a_ids]
-        self.b_bytes = [self._piece(i) for i in range(self.pieces.get_piece_size())]
+        self.a_bytes = [self._token(i) for i in range(self.coder.n_vocab)]
+        names = [self.pieces.id_to_piece(i) for i in range(self.pieces.get_piece_size())]
+        if any("▁" in name.lstrip("▁") for name in names):
+            raise ValueError("pieces of the vocabulary cross the spaces between words")
+        self.b_bytes = [self._piece(i, name) for i, name in enumerate(names)]
+        self.space = self.pieces.piece_to_id("▁")  # B adds none to an empty text
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
-        self.a_names = [str(i) for i in a_ids]
-        self.b_names = [str(i) for i in range(len(self.b_bytes))]
+        self.forget()
 
     def _token(self, i: int) -> bytes:
         try:
@@ -96,69 +101,98 @@ class Aligner:
         except KeyError:  # an id without a token
             return b""
 
-    def _piece(self, i: int) -> bytes:
+    def _piece(self, i: int, name: str) -> bytes:
         if self.pieces.is_byte(i):
-            return bytes([int(self.pieces.id_to_piece(i)[3:-1], 16)])
-        return self.pieces.id_to_piece(i).replace("▁", " ").encode()
-
-    def encoded(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
-        """Ids of A and B of each text; none where there is no text or either loses bytes."""
-        at = 0
-        while at < len(texts):
-            end, size = at, 0
-            while end < len(texts) and size < ENCODED_BYTES:
-                size, end = size + len(texts[end] or ""), end + 1
-            part = [t or "" for t in texts[at:end]]
-            for text, b in zip(part, self.pieces.encode(part, num_threads=1), strict=True):
-                if not text:
-                    yield [], []
-                    continue
-                whole = f" {text}".encode()
-                a = self.coder.encode_ordinary(f" {text}")
-                same = (
-                    b"".join(map(self.a_bytes.__getitem__, a)) == whole
-                    and b"".join(map(self.b_bytes.__getitem__, b)) == whole
-                )
-                yield (a, b) if same else ([], [])
-            at = end
+            return bytes([int(name[3:-1], 16)])
+        return name.replace("▁", " ").encode()
 
-    def align(self, texts: list[str | None]) -> Aligned:
+    def forget(self, with_groups: bool = False) -> None:
         none = np.zeros(0, np.int64)
-        a, b, a_sizes, b_sizes = [none], [none], [], []
-        for own_a, own_b in self.encoded(texts):
-            a.append(np.asarray(own_a, np.int64))
-            b.append(np.asarray(own_b, np.int64))
-            a_sizes.append(len(own_a))
-            b_sizes.append(len(own_b))
-        a, b = np.concatenate(a), np.concatenate(b)
-        # Both give the same bytes for each text, so the ends agree across texts as well. No token
-        # of a text is empty, so no two tokens of a side end together.
+        self.number: dict[str, int] = {}
+        self.n_a = self.n_b = self.n_links = none
+        self.pairs, self.lost = np.zeros(0, np.uint64), np.zeros(0, bool)
+        self.groups: list[str] = []
+        self.with_groups, self.letters = with_groups, 0
+
+    def is_full(self) -> bool:
+        return len(self.number) > HELD_PARTS or self.letters > HELD_LETTERS
+
+    def numbers(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """Part numbers of all texts one after the other, and how many each text has: none where
+        there is no text, or where either side loses bytes of it."""
+        parts, sizes = [], []
+        for text in texts:
+            own = parts_of(text) if text else []
+            parts += own
+            sizes.append(len(own))
+        self.learn([p for p in set(parts) if p not in self.number])
+        found, sizes = np.array([self.number[p] for p in parts], np.int64), np.array(sizes, np.int64)
+        if self.lost[found].any():
+            of = np.repeat(np.arange(len(sizes)), sizes)
+            gone = np.unique(of[self.lost[found]])
+            found, sizes[gone] = found[~np.isin(of, gone)], 0
+        return found, sizes
+
+    def learn(self, parts: list[str]) -> None:
+        """Align new parts. Behind white space a part would not end for A, so such parts go alone."""
+        together = [p for p in parts if p and not p[-1].isspace()]
+        if together:
+            self._align(together)
+        for part in parts:
+            if not part or part[-1].isspace():
+                self._align([part])
+
+    def _align(self, parts: list[str]) -> None:
+        whole = "".join([f" {p}" for p in parts])
+        a = self.coder.encode_ordinary(whole)
+        b = [ids or [self.space] for ids in self.pieces.encode(parts, num_threads=1)]
+        b = list(chain.from_iterable(b))
+        in_bytes = whole.encode()
+        same = all(
+            b"".join([held[i] for i in ids]) == in_bytes
+            for held, ids in ((self.a_bytes, a), (self.b_bytes, b))
+        )
+        if not same and len(parts) > 1:
+            for half in (parts[: len(parts) // 2], parts[len(parts) // 2 :]):
+                self._align(half)
+            return
+        if not same:
+            a, b = [], []
+        a, b = np.array(a, np.int64), np.array(b, np.int64)
+        # No token of a text is empty, so no two tokens of a side end together.
         a_ends, b_ends = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        ends = np.cumsum([len(p.encode()) + 1 for p in parts])
         at = np.searchsorted(b_ends, a_ends)
-        together = b_ends[at] == a_ends if len(a) else np.zeros(0, bool)
-        every = np.arange(len(texts))
-        return Aligned(
-            len(texts),
-            a,
-            b,
-            np.repeat(every, a_sizes),
-            np.repeat(every, b_sizes),
-            np.flatnonzero(together),
-            at[together],
+        linked = b_ends[at] == a_ends if len(a) else np.zeros(0, bool)
+        link_a, link_b = np.flatnonzero(linked), at[linked]
+        n_a, n_b, n_links = (
+            np.bincount(np.searchsorted(ends, x), minlength=len(parts))
+            for x in (a_ends, b_ends, a_ends[linked])
         )
-
-    def groups(self, found: Aligned) -> list[str]:
-        """Of each text: groups joined by ``;``, their A and B ids by ``,`` with ``|`` between."""
-        a = [self.a_names[i] for i in found.a.tolist()]
-        b = [self.b_names[i] for i in found.b.tolist()]
-        out: list[list[str]] = [[] for _ in range(found.texts)]
-        i = j = 0
-        text_of = found.a_of[found.link_a].tolist()
-        ends = zip(found.link_a.tolist(), found.link_b.tolist(), text_of, strict=True)
-        for last_a, last_b, text in ends:
-            out[text].append(f"{','.join(a[i : last_a + 1])}|{','.join(b[j : last_b + 1])}")
-            i, j = last_a + 1, last_b + 1
-        return [";".join(x) for x in out]
+        self.number |= zip(parts, range(len(self.number), len(self.number) + len(parts)), strict=True)
+        self.letters += len(whole)
+        self.n_a = np.concatenate([self.n_a, n_a])
+        self.n_b = np.concatenate([self.n_b, n_b])
+        self.n_links = np.concatenate([self.n_links, n_links])
+        self.lost = np.concatenate([self.lost, np.full(len(parts), not same)])
+        pairs = a[link_a].astype(np.uint64) << B_BITS | b[link_b].astype(np.uint64)
+        self.pairs = np.concatenate([self.pairs, pairs])
+        if self.with_groups:
+            texts = list(_groups(a.tolist(), b.tolist(), link_a.tolist(), link_b.tolist()))
+            first = np.concatenate([[0], np.cumsum(n_links)]).tolist()
+            self.groups += [";".join(texts[i:j]) for i, j in pairwise(first)]
+
+
+def _groups(a: list[int], b: list[int], link_a: list[int], link_b: list[int]) -> Iterator[str]:
+    """The ids of each group, ``a1,a2|b1``."""
+    i = j = 0
+    for last_a, last_b in zip(link_a, link_b, strict=True):
+        if i == last_a and j == last_b:
+            yield f"{a[i]}|{b[j]}"
+        else:
+            own_a, own_b = a[i : last_a + 1], b[j : last_b + 1]
+            yield f"{','.join(map(str, own_a))}|{','.join(map(str, own_b))}"
+        i, j = last_a + 1, last_b + 1
 
 
 @lru_cache(maxsize=1)
@@ -209,19 +243,17 @@ def partial_counts(docs: DataFrame, folder: str | None) -> DataFrame:
 
     def run(batches):
         own, task = aligner(folder), TaskContext.get().partitionId()
+        own.forget()
         pairs, counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        pending, waiting = [], 0
+        times = np.zeros(0, np.int64)  # of each part that is known
 
         def merged():
-            distinct, n = [pairs], [counts]
-            if pending:
-                found, times = np.unique(np.concatenate(pending), return_counts=True)
-                distinct.append(found)
-                n.append(times)
-            every, at = np.unique(np.concatenate(distinct), return_inverse=True)
-            total = np.zeros(len(every), np.int64)
-            np.add.at(total, at, np.concatenate(n))
-            return every, total
+            every = np.concatenate([pairs, own.pairs])
+            distinct, at = np.unique(every, return_inverse=True)
+            total = np.zeros(len(distinct), np.int64)
+            np.add.at(total, at, np.concatenate([counts, np.repeat(times, own.n_links)]))
+            used = total > 0  # parts that only a lost text has are known and not counted
+            return distinct[used], total[used]
 
         def rows():
             for shard, own_pairs, own_counts in _sorted_by_shard(pairs, counts):
@@ -233,14 +265,17 @@ def partial_counts(docs: DataFrame, folder: str | None) -> DataFrame:
                 )
 
         for _, texts in by_bytes(batches):
-            pending.append(own.align(texts).pairs())
-            waiting += pending[-1].size
-            if waiting >= PENDING_LINKS:
+            if own.is_full():
                 pairs, counts = merged()
-                pending, waiting = [], 0
+                own.forget()
+                times = times[:0]
                 if len(pairs) >= HELD_PAIRS:
                     yield from rows()
                     pairs, counts = pairs[:0], counts[:0]
+            numbers, _ = own.numbers(texts)
+            found = np.bincount(numbers, minlength=len(own.number))
+            found[: len(times)] += times
+            times = found
         pairs, counts = merged()
         yield from rows()
 
@@ -401,6 +436,9 @@ class Shards:
 
     def __init__(self, path: str):
         self.path, self.held, self.size = path, OrderedDict(), 0
+        system, at = located(path)
+        found = system.get_file_info(fs.FileSelector(at))
+        self.present = {int(f.base_name[6:]) for f in found if f.base_name.startswith("shard=")}
 
     def shard(self, k: int):
         if k in self.held:
@@ -424,17 +462,30 @@ class Shards:
         return found
 
     def look_up(self, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Count and best of every pair."""
+        """Count and best of every pair; 0 and False of a pair that was not counted."""
         distinct, of = np.unique(pairs, return_inverse=True)
         counts, best = np.zeros(len(distinct), np.int64), np.zeros(len(distinct), bool)
         for k, own, at in _sorted_by_shard(distinct, np.arange(len(distinct))):
+            if k not in self.present:
+                continue
             made, by_slot, count, is_best = self.shard(k)
             slots = made.slots(own)
-            if (slots < 0).any() or (by_slot[slots] != own).any():
-                raise KeyError("a pair of ids that was not counted; the documents have changed")
-            counts[at], best[at] = count[slots], is_best[slots]
+            known = (slots >= 0) & (by_slot[slots] == own)
+            counts[at[known]], best[at[known]] = count[slots[known]], is_best[slots[known]]
         return counts[of], best[of]
 
+    def of_parts(self, pairs: np.ndarray, n_links: np.ndarray) -> tuple[np.ndarray, ...]:
+        """Of each part, how many of its pairs are best, the sum of their counts, and how many were
+        not counted."""
+        counts, best = self.look_up(pairs)
+        end = np.concatenate([[0], np.cumsum(n_links)])
+
+        def total(of_pair):
+            before = np.concatenate([[0], np.cumsum(of_pair)])
+            return before[end[1:]] - before[end[:-1]]
+
+        return total(best), total(counts), total(counts == 0)
+
 
 @lru_cache(maxsize=1)
 def shards(path: str) -> Shards:
@@ -452,26 +503,39 @@ def align(docs: DataFrame, folder: str | None = None) -> DataFrame:
 
     def run(batches):
         own, known = aligner(folder), shards(table.path)
+        own.forget(with_groups=True)
+        n_best = count_sum = unknown = np.zeros(0, np.int64)
         for ids, texts in by_bytes(batches):
-            found = own.align(texts)
-            counts, best = known.look_up(found.pairs())
-            text_of = found.a_of[found.link_a]
+            if own.is_full():
+                own.forget(with_groups=True)
+                n_best = count_sum = unknown = n_best[:0]
+            numbers, sizes = own.numbers(texts)
+            before = int(own.n_links[: len(n_best)].sum())
+            new = known.of_parts(own.pairs[before:], own.n_links[len(n_best) :])
+            n_best, count_sum, unknown = map(np.append, (n_best, count_sum, unknown), new)
+            # Only parts of texts that lose bytes elsewhere can have pairs that were not counted.
+            if unknown[numbers].any():
+                raise KeyError("a pair of ids that was not counted; the documents have changed")
+            first = np.concatenate([[0], np.cumsum(sizes)])
 
-            def total(of, weights=None, n=len(texts)):
-                out = np.zeros(n, np.int64)
-                np.add.at(out, of, 1 if weights is None else weights)
-                return pa.array(out)
+            def total(of_part):
+                before = np.concatenate([[0], np.cumsum(of_part[numbers])])
+                return pa.array(before[first[1:]] - before[first[:-1]])
 
-            links = total(text_of)
+            links, order = total(own.n_links), numbers.tolist()
+            groups = [
+                ";".join([own.groups[i] for i in order[start:end]])
+                for start, end in pairwise(first.tolist())
+            ]
             yield batch(
                 doc_id=ids,
-                n_a=total(found.a_of),
-                n_b=total(found.b_of),
+                n_a=total(own.n_a),
+                n_b=total(own.n_b),
                 n_groups=links,  # each link ends a group
                 n_links=links,
-                n_best=total(text_of[best]),
-                count_sum=total(text_of, counts),
-                groups=pa.array(own.groups(found), pa.string()),
+                n_best=total(n_best),
+                count_sum=total(count_sum),
+                groups=pa.array(groups, pa.string()),
             )
 
     return map_arrow(

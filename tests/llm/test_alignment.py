@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 from collections import Counter
 
 import numpy as np
@@ -70,7 +71,10 @@ def wanted(rows):
 
 
 def texts():
-    more = ["a▁b", "tab\tand\nline  two", "<s>x</s><unk>", "\u0000nul", "نص عربي", "\U0001f468‍\U0001f469", "é" * 500]
+    rng = random.Random(4)
+    odd = [" ", " ", "  ", "\n", " \n", "\n  ", "\t", "\u00a0", "\x1c", "\u3000", "'s", "'", "Word", "word", "12", "é", "日本", "--", "<s>", "▁"]
+    more = ["".join(rng.choices(odd, k=rng.randint(1, 14))) for _ in range(400)]
+    more += ["trailing ", " leading", "a \n b", "x\n  y", "tab \tz", "end\n", "a▁b", "tab\tand\nline  two", "<s>x</s><unk>", "\u0000nul", "نص عربي", "\U0001f468‍\U0001f469", "é" * 500]
     return [*odd_texts(), *more, *near_copies(groups=1, copies=5)]
 
 
@@ -125,8 +129,23 @@ def test_shards_are_read_anew_beyond_their_bound(spark, monkeypatch):
     counts, best = known.look_up(pairs)
     assert counts.tolist() == [r.n for r in rows] and best.tolist() == [r.best for r in rows]
     assert known.size <= 100 or len(known.held) == 1
-    with pytest.raises(KeyError):
-        known.look_up(np.array([(60_000 << 32) | 3], np.uint64))
+    counts, best = known.look_up(np.array([(60_000 << 32) | 3], np.uint64))
+    assert (counts[0], best[0]) == (0, False)
+
+
+def test_documents_that_change_between_the_passes_are_noticed(spark, tmp_path):
+    table = alignment.count_pairs(frame(spark, ["known words"]))
+    own, known = alignment.aligner(None), alignment.Shards(table.path)
+    own.forget()
+    own.numbers(["known other"])
+    assert known.of_parts(own.pairs, own.n_links)[2].tolist().count(0) == 1
+
+
+def test_parts_of_lost_texts_count_for_nothing_there(spark):
+    """A word that only a lost text has, and one that a later text has as well."""
+    rows = ["a▁b lonely shared", "shared word", "shared"]
+    found = {r.doc_id: tuple(r)[1:] for r in alignment.align(frame(spark, rows).coalesce(1)).collect()}
+    assert [found[i] for i in range(3)] == wanted(rows)[0]
 
 
 @pytest.mark.parametrize("n", [0, 1, 2, 63, 64, 65, 5000])
