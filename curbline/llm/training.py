@@ -13,6 +13,8 @@ from curbline.llm.common import fold, stored
 
 FOLDS = 5
 _UNIT = 1 << 30
+# Bytes of all texts that a model is fitted on, about.
+SAMPLE_BYTES = 48 << 20
 
 
 def held_out(key: str = "doc_id") -> Column:
@@ -35,15 +37,31 @@ def sampled(rows: DataFrame, label: str, most: int, seed: int) -> DataFrame:
     return rows.where(chance < F.coalesce(*rates[1:], rates[0]))
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int = 1):
-    """doc_id, text and label of a bounded sample of the labelled documents that may be learned
-    from. The chosen ids are stored, so that Spark knows their size when it joins them."""
+def labelled_ids(labels: DataFrame, label: str, most: int, seed: int = 1) -> DataFrame:
+    """doc_id and label, stored, of about ``most`` rows of each class that may be learned from."""
     known = labels.select(F.col("doc_id").cast("bigint"), F.col(label).cast("int").alias("label"))
     known = known.where(F.col("label").isin(0, 1) & ~held_out())
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
-    chosen = stored(sampled(known, "label", most, seed), f"sample-{label}")
+    return stored(sampled(known, "label", most, seed), f"sample-{label}")
+
+
+def thinned(rows: DataFrame, most_bytes: int = SAMPLE_BYTES, seed: int = 2) -> DataFrame:
+    """``rows`` with doc_id and text, or where the texts are larger than ``most_bytes`` together, as
+    large a part of them as is expected to fit, chosen by a hash of doc_id. Texts stay whole."""
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    if size <= most_bytes:
+        return rows
+    chance = F.pmod(F.xxhash64("doc_id", F.lit(seed)), F.lit(_UNIT))
+    return rows.where(chance < int(most_bytes / size * _UNIT))
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, label: str, most: int, seed: int = 1):
+    """doc_id, text and label of a sample of the labelled documents that may be learned from,
+    bounded in rows and in bytes. The chosen ids are stored, so that Spark knows their size when it
+    joins them."""
+    chosen = labelled_ids(labels, label, most, seed)
     texts = docs.select(F.col("doc_id").cast("bigint"), "text").where("text IS NOT NULL")
-    return texts.join(chosen, "doc_id")
+    return thinned(texts.join(chosen, "doc_id"))
 
 
 def hashed(names, bits: int) -> np.ndarray:

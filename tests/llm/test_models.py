@@ -220,32 +220,61 @@ def test_quality_machine_learns_an_interaction():
     assert 0 <= model.score(None) <= 1 and 0 <= model.score("") <= 1
 
 
-def test_label_model_finds_accuracies_and_discounts_repeats():
-    rng = np.random.default_rng(0)
-    y = rng.random(4000) < 0.3
-    good = [(np.where(y, 0.8, 0.01) > rng.random(4000)) for _ in range(3)]
-    noise = rng.random(4000) < 0.1
-    none = ~np.any(good, axis=0)
-    fired = np.array([*good, good[0], none, noise], float).T
-    model = toxicity.label_model(fired, 3)
-    assert ((model.posterior(fired) > 0.5) == y).mean() > 0.97
-    assert model.share[0] == pytest.approx(0.5, abs=0.1) and model.share[1] > 0.9
-    assert abs(np.log(model.fires[1, 5] / model.fires[0, 5])) < 0.5
+def planted_votes(copies=0, n=4000, seed=3):
+    """Votes of six voters on a hidden class, of which ``copies`` more repeat the worst."""
+    rng = np.random.default_rng(seed)
+    truth = rng.random(n) < 0.3
+    hits, slips = (0.6, 0.5, 0.55, 0.7, 0.5, 0.35), (0.02, 0.03, 0.02, 0.05, 0.04, 0.2)
+    fired = [rng.random(n) < np.where(truth, h, s) for h, s in zip(hits, slips, strict=True)]
+    fired += [fired[5] ^ (rng.random(n) < 0.01) for _ in range(copies)]
+    return truth, np.column_stack(fired), hits, slips
+
+
+def test_label_model_finds_accuracies():
+    truth, fired, hits, slips = planted_votes()
+    model = toxicity.label_model(fired, 5)
+    assert (model.parent == -1).sum() >= 5 and abs(model.prior - 0.3) < 0.05
+    assert np.abs(model.fires[1, 0] - hits).max() < 0.1
+    assert np.abs(model.fires[0, 0] - slips).max() < 0.05
+    assert ((model.posterior(fired) > 0.5) == truth).mean() > 0.95
+
+
+def test_label_model_fits_planted_correlations():
+    """Seven copies of a bad voter are linked in the tree, and count about once."""
+    truth, fired, *_ = planted_votes(copies=7)
+    model = toxicity.label_model(fired, 5)
+    copies = range(5, 13)
+    assert sum(model.parent[j] in copies for j in copies) == 7
+    assert all(model.parent[j] == -1 for j in range(5))
+    for j in copies:
+        if model.parent[j] >= 0:  # whether a copy fires says nothing once its parent is known
+            assert abs(np.log(model.fires[1, 1, j] / model.fires[0, 1, j])) < 0.05
+    alone = toxicity.label_model(fired[:, :6], 5).posterior(fired[:, :6])
+    assert np.abs(model.posterior(fired) - alone).mean() < 0.03
+    # Without the tree, they would outvote the others.
+    naive = toxicity.LabelModel(model.prior, np.full(13, -1), np.clip(
+        np.stack([np.stack([fired[truth == y].mean(0)] * 2) for y in (0, 1)]), 1e-4, 1))
+    assert ((model.posterior(fired) > 0.5) == truth).mean() > ((naive.posterior(fired) > 0.5) == truth).mean() + 0.005
 
 
 def test_toxicity_classifier_learns_stems():
     rng = random.Random(6)
     bland = [f"{a}{b}" for a in ("lo", "mi", "ta", "ne") for b in ("ra", "so", "ki", "bu", "de")]
-    texts, labels = [], []
-    for i in range(400):
+    rows = []
+    for i in range(600):
         own = [rng.choice(bland) for _ in range(20)]
         if i % 4 == 0:
             own.insert(3, rng.choice(["grumpo", "grumpi", "grumpa"]))
-        texts.append(" ".join(own))
-        labels.append(int(i % 4 == 0))
-    vocabularies = [toxicity.vocabulary_of(t) for t in texts]
-    posterior, voters = toxicity.posteriors(texts, vocabularies, labels)
-    model = toxicity.fit_classifier(vocabularies, posterior, voters)
+        label = int(i % 4 == 0) if i < 300 else None  # half of them without label
+        rows.append(toxicity.packed(" ".join(own)) | {"label": label})
+    sample = toxicity.Sample.of(rows)
+    names = {toxicity.place_of(n): n for w in ("grumpo", "grumpi", "grumpa", *bland) for n in toxicity.names_of(w)}
+    voters = toxicity.lexicons(toxicity.candidate_stems(sample), names)
+    assert voters and all(v[0].startswith("gru") for v in voters)
+    fired = toxicity.votes(sample, voters)
+    posterior = toxicity.label_model(fired, len(voters)).posterior(fired)
+    assert (posterior > 0.5).tolist() == [i % 4 == 0 for i in range(600)]
+    model = toxicity.fit_classifier(sample, posterior, voters)
     assert model.score("lora grumpu miso") > 0.5 > model.score("lora miso taki")
     assert 0 <= model.score(None) == model.score("") <= 1
 

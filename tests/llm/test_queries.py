@@ -34,6 +34,18 @@ def test_held_out_documents_are_classified_well(spark):
     assert len({r.doc_id for r in queries.op5_toxicity(spark, SF_DIR).collect()}) == len(langs)
 
 
+def test_toxic_documents_are_found_among_held_out_ones(spark):
+    """Every label of the fold that no model has seen; the larger table has more of them."""
+    folder = "/root/testdata/sf0.01"
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{folder}/labels.parquet").collect()}
+    found = [r for r in queries.op5_toxicity(spark, folder).collect() if r.held_out and r.doc_id in labels]
+    toxic, others = ([r for r in found if labels[r.doc_id] == k] for k in (1, 0))
+    ordered = [(t.score > o.score) + (t.score == o.score) / 2 for t in toxic for o in others]
+    assert sum(ordered) >= 0.98 * len(ordered) > 0
+    assert sum(r.predicted for r in toxic) >= 0.6 * len(toxic)
+    assert sum(r.predicted for r in others) <= 0.03 * len(others)
+
+
 def test_stages_keep_the_columns_and_take_effect(spark):
     """Each stage's rows are among its input's, and it drops what it should."""
     docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
