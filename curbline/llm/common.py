@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from curbline.session import keep
+from curbline import storage
+from curbline.session import fresh_path
 
 # The engine's definition of a word: a run of anything but a space, tab, LF, VT, FF or CR.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -76,7 +79,46 @@ def whole_rows(docs: DataFrame) -> DataFrame:
     return docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"))
 
 
+# Paths stored in each block of ``intermediates`` that is open, the innermost last.
+_blocks: ContextVar[tuple[list[str], ...]] = ContextVar("blocks", default=())
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """``rows`` written to the shared folder and read back: computed once, and there is
     nothing to recompute when an executor is lost."""
-    return keep(rows, f"llm-{name}")
+    return _stored(rows, name, _blocks.get()[-1:])
+
+
+def outcome(rows: DataFrame, name: str) -> DataFrame:
+    """``stored``, of what a block of ``intermediates`` leaves behind. It goes with the block around
+    that one, if there is one."""
+    return _stored(rows, name, _blocks.get()[-2:-1])
+
+
+def _stored(rows: DataFrame, name: str, block: tuple[list[str], ...]) -> DataFrame:
+    path = fresh_path(rows.sparkSession, f"llm-{name}")
+    rows.write.parquet(path)
+    for paths in block:
+        paths.append(path)
+    found = rows.sparkSession.read.schema(rows.schema).parquet(path)
+    found.stored_at = path
+    return found
+
+
+def discard(rows: DataFrame) -> None:
+    """Remove what ``stored`` has written, when nothing will read it again."""
+    storage.remove(rows.sparkSession, rows.stored_at)
+
+
+@contextmanager
+def intermediates(spark: SparkSession) -> Iterator[None]:
+    """A block after which all that was stored in it is removed. What comes out of it must be an
+    ``outcome``, which has been computed when the block ends."""
+    paths: list[str] = []
+    token = _blocks.set((*_blocks.get(), paths))
+    try:
+        yield
+    finally:
+        _blocks.reset(token)
+        for path in paths:
+            storage.remove(spark, path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import stored
+from curbline.llm.common import discard, stored
 
 MOST_ROUNDS = 60
 
@@ -40,7 +40,8 @@ def components(links: DataFrame) -> DataFrame:
                 )
             )
         )
-        edges = stored(small.where("u <> v").distinct(), "edges")
+        before_them, edges = edges, stored(small.where("u <> v").distinct(), "edges")
+        discard(before_them)
         after = _mark(edges)
         if after == before:
             break

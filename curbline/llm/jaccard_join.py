@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import batch, lower_words, map_arrow, stored
+from curbline.llm.common import batch, intermediates, lower_words, map_arrow, outcome, stored
 from curbline.llm.components import components
 
 SHINGLE = 5
@@ -499,6 +499,11 @@ def join(docs: DataFrame) -> DataFrame:
     one doc_id are one place in a component. An empty table gives no rows; columns besides
     doc_id and text are not read.
     """
+    with intermediates(docs.sparkSession):
+        return outcome(_joined(docs), "document-components")
+
+
+def _joined(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
     summary = stored(summarised(docs), "shingle-sets")

@@ -1,12 +1,15 @@
 """Removal of repeated lines over all documents, by an exact set-similarity join.
 
 A line is the set of its words. Words are ordered by rarity (their count in a table of fixed
-size, then their hash), and a line is indexed under the first few of that order: similar lines
-share one of those. Pairs that differ too much in size, or share a word too late in the order
+size, then their hash), and a line is known by the first few of that order, its prefix: similar lines
+share two words of theirs. So they share a rare word, under which lines are indexed, or two words that
+many prefixes have, under whose combination they are. (A line with many such words would have too
+many combinations. It is indexed under each, and the others then are as well, to be compared
+with such lines only.) Pairs that differ too much in size, or share a word too late in the order
 to have enough in common, go; for the others the Jaccard similarity is computed. A line that
 is similar to an earlier one (by document, then place) is removed.
 
-Equal lines collapse first. Where many lines share a word, all are compared with the earliest of
+Equal lines collapse first. Where many lines share a key, all are compared with the earliest of
 them; only those that this leaves are compared with the others. A large group of near
 copies thus costs one comparison for each member. All steps are built-in expressions.
 """
@@ -16,13 +19,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import stored, whole_rows
+from curbline.llm.common import discard, intermediates, outcome, stored, whole_rows
 from curbline.llm.rules import HAS_WORD, bound, word_list
 
 # Similar: 10 * intersection >= 9 * union.
 NUMERATOR, DENOMINATOR = 9, 10
 # All lines with a word take part; a caller can leave out those of fewer distinct words.
 LEAST_WORDS = 1
+# A word in more prefixes than this is indexed with others only, unless a line has more than FEW such.
+OFTEN, FEW = 16, 10
 SLOTS = 1 << 21
 HASH_BITS = 56
 BITMAP = 1 << 23
@@ -68,6 +73,7 @@ def least_shared(n: Column) -> Column:
 
 def keyed_lines(lines: DataFrame, ranks: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """Place, size, identity (two hashes of the whole set) and prefix of every line that takes part.
+    Two similar lines share two words at least of their prefixes.
 
     A set so small that one more word is too much difference is similar to equal ones only. Those
     share its identity, so it has an empty prefix and is not indexed.
@@ -88,7 +94,7 @@ def keyed_lines(lines: DataFrame, ranks: DataFrame, least_words: int = LEAST_WOR
     keyed = ranked.select(*PLACE, F.sort_array(bound(F.col("ranks"), keys)).alias("keys"))
     keyed = keyed.where(F.size("keys") >= least_words)
     n = F.size("keys")
-    length = F.when(DENOMINATOR * n >= NUMERATOR * (n + 1), n - least_shared(n) + 1).otherwise(0)
+    length = F.when(DENOMINATOR * n >= NUMERATOR * (n + 1), n - least_shared(n) + 2).otherwise(0)
     return keyed.select(
         *PLACE,
         n.alias("n"),
@@ -165,22 +171,76 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> Data
     return stored(found.select(*PLACE).distinct(), "similar-lines")
 
 
+ALONE, BOTH, LIGHT, HEAVY = 0, 1, 2, 3
+
+
+def index_of(classes: DataFrame) -> DataFrame:
+    """key, kind, place, n and at: how many words of the line come before the key's first word and are
+    not in a line that has this key as the first of its own.
+
+    ALONE: a rare word. BOTH: two frequent ones. LIGHT and HEAVY: a frequent one alone, of a line with
+    few or with many of them.
+    """
+    words = classes.select(*PLACE, "n", F.posexplode("prefix").alias("at", "word"))
+    counts = words.groupBy("word").agg(F.count("*").alias("lines")).where("lines > 1")
+    known = words.join(counts, "word").withColumn("frequent", F.col("lines") > OFTEN)
+    frequent = F.sort_array(F.collect_list(F.when(F.col("frequent"), F.struct("at", "word"))))
+    by_line = known.groupBy(*PLACE, "n").agg(
+        frequent.alias("frequent"),
+        F.sort_array(F.collect_list(F.when(~F.col("frequent"), F.struct("at", "word")))).alias("rare"),
+    )
+
+    def entry(kind, word, at):
+        return F.struct(F.lit(kind).alias("kind"), word.alias("key"), at.alias("at"))
+
+    def alone(kind):
+        return lambda x: entry(kind, x["word"], x["at"])
+
+    def pairs_with(x, i):
+        rest = F.slice("frequent", i + 2, F.size("frequent"))
+        return F.transform(rest, lambda y: entry(BOTH, F.xxhash64(x["word"], y["word"]), x["at"]))
+
+    light = F.concat(
+        F.flatten(F.transform("frequent", pairs_with)), F.transform("frequent", alone(LIGHT))
+    )
+    often = F.when(F.size("frequent") > FEW, F.transform("frequent", alone(HEAVY))).otherwise(light)
+    # Frequent words before the first rare one that two lines share may be shared as well.
+    rare = F.transform("rare", lambda x, i: entry(ALONE, x["word"], i))
+    entries = F.concat(rare, often)
+    return by_line.select(*PLACE, "n", F.inline(entries))
+
+
+def may_meet(kind: Column, other: Column) -> Column:
+    """Two light lines are compared by pairs of words."""
+    return (kind != LIGHT) | (other != LIGHT)
+
+
 def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id and line_no of the lines to remove, of those with ``least_words`` distinct words."""
     lines = lines_of(docs)
-    keyed = stored(keyed_lines(lines, rarities(lines), least_words), "keyed-lines")
+    ranks = rarities(lines)
+    keyed = stored(keyed_lines(lines, ranks, least_words), "keyed-lines")
+    discard(ranks)
     place = F.struct(*PLACE)
     classes = keyed.groupBy("h1", "h2").agg(
         F.min(place).alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
     classes = stored(classes.select("h1", "h2", "place.*", "n", "prefix"), "line-classes")
-    index = classes.select(*PLACE, "n", F.posexplode("prefix").alias("at", "key"))
-    earliest = F.min(F.struct(*PLACE, "n", "at")).alias("first")
-    keys = index.groupBy("key").agg(earliest, F.count("*").alias("lines")).where("lines > 1")
-    index = stored(index.join(keys, "key"), "line-index")
+    index = index_of(classes)
+    index = stored(index, "line-keys")
+    # A key of light lines alone leads to nothing.
+    earliest = F.min(F.struct(*PLACE, "n", "at", "kind")).alias("first")
+    keys = index.groupBy("key").agg(
+        earliest, F.count("*").alias("lines"), F.max(F.col("kind") != LIGHT).alias("useful")
+    )
+    keys = keys.where("lines > 1 AND useful").drop("useful")
+    whole, index = index, stored(index.join(keys, "key"), "line-index")
+    discard(whole)
     other = F.struct(*PLACE) != F.struct("first.doc_id", "first.line_no")
     starred = index.where(
-        other & may_be_similar(F.col("n"), F.col("at"), F.col("first.n"), F.col("first.at"))
+        other
+        & may_be_similar(F.col("n"), F.col("at"), F.col("first.n"), F.col("first.at"))
+        & may_meet(F.col("kind"), F.col("first.kind"))
     )
     pairs = starred.select(
         *PLACE, F.col("first.doc_id").alias("a_doc"), F.col("first.line_no").alias("a_line")
@@ -188,19 +248,23 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     found = similar_pairs(pairs.distinct(), docs, classes)
 
     left = index.where("lines > 2").where(other).join(found, PLACE, "left_anti")
-    left = left.select("key", *PLACE, "n", "at")
+    left = left.select("key", *PLACE, "n", "at", "kind")
     earlier = index.where("lines > 2").where(other).select(
         "key",
         F.col("doc_id").alias("a_doc"),
         F.col("line_no").alias("a_line"),
         F.col("n").alias("a_n"),
         F.col("at").alias("a_at"),
+        F.col("kind").alias("a_kind"),
     )
     before = F.struct("a_doc", "a_line") < F.struct(*PLACE)
     more = left.join(earlier, "key").where(
-        before & may_be_similar(F.col("n"), F.col("at"), F.col("a_n"), F.col("a_at"))
+        before
+        & may_be_similar(F.col("n"), F.col("at"), F.col("a_n"), F.col("a_at"))
+        & may_meet(F.col("kind"), F.col("a_kind"))
     )
     more = stored(more.select(*PLACE, "a_doc", "a_line").distinct(), "more-line-pairs")
+    discard(index)
     if not more.isEmpty():
         found = found.unionByName(similar_pairs(more, docs, classes)).distinct()
 
@@ -213,9 +277,10 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
 
 
 def removed_by_document(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
-    """doc_id and the sorted places of its removed lines, for documents that have any."""
+    """doc_id and the sorted places of its removed lines, stored, for documents that have any."""
     places = F.sort_array(F.collect_set("line_no")).alias("removed")
-    return removed_lines(docs, least_words).groupBy("doc_id").agg(places)
+    with intermediates(docs.sparkSession):
+        return outcome(removed_lines(docs, least_words).groupBy("doc_id").agg(places), "removed-lines")
 
 
 def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
@@ -225,7 +290,7 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     Rows with one doc_id are one document: a line goes from the same place of all of them. Columns
     besides doc_id and text are passed on. An empty table gives no rows.
     """
-    removed = stored(removed_by_document(docs, least_words), "removed-lines")
+    removed = removed_by_document(docs, least_words)
     same = F.col("row.doc_id").cast("bigint") == F.col("doc_id")
     joined = whole_rows(docs).join(removed, same, "left")
     parts = F.filter(
@@ -250,7 +315,7 @@ def report(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         F.col("doc_id").cast("bigint").alias("doc_id"),
         F.coalesce(F.size(lines), F.lit(0)).cast("bigint").alias("n_lines"),
     ).withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    removed = stored(removed_by_document(docs, least_words), "removed-lines")
+    removed = removed_by_document(docs, least_words)
     return counted.join(removed, "doc_id", "left").select(
         "doc_id",
         "n_lines",
@@ -267,29 +332,22 @@ WITH lines AS (
   FROM (SELECT CAST(doc_id AS BIGINT) AS doc_id, string_split(text, chr(10)) AS parts
         FROM documents WHERE doc_id IS NOT NULL)),
 worded AS (
-  SELECT doc_id, line_no, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS words
+  SELECT doc_id, line_no, CAST(doc_id AS HUGEINT) * 4294967296 + line_no AS spot,
+    list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS words
   FROM lines WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
-sets AS (
-  SELECT words, len(words) AS n, min(doc_id * 100000 + line_no) AS place
-  FROM worded WHERE len(words) >= 5 GROUP BY words),
-counts AS (SELECT word, count(*) AS c FROM (SELECT unnest(words) AS word FROM sets) GROUP BY word),
-ranked AS (
-  SELECT place, n, word, row_number() OVER (PARTITION BY place ORDER BY c, word) AS pos
-  FROM (SELECT place, n, unnest(words) AS word FROM sets) JOIN counts USING (word)),
-prefixes AS (SELECT * FROM ranked WHERE pos <= n - (9 * n + 9) // 10 + 1),
+sets AS (SELECT words, len(words) AS n, min(spot) AS place FROM worded GROUP BY words),
+-- A smaller set has no similar one but itself.
+members AS (SELECT place, n, unnest(words) AS word FROM sets WHERE n >= 9),
 pairs AS (
-  SELECT DISTINCT b.place AS later, a.place AS earlier
-  FROM prefixes a JOIN prefixes b ON a.word = b.word AND a.place < b.place
-    AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)),
-near AS (
-  SELECT DISTINCT later
-  FROM pairs JOIN sets a ON a.place = earlier JOIN sets b ON b.place = later
-  WHERE 10 * len(list_intersect(a.words, b.words))
-    >= 9 * (a.n + b.n - len(list_intersect(a.words, b.words)))),
+  SELECT b.place AS later, a.place AS earlier, a.n + b.n AS both_n, count(*) AS shared
+  FROM members a JOIN members b ON a.word = b.word AND a.place < b.place
+    AND 10 * least(a.n, b.n) >= 9 * greatest(a.n, b.n)
+  GROUP BY 1, 2, 3),
+near AS (SELECT DISTINCT later FROM pairs WHERE 10 * shared >= 9 * (both_n - shared)),
 removed AS (
   SELECT doc_id, line_no
   FROM worded JOIN sets USING (words) LEFT JOIN near ON later = place
-  WHERE later IS NOT NULL OR place <> doc_id * 100000 + line_no),
+  WHERE later IS NOT NULL OR place <> spot),
 listed AS (
   SELECT doc_id, count(*) AS n, string_agg(line_no, ',' ORDER BY line_no) AS removed_lines
   FROM removed GROUP BY doc_id),

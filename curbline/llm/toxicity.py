@@ -110,7 +110,7 @@ class Sample:
         bits = np.array([r["patterns"] for r in rows], np.int64)
         none = np.zeros(0, np.int32)
         return Sample(
-            np.repeat(np.arange(len(rows)), [len(p) for p in places]),
+            np.repeat(np.arange(len(rows), dtype=np.int32), [len(p) for p in places]),
             np.concatenate([none, *places]),
             np.concatenate([none, *counts]),
             np.array([r["size"] for r in rows], np.int64),
@@ -120,7 +120,8 @@ class Sample:
 
     def reaches(self, least: int, share: float) -> np.ndarray:
         """Which stems have a count that a voter with these limits asks for."""
-        return (self.count >= least) & (self.count >= share * self.size[self.text])
+        asked = np.maximum(least, share * self.size).astype(np.float32)
+        return self.count >= asked[self.text]
 
 
 def packed(text: str | None) -> dict:
@@ -188,9 +189,9 @@ def candidate_stems(sample: Sample, most: int = CANDIDATES) -> list[tuple]:
     """(worth, place, least count, least share of the distinct words) of the stems that could be
     voters, best first: of each stem's limits the one with the highest log-odds between the
     classes, weighed by the texts that reach it."""
-    toxic, other = (sample.label[sample.text] == k for k in (1, 0))
+    toxic, other = ((sample.label == k)[sample.text] for k in (1, 0))
     n_toxic, n_other = (max(1, int((sample.label == k).sum())) for k in (1, 0))
-    worth = np.zeros((len(LIMITS), 1 << BITS))
+    worth = np.zeros((len(LIMITS), 1 << BITS), np.float32)
     for i, limit in enumerate(LIMITS):
         reached = sample.reaches(*limit)
         n = np.bincount(sample.place[reached & toxic], minlength=1 << BITS)
@@ -199,7 +200,7 @@ def candidate_stems(sample: Sample, most: int = CANDIDATES) -> list[tuple]:
         worth[i] = np.where((n >= LEAST_TEXTS) & (odds > LEAST_ODDS), n * np.log(odds), 0)
     limits, best = worth.argmax(0), worth.max(0)
     order = np.argsort(-best, kind="stable")[:most]
-    return [(best[i], int(i), *LIMITS[limits[i]]) for i in order.tolist() if best[i] > 0]
+    return [(float(best[i]), i, *LIMITS[limits[i]]) for i in order.tolist() if best[i] > 0]
 
 
 def lexicons(candidates: list[tuple], names: dict[int, str], most: int = STEMS) -> list[tuple]:
@@ -379,7 +380,7 @@ def fit_classifier(sample: Sample, target: np.ndarray, voters: list[tuple], seed
     size, random = first + len(voters) + 1, np.random.default_rng(seed)
     z, n = np.zeros(size), np.zeros(size)
     fired, ends = lexicon_votes(sample, voters), np.searchsorted(sample.text, np.arange(len(target) + 1))
-    values = sample.count * word_value(sample.size)[sample.text]
+    values = sample.count * word_value(sample.size).astype(np.float32)[sample.text]
 
     def weights(at):
         lasso = np.sign(z[at]) * np.maximum(np.abs(z[at]) - np.where(at >= first, 0, L1), 0)
@@ -390,7 +391,7 @@ def fit_classifier(sample: Sample, target: np.ndarray, voters: list[tuple], seed
         for i in random.permutation(told):
             own, own_voters = slice(ends[i], ends[i + 1]), np.flatnonzero(fired[i])
             at = np.concatenate([sample.place[own], first + own_voters, [size - 1]])
-            x = np.concatenate([values[own], np.ones(len(own_voters) + 1)])
+            x = np.concatenate([values[own].astype(float), np.ones(len(own_voters) + 1)])
             w = weights(at)
             g = (float(sigmoid(w @ x)) - target[i]) * x
             grown = np.sqrt(n[at] + g * g)
@@ -429,6 +430,7 @@ def train(
     held = packed_rows(rows).collect()
     held.sort(key=lambda r: (r["doc_id"], r["places"]))
     sample = Sample.of(held)
+    del held  # the arrays are copies
     candidates = candidate_stems(sample)
     names = stem_names(rows.where("label = 1"), {c[1] for c in candidates}) if candidates else {}
     voters = lexicons(candidates, names)

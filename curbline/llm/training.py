@@ -14,7 +14,7 @@ from curbline.llm.common import fold, stored
 FOLDS = 5
 _UNIT = 1 << 30
 # Bytes of all texts that a model is fitted on, about.
-SAMPLE_BYTES = 48 << 20
+SAMPLE_BYTES = 24 << 20
 
 
 def held_out(key: str = "doc_id") -> Column:

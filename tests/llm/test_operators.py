@@ -56,7 +56,7 @@ def removed_by_hand(documents):
     for doc_id, text in sorted(documents):
         for at, line in enumerate((text or "").split("\n")):
             own = set(line.encode().split())
-            if len(own) >= 5:
+            if own:
                 lines.append((doc_id, at, own))
     return {
         (doc_id, at)
