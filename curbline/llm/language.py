@@ -35,7 +35,8 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def n_gram_counts(text: str | None) -> np.ndarray | None:
     """Counts of the hashed n-grams of the letters, words apart. None if there is no letter."""
-    if not text or not LETTER.search(text):
+    # Numbers such as ² and Ⅷ are among what the pattern finds, and no letters.
+    if not text or not any(found[0].isalpha() for found in LETTER.finditer(text)):
         return None
     letters = NOT_LETTERS.sub(" ", f" {text} ".lower())
     codes = np.frombuffer(letters.encode("utf-32-le", "replace"), np.uint32)

@@ -142,6 +142,8 @@ class Lattice:
         return total
 
 
+# Added to the flag of a text that is held out, where it has no doc_id.
+WITHOUT_ID = 2
 _MIX, _ONE = np.uint64(0x9E3779B97F4A7C15), np.uint64(1)
 
 
@@ -204,7 +206,8 @@ def groups_of_texts(docs: DataFrame) -> DataFrame:
         def group():
             nonlocal groups
             at = np.frombuffer(tokens, np.uint32)
-            training = np.repeat(np.frombuffer(held, np.uint8) == 0, np.frombuffer(sizes, np.int32))
+            learned = np.frombuffer(held, np.uint8) & 1 == 0
+            training = np.repeat(learned, np.frombuffer(sizes, np.int32))
             train = np.bincount(at[training], minlength=len(place)).astype(np.int32)
             out = batch(
                 grp=pa.array([(part << 32) + groups], pa.int64()),
@@ -218,7 +221,7 @@ def groups_of_texts(docs: DataFrame) -> DataFrame:
                 train=pa.ListArray.from_arrays(
                     pa.array([0, len(place)], pa.int32()), pa.array(train, pa.int32())
                 ),
-                train_docs=pa.array([len(held) - sum(held)], pa.int64()),
+                train_docs=pa.array([int(learned.sum())], pa.int64()),
             )
             groups += 1
             return out
@@ -228,8 +231,8 @@ def groups_of_texts(docs: DataFrame) -> DataFrame:
             for doc_id, is_held, text in zip(*columns, strict=True):
                 own = lower_words(text)
                 tokens.extend([place.setdefault(w, len(place)) for w in own])
-                doc_ids.append(doc_id)
-                held.append(is_held)
+                doc_ids.append(0 if doc_id is None else doc_id)
+                held.append(is_held + WITHOUT_ID * (doc_id is None))
                 sizes.append(len(own))
                 if len(place) >= GROUP_WORDS or len(tokens) >= GROUP_TOKENS:
                     yield group()
@@ -242,7 +245,7 @@ def groups_of_texts(docs: DataFrame) -> DataFrame:
         F.col("doc_id").cast("bigint"),
         F.coalesce(fold(FOLDS) == HELD_OUT, F.lit(False)).alias("held_out"),
         "text",
-    ).where("doc_id IS NOT NULL")
+    )
     return map_arrow(rows, run, GROUPS)
 
 
@@ -252,8 +255,8 @@ def score(docs: DataFrame, folder: str | None = None) -> DataFrame:
     A word of count c has probability (c + V * m) / (N + V), m being its sum over the
     segmentations, N the tokens and V the distinct tokens of the training texts; the end of a
     text is a token as well. Null and empty texts are an end alone. Repeated rows are scored,
-    and counted, as often as they come; rows without doc_id belong to no fold and are left out;
-    an empty table gives no rows.
+    and counted, as often as they come; rows without doc_id are not of the fold that is held out, so
+    they are scored and learned from like others; an empty table gives no rows.
     """
     groups = stored(groups_of_texts(docs), "word-groups")
     listed = groups.select("grp", F.posexplode(F.arrays_zip("words", "train")).alias("at", "w"))
@@ -312,8 +315,8 @@ def score(docs: DataFrame, folder: str | None = None) -> DataFrame:
                     for x in (base, mixed, (c > 0).astype(float))
                 ]
                 yield batch(
-                    doc_id=pa.array(doc_ids, pa.int64()),
-                    held_out=pa.array(held.astype(bool), pa.bool_()),
+                    doc_id=pa.array(doc_ids, pa.int64(), mask=held & WITHOUT_ID > 0),
+                    held_out=pa.array((held & 1).astype(bool), pa.bool_()),
                     n_tokens=pa.array(sizes + 1, pa.int64()),
                     n_known=pa.array(total[2].astype(np.int64), pa.int64()),
                     train_tokens=pa.array(np.full(len(sizes), n), pa.int64()),

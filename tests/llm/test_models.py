@@ -295,6 +295,8 @@ def test_language_model_is_sparse_and_calibrated():
     assert all(model.predict(t)[0] == lang for t, lang in texts)
     assert (model.weights == 0).mean() > 0.9
     assert model.predict("123 !?") == model.predict(None) == (language.UNKNOWN, 0.0)
+    assert model.predict("² ½ ① Ⅷ") == (language.UNKNOWN, 0.0)
+    assert model.predict("² der mit ung")[0] == "de"
 
 
 def test_n_grams_of_long_texts_do_not_depend_on_the_chunk(monkeypatch):

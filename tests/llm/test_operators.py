@@ -378,6 +378,13 @@ def test_scores_equal_counts_by_hand(spark, odd):
     assert rows[6].score == pytest.approx(rows[7].score)
 
 
+def test_rows_without_id_are_scored_and_counted(spark):
+    docs = frame(spark, ["known words here", "other words"]).selectExpr("IF(doc_id = 1, NULL, doc_id) doc_id", "text")
+    rows = sorted(lattice.score(docs).collect(), key=str)
+    assert {r.doc_id for r in rows} == {0, None}
+    assert all(r.train_tokens == 7 and not r.held_out and r.n_known == r.n_tokens for r in rows)
+
+
 def test_a_words_probability_is_its_counts_arc_and_the_lattices():
     base, mixed = lattice.log_probabilities(np.array([3, 0]), np.log([0.01, 0.02]), 10, 4)
     assert base == pytest.approx(np.log10([4 / 15, 1 / 15]))
