@@ -10,11 +10,11 @@ from it, it is judged like any other, and no near-duplicate is found for it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from curbline.llm import jaccard_join, language, line_dedup, packing, quality
-from curbline.llm.common import stored, table, whole_rows
+from curbline.llm.common import discard, intermediates, outcome, stored, table, whole_rows
 
 # Languages are kept when the prediction is one of those learned, and as sure as this.
 LEAST_LANGUAGE_SCORE = 0.5
@@ -45,15 +45,21 @@ def remove_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies: the one of the smallest doc_id. Of rows that
-    share a doc_id all or none stay."""
-    found = stored(jaccard_join.join(docs), "pipeline-components")
-    found = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(
-        F.min("component_id").alias("component_id")
-    )
+    share a doc_id one stays, the first in the order of texts."""
+    found = jaccard_join.join(docs).where("doc_id IS NOT NULL").groupBy("doc_id")
+    found = found.agg(F.min("component_id").alias("component_id"), F.count("*").alias("rows"))
+    found = stored(found, "pipeline-components")
     same = F.col("row.doc_id").cast("bigint") == F.col("doc_id")
     joined = whole_rows(docs).join(found, same, "left")
     first = F.col("component_id").isNull() | (F.col("component_id") == F.col("doc_id"))
-    return joined.where(first).select("row.*")
+    kept = joined.where(first)
+    if not found.where("rows > 1").isEmpty():
+        # Only rows of ids that come several times are numbered.
+        again = kept.where("rows > 1")
+        number = F.row_number().over(Window.partitionBy("doc_id").orderBy("row.text", F.xxhash64("row")))
+        again = again.withColumn("number", number).where("number = 1").drop("number")
+        kept = kept.where("rows IS NULL OR rows = 1").unionByName(again)
+    return kept.select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -69,14 +75,19 @@ STAGES = [
     ("packing", pack),
 ]
 
-# Classifiers and token ids are beyond SQL; tests compare the stages with brute force.
+# Classifiers and token ids are beyond SQL; a test compares all stages with plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. What a stage has stored, and its input, go when its output is written."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")
+        before = docs
+        with intermediates(spark):
+            docs = outcome(stage(spark, before, sf_dir), f"stage-{name}")
+        if name != STAGES[0][0]:
+            discard(before)
     return docs
 
 
