@@ -46,8 +46,11 @@ PARTITION_ENTRIES, HELD_ENTRIES = 500_000, 500_000
 # Documents of a frequent token that meet in one place at first.
 SALTED = 50_000
 BLOOM_BITS = 1 << 23
-# Rounds in which each large key meets one more of its nodes.
-PIVOT_ROUNDS = 3
+# In each round every large key meets one more of its nodes, until the pairs that are left are so many
+# a member of large keys at most, or a round has not left a quarter fewer.
+OPEN_PAIRS, LEAST_GAIN = 4, 0.25
+# Keys of a node that travel with each of its entries, at most.
+LISTED = 256
 MEMORY = 120_000
 _ODD = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
@@ -449,35 +452,51 @@ def pivot_pairs(labelled: DataFrame, used: DataFrame) -> tuple[DataFrame, DataFr
     return stored(pairs.distinct(), "pivot-pairs"), pivots.distinct()
 
 
+def open_pairs(labelled: DataFrame) -> tuple[int, int]:
+    """Members of large keys, and the pairs of a member and one outside its key's core."""
+    parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
+    keys = parts.groupBy("key").agg(F.sum("size").alias("members"), F.max("size").alias("core"))
+    pairs = F.col("members").cast("decimal(38,0)") * (F.col("members") - F.col("core"))
+    found = keys.agg(F.sum("members"), F.sum(pairs)).first()
+    return found[0] or 0, int(found[1] or 0)
+
+
 def unjoined_pairs(labelled: DataFrame) -> DataFrame:
     """Pairs of nodes of large keys that are still in different components.
 
     The component with most nodes of a key is its core; a pair has at least one node outside it.
-    Pairs that share too few large keys, even if they shared all their other keys, go.
+    A pair is met at each large key that it shares, and taken at the first of these in the order of
+    tokens only. There, what follows the key must suffice, and with all that they share else, the
+    two must have enough keys in common. Nodes bring the list of their keys along for that, unless
+    it is very long; pairs of such nodes are taken at every key at which what follows suffices.
     """
     parts = labelled.groupBy("key", "component").agg(F.count("*").alias("size"))
     core = F.max(F.struct("size", "component"))["component"].alias("core")
-    open_ = labelled.join(parts.groupBy("key").agg(core), "key")
-    mine = ["node", "n", "kind", "after", "component", "degree"]
+    # A combination comes before its first token alone.
+    ordered = F.sort_array(F.collect_list(F.struct(-F.col("after"), -F.col("kind"), "key")))
+    keys = F.transform(ordered, lambda x: x["key"])
+    lists = labelled.groupBy("node").agg(F.when(F.count("*") <= LISTED, keys).alias("keys"))
+    open_ = labelled.join(parts.groupBy("key").agg(core), "key").join(lists, "node")
+    open_ = stored(open_, "open-members")
+    mine = ["node", "n", "kind", "after", "component", "degree", "keys"]
     outside = open_.where("component <> core").select(
         "key", *(F.col(c).alias(f"o_{c}") for c in mine)
     )
-    both = open_.join(outside, "key").where("component <> o_component")
     once = (F.col("component") == F.col("core")) | (F.col("node") < F.col("o_node"))
     sizes = DENOMINATOR * F.least("n", "o_n") >= NUMERATOR * F.greatest("n", "o_n")
     needed = F.ceil(NUMERATOR * (F.col("n") + F.col("o_n")) / (NUMERATOR + DENOMINATOR))
-    # Of all keys that two nodes share, the first in the order of tokens passes this.
     enough = 1 + F.least("after", "o_after") >= needed
     kinds = (F.col("kind") != LIGHT) | (F.col("o_kind") != LIGHT)
-    counted = both.where(once & sizes).groupBy(
-        F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")
-    ).agg(
-        F.count("*").alias("shared"),
-        F.max(enough & kinds).alias("possible"),
-        F.first(least_common(F.col("n"), F.col("o_n")) - FEW).alias("needed"),
-        F.first(F.least(_others("n", "degree"), _others("o_n", "o_degree"))).alias("others"),
+    shared = F.array_intersect("keys", "o_keys")
+    others = F.least(_others("n", "degree"), _others("o_n", "o_degree"))
+    many = F.size(shared) + others >= least_common(F.col("n"), F.col("o_n")) - FEW
+    listed = F.col("keys").isNotNull() & F.col("o_keys").isNotNull()
+    first = ~listed | ((F.get(shared, F.lit(0)) == F.col("key")) & many)
+    both = open_.join(outside, "key").where(
+        (F.col("component") != F.col("o_component")) & once & sizes & enough & kinds & first
     )
-    return counted.where("possible AND shared + others >= needed").select("a", "b")
+    ends = F.least("node", "o_node").alias("a"), F.greatest("node", "o_node").alias("b")
+    return both.select(*ends).distinct()
 
 
 def _others(n: str, degree: str) -> Column:
@@ -543,16 +562,18 @@ def _joined(docs: DataFrame) -> DataFrame:
     tokens = sets_of(docs, ids.select("doc_id", "node"))
     links = stored(verified(pairs, tokens), "links")
     joined = components(links)
-    used = spark.createDataFrame([], "node bigint")
-    for _ in range(PIVOT_ROUNDS):
+    used, last = spark.createDataFrame([], "node bigint"), None
+    while True:
         labelled = labelled_members(large, joined)
-        if labelled.isEmpty():
+        members, left = open_pairs(labelled)
+        if left <= OPEN_PAIRS * members or last and left > (1 - LEAST_GAIN) * last:
             break
+        last = left
         pairs, pivots = pivot_pairs(labelled, used)
         used = stored(used.unionByName(pivots).distinct(), "pivots")
         links = stored(links.unionByName(verified(pairs, tokens)), "links")
         joined = components(links)
-    more = stored(unjoined_pairs(labelled_members(large, joined)), "more-pairs")
+    more = stored(unjoined_pairs(labelled), "more-pairs")
     if not more.isEmpty():
         links = links.unionByName(stored(verified(more, tokens), "more-links"))
         joined = components(links)
