@@ -26,8 +26,8 @@ from curbline.llm.rules import HAS_WORD, bound, word_list
 NUMERATOR, DENOMINATOR = 9, 10
 # All lines with a word take part; a caller can leave out those of fewer distinct words.
 LEAST_WORDS = 1
-# A word in more prefixes than this is indexed with others only, unless a line has more than FEW such.
-OFTEN, FEW = 16, 10
+# Words of this rank (of more than some 30 lines) are indexed in pairs, unless a line has more than FEW.
+OFTEN_RANK, FEW = 30, 10
 SLOTS = 1 << 21
 HASH_BITS = 56
 BITMAP = 1 << 23
@@ -144,19 +144,9 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> Data
         pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no"))
     )
     wanted = stored(wanted.distinct(), "wanted-lines")
-    bit = F.pmod(F.xxhash64(*PLACE), F.lit(BITMAP))
-    masks = wanted.select(F.floor(bit / 64).cast("int").alias("at"), (bit % 64).cast("int").alias("b"))
-    masks = masks.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("mask"))
-    every = wanted.sparkSession.range(BITMAP // 64).select(F.col("id").cast("int").alias("at"))
-    cell = F.struct("at", F.coalesce("mask", F.lit(0).cast("bigint")).alias("mask")).alias("x")
-    cells = every.join(masks, "at", "left").select(cell)
-    bitmap = cells.agg(
-        F.transform(F.sort_array(F.collect_list("x")), lambda x: x["mask"]).alias("bits")
-    )
-    bitmap = stored(bitmap, "line-bitmap")
-    lines = lines_of(docs).withColumn("bit", bit)
-    cell = F.get(bitmap.scalar(), F.floor(F.col("bit") / 64).cast("int"))
-    lines = lines.where(F.getbit(cell, (F.col("bit") % 64).cast("int")) == 1)
+    bits = bitmap_of(F.xxhash64(*PLACE), wanted, "line-bitmap")
+    lines = lines_of(docs).withColumn("bits", bits.scalar())
+    lines = lines.where(is_set(F.col("bits"), F.xxhash64(*PLACE)))
     texts = stored(
         lines.join(wanted, PLACE, "left_semi").select(*PLACE, word_set(F.col("line")).alias("words")),
         "line-words",
@@ -174,21 +164,43 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> Data
 ALONE, BOTH, LIGHT, HEAVY = 0, 1, 2, 3
 
 
+def bitmap_of(hashes: Column, rows: DataFrame, name: str) -> DataFrame:
+    """One row with an array of BITMAP bits in all, of which those of ``hashes`` are set."""
+    bit = F.pmod(hashes, F.lit(BITMAP))
+    masks = rows.select(F.floor(bit / 64).cast("int").alias("at"), (bit % 64).cast("int").alias("b"))
+    masks = masks.groupBy("at").agg(F.bit_or(F.expr("shiftleft(1L, b)")).alias("mask"))
+    every = rows.sparkSession.range(BITMAP // 64).select(F.col("id").cast("int").alias("at"))
+    cell = F.struct("at", F.coalesce("mask", F.lit(0).cast("bigint")).alias("mask")).alias("x")
+    cells = every.join(masks, "at", "left").select(cell)
+    bits = F.transform(F.sort_array(F.collect_list("x")), lambda x: x["mask"])
+    return stored(cells.agg(bits.alias("bits")), name)
+
+
+def is_set(bits: Column, hashes: Column) -> Column:
+    bit = F.pmod(hashes, F.lit(BITMAP))
+    cell = F.get(bits, F.floor(bit / 64).cast("int"))
+    return F.getbit(cell, (bit % 64).cast("int")) == 1
+
+
 def index_of(classes: DataFrame) -> DataFrame:
-    """key, kind, place, n and at: how many words of the line come before the key's first word and are
-    not in a line that has this key as the first of its own.
+    """key, kind, place, n and at (the place of the key's first word in the prefix).
 
     ALONE: a rare word. BOTH: two frequent ones. LIGHT and HEAVY: a frequent one alone, of a line with
-    few or with many of them.
+    few or with many of them. Which words are frequent is in their upper bits, and frequent ones come
+    last, so a line needs nothing but its prefix; a bitmap of the words of heavy lines spares most
+    light ones their entries alone.
     """
-    words = classes.select(*PLACE, "n", F.posexplode("prefix").alias("at", "word"))
-    counts = words.groupBy("word").agg(F.count("*").alias("lines")).where("lines > 1")
-    known = words.join(counts, "word").withColumn("frequent", F.col("lines") > OFTEN)
-    frequent = F.sort_array(F.collect_list(F.when(F.col("frequent"), F.struct("at", "word"))))
-    by_line = known.groupBy(*PLACE, "n").agg(
-        frequent.alias("frequent"),
-        F.sort_array(F.collect_list(F.when(~F.col("frequent"), F.struct("at", "word")))).alias("rare"),
-    )
+
+    def is_frequent(word):
+        return F.shiftrightunsigned(word, HASH_BITS) >= OFTEN_RANK
+
+    ranked = F.transform("prefix", lambda w, i: F.struct(w.alias("word"), i.alias("at")))
+    rare = F.filter(ranked, lambda x: ~is_frequent(x["word"]))
+    frequent = F.filter(ranked, lambda x: is_frequent(x["word"]))
+    own = classes.select(*PLACE, "n", rare.alias("rare"), frequent.alias("frequent"))
+    own = own.withColumn("heavy", F.size("frequent") > FEW)
+    heavy = own.where("heavy").select(F.explode(F.col("frequent.word")).alias("word"))
+    heavy = bitmap_of(F.col("word"), heavy, "heavy-words")
 
     def entry(kind, word, at):
         return F.struct(F.lit(kind).alias("kind"), word.alias("key"), at.alias("at"))
@@ -200,14 +212,14 @@ def index_of(classes: DataFrame) -> DataFrame:
         rest = F.slice("frequent", i + 2, F.size("frequent"))
         return F.transform(rest, lambda y: entry(BOTH, F.xxhash64(x["word"], y["word"]), x["at"]))
 
-    light = F.concat(
-        F.flatten(F.transform("frequent", pairs_with)), F.transform("frequent", alone(LIGHT))
-    )
-    often = F.when(F.size("frequent") > FEW, F.transform("frequent", alone(HEAVY))).otherwise(light)
-    # Frequent words before the first rare one that two lines share may be shared as well.
-    rare = F.transform("rare", lambda x, i: entry(ALONE, x["word"], i))
-    entries = F.concat(rare, often)
-    return by_line.select(*PLACE, "n", F.inline(entries))
+    def met_alone(bits):
+        return F.transform(F.filter("frequent", lambda x: is_set(bits, x["word"])), alone(LIGHT))
+
+    own = own.withColumn("bits", heavy.scalar())
+    light = F.concat(F.flatten(F.transform("frequent", pairs_with)), bound(F.col("bits"), met_alone))
+    often = F.when(F.col("heavy"), F.transform("frequent", alone(HEAVY))).otherwise(light)
+    entries = F.concat(F.transform("rare", alone(ALONE)), often)
+    return own.select(*PLACE, "n", F.inline(entries))
 
 
 def may_meet(kind: Column, other: Column) -> Column:
@@ -227,15 +239,13 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     )
     classes = stored(classes.select("h1", "h2", "place.*", "n", "prefix"), "line-classes")
     index = index_of(classes)
-    index = stored(index, "line-keys")
     # A key of light lines alone leads to nothing.
     earliest = F.min(F.struct(*PLACE, "n", "at", "kind")).alias("first")
     keys = index.groupBy("key").agg(
         earliest, F.count("*").alias("lines"), F.max(F.col("kind") != LIGHT).alias("useful")
     )
     keys = keys.where("lines > 1 AND useful").drop("useful")
-    whole, index = index, stored(index.join(keys, "key"), "line-index")
-    discard(whole)
+    index = stored(index.join(keys, "key"), "line-index")
     other = F.struct(*PLACE) != F.struct("first.doc_id", "first.line_no")
     starred = index.where(
         other
