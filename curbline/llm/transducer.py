@@ -16,8 +16,8 @@ import heapq
 import json
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
-from itertools import chain, pairwise
+from functools import lru_cache, partial
+from itertools import chain, islice, pairwise
 
 import pyarrow as pa
 import regex
@@ -30,6 +30,8 @@ from curbline.llm.vocabularies import vocabulary
 WORD_BPE = "word_bpe_49k.json"
 # Words up to this length are merged directly and remembered.
 SHORT = 48
+# Runs beyond so many characters come in parts of so many ids.
+LONG, PART_IDS = 1 << 16, 4096
 # Entries of each half of a worker's memory of words.
 MEMORY = 250_000
 # White space of the tokenizer's normalizer; Python's split also takes U+001C to U+001F.
@@ -239,38 +241,50 @@ class WordTokenizer:
         self.few.put(word, found)
         return found
 
-    def run_ids(self, run: str) -> list[int]:
-        """Ids of a run of characters without white space."""
+    def run_ids(self, run: str) -> Iterator[int]:
+        """Ids of a run of characters without white space, as they become stable."""
         # Lower case is taken by character, so a final sigma is an ordinary one.
         if run.isascii():
             run = run.lower()
         else:
             run = unicodedata.normalize("NFC", run).replace("Σ", "σ").lower()
         if run.isascii() and run.isalpha():
-            return list(self.word_ids(run))
-        return [i for word in self.words.findall(run) for i in self.word_ids(word)]
+            return iter(self.word_ids(run))
+        found = self.words.findall(run) if len(run) <= LONG else (m[0] for m in self.words.finditer(run))
+        return chain.from_iterable(map(self.word_ids, found))
 
     def recall(self, run: str) -> tuple[int, str, str]:
         """Number of ids, the ids and their tokens as text, of a run without white space."""
         found = self.runs.new.get(run) or self.runs.get(run)
         if found is None:
-            ids = self.run_ids(run)
+            ids = list(self.run_ids(run))
             found = len(ids), " ".join(map(str, ids)), self.decode(ids)
             if len(run) <= SHORT:
                 self.runs.put(run, found)
         return found
 
+    def known(self, runs: Iterable[str]) -> Iterator[tuple[int, str, str]]:
+        """``recall`` of each run; a very long one comes in parts, and only one is held."""
+        for run in runs:
+            if len(run) <= LONG:
+                yield self.recall(run)
+                continue
+            ids = self.run_ids(run)
+            while part := list(islice(ids, PART_IDS)):
+                yield len(part), " ".join(map(str, part)), self.decode(part)
+
     def pieces(self, text: str) -> Iterator[tuple[int, str, str]]:
-        """``recall`` of each run and each special token, in order."""
+        """Number of ids, ids and tokens of each run and each special token, in order."""
+        of = self.known if len(text) > LONG else partial(map, self.recall)
         if not ODD.search(text):
-            yield from map(self.recall, text.split())
+            yield from of(text.split())
             return
         at = 0
         for found in self.find_special.finditer(text):
-            yield from map(self.recall, filter(None, SPACE.split(text[at : found.start()])))
+            yield from of(filter(None, SPACE.split(text[at : found.start()])))
             yield 1, str(self.special[found[0]]), found[0]
             at = found.end()
-        yield from map(self.recall, filter(None, SPACE.split(text[at:])))
+        yield from of(filter(None, SPACE.split(text[at:])))
 
     def encode(self, text: str) -> list[int]:
         return [int(i) for _, ids, _ in self.pieces(text) for i in ids.split(" ")]
@@ -278,9 +292,13 @@ class WordTokenizer:
     def decode(self, ids: Iterable[int]) -> str:
         """The library's text of the ids: this vocabulary names no decoder, so the tokens as
         the vocabulary writes them, with a space between. Unknown ids are left out."""
-        machine, token = ByteToText(), self.token
-        data = b" ".join([token[i] for i in ids if i in token])
-        return machine.feed(data) + machine.feed(b"", last=True)
+        machine, token, out, gap = ByteToText(), self.token, [], b""
+        for i in ids:
+            if i in token:
+                out.append(machine.feed(gap + token[i]))
+                gap = b" "
+        out.append(machine.feed(b"", last=True))
+        return "".join(out)
 
     def decode_words(self, ids: Iterable[int]) -> str:
         """Plain text: bytes put together again, a space after each word."""

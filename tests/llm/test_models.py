@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import itertools
 import math
+import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -336,3 +338,31 @@ def test_words_split_at_ascii_blanks_only():
     assert words(text) == ["A b\x1cc d\x85e", "F", "g", "h", "i", "j", "Ä"]
     assert [w.decode() for w in lower_words("ÄB Ça")] == ["Äb", "Ça"]
     assert words(None) == words("") == lower_words(None) == []
+
+
+def test_long_runs_are_coded_in_constant_memory():
+    """Beside copies of the text itself: neither its ids nor its tokens are held together."""
+    coder = transducer.WordTokenizer(vocabulary(transducer.WORD_BPE))
+    text = "".join(random.Random(2).choices("abcdefghij0123456789é", k=300_000))
+    whole = Tokenizer.from_file(vocabulary(transducer.WORD_BPE)).encode(text, add_special_tokens=False)
+    tracemalloc.start()
+    count, digest = 0, hashlib.sha256()
+    for n, ids, decoded in coder.pieces(text):
+        assert n <= transducer.PART_IDS and len(decoded) < 100_000
+        digest.update((" " if count else "").encode() + ids.encode())
+        count += n
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert count == len(whole.ids)
+    assert digest.hexdigest() == hashlib.sha256(" ".join(map(str, whole.ids)).encode()).hexdigest()
+    assert peak < 16 * len(text)
+
+
+def test_tokens_are_decoded_one_by_one(monkeypatch):
+    fed, feed = [], transducer.ByteToText.feed
+    monkeypatch.setattr(transducer.ByteToText, "feed", lambda self, data, last=False: fed.append(data) or feed(self, data, last))
+    coder = transducer.WordTokenizer(vocabulary(transducer.WORD_BPE))
+    ids = coder.encode("several words here")
+    fed.clear()
+    assert coder.decode(ids) == Tokenizer.from_file(vocabulary(transducer.WORD_BPE)).decode(ids, skip_special_tokens=False)
+    assert len(fed) == len(ids) + 1

@@ -279,6 +279,48 @@ def test_the_order_of_rules_changes_no_verdict(spark):
     assert there == back == docs.where("x <= 4 AND id >= 9").count()
 
 
+def test_rules_are_tried_on_what_others_let_through(spark):
+    """A rule that fails on every text that it is tried on, behind one that rejects most of them."""
+    docs = frame(spark, ["short of words"] * 3 + ["some nine or more words are in this text here now"])
+    tried = rules.Rule("tried", F.when(F.col("text") != "", F.raise_error(F.col("text"))).cast("boolean"))
+    rejecting = rules.Rule("rejecting", F.col("text").contains("short"))
+    rows = rules.with_statistics(docs)
+    kept = rows.where("text LIKE 'short%'").select(rules.passes([rejecting, tried]).alias("kept"))
+    assert [r.kept for r in kept.collect()] == [False] * 3
+    with pytest.raises(Exception, match="some nine"):
+        rows.select(rules.passes([rejecting, tried])).collect()
+    with pytest.raises(Exception, match="short of words"):
+        rows.where("text LIKE 'short%'").select(rules.passes([tried, rejecting])).collect()
+
+
+def test_rules_with_costs_of_their_own(spark):
+    good = "a text of some ordinary words that nobody would want to reject at all"
+    texts = {
+        "digits": "12345678901234567890 " * 12,
+        "open_brackets": "several words ((((( " * 12,
+        "endless_word": good + " " + "qwertz" * 200,
+        "few_characters": "ab ba aab bab bba aba abb baa abab baba",
+        "shouting": "no!! way!! stop!! now!! go!! away!! be!! off!! run!! hide!!",
+        None: good,
+    }
+    rows = rules.with_statistics(frame(spark, list(texts.values())))
+    checks = rows.select("doc_id", *(F.coalesce(r.rejects, F.lit(False)).alias(r.name) for r in rules.default_rules()))
+    for row in checks.collect():
+        name = list(texts)[row.doc_id]
+        assert [n for n in texts if n and row[n]] == ([name] if name else [])
+
+
+def test_cost_is_a_rules_own(spark):
+    """Comparing statistics costs less than reading the text again and again."""
+    docs = frame(spark, [f"{i} " + "many words of a text " * 400 for i in range(300)])
+    rows = rules.stored(rules.with_statistics(docs), "rule-test").coalesce(1)
+    dear = F.lit(0)
+    for k in range(12):
+        dear = dear + F.regexp_count("text", F.lit(f"[a-z]{{{k + 2}}} "))
+    found = {r.name: cost for r, cost, _ in rules.measured(rows, [rules.Rule("dear", dear < 0), rules.Rule("cheap", F.col("n_words") < 3)])}
+    assert found["dear"] > 3 * found["cheap"]
+
+
 # ---------------------------------------------------------------------------
 # 7: embeddings
 # ---------------------------------------------------------------------------
