@@ -27,6 +27,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--zones", help="zone lookup CSV, for the gold stage")
     parser.add_argument("--format", default="parquet", dest="table_format")
     parser.add_argument("--max-files-per-trigger", type=int)
+    parser.add_argument("--archive", help="folder that landing files move to once they are taken")
     parser.add_argument(
         "--file-type",
         action="append",
@@ -62,6 +63,7 @@ def main(argv: list[str] | None = None) -> None:
         table_format=options.table_format,
         source_options={"maxFilesPerTrigger": str(limit)} if limit else {},
         file_columns=TRIP_COLUMNS | dict(pair.split("=", 1) for pair in options.file_type),
+        archive=options.archive,
     )
     lake.create(options.database_location)
     lake.use()

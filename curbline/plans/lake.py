@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from curbline.plans import bronze, gold, replay, reports, silver
 from curbline.schema import PICKUP, TRIP_COLUMNS
 from curbline.sources.files import read_trips, read_zone_lookup, table_stream
 from curbline.streaming import versions, windows
+from curbline.streaming.archive import archiving, offer_again
 from curbline.streaming.segments import Segments
 from curbline.streaming.tables import checkpoint_of, drain_to_table, table_folder
 
@@ -23,7 +25,8 @@ class Lake:
     """Names and paths of one installation. ``landing`` and the database lie on storage
     that every executor reaches. ``source_options`` limit what one micro-batch of the
     bronze and silver streams takes, as in ``{"maxFilesPerTrigger": "10000"}``.
-    ``file_columns`` are the types of landing files that others wrote."""
+    ``file_columns`` are the types of landing files that others wrote. Landing files that were taken
+    move to ``archive``, if it is given, and the bronze stream forgets them after a while."""
 
     spark: SparkSession
     database: str
@@ -31,6 +34,7 @@ class Lake:
     table_format: str = "parquet"
     source_options: Mapping[str, str] = field(default_factory=dict)
     file_columns: Mapping[str, str] = field(default_factory=lambda: dict(TRIP_COLUMNS))
+    archive: str | None = None
 
     @property
     def bronze(self) -> str:
@@ -85,14 +89,21 @@ class Lake:
         return replay.hour_batch_counts(self.spark, replay.day_folder(self.landing, day))
 
     def fill_bronze(self) -> None:
-        bronze.ingest(
+        """Take new landing files. With an archive, files whose times made the stream pass them over are
+        offered again and taken as well."""
+        archived = archiving(self.archive) if self.archive else {}
+        drain = partial(
+            bronze.ingest,
             self.spark,
             self.landing,
             self.bronze,
             file_columns=self.file_columns,
-            source_options=self.source_options,
+            source_options={**archived, **self.source_options},
             table_format=self.table_format,
         )
+        drain()
+        if self.archive and offer_again(self.spark, self.landing, checkpoint_of(self.spark, self.bronze)):
+            drain()
 
     def fill_silver(self) -> None:
         silver.refine_table(

@@ -52,6 +52,12 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(where, True)
 
 
+def touch(spark: SparkSession, path: str) -> None:
+    """Set a file's time to the present."""
+    system, where = _located(spark, path)
+    system.setTimes(where, spark.sparkContext._jvm.System.currentTimeMillis(), -1)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     system, where = _located(spark, path)
     opened = system.create(where, True)

@@ -26,6 +26,7 @@ from curbline.operators.refine import FLAG_COLUMNS, LATE_BY
 from curbline.operators.totals import select_kpis, total_names, total_up
 from curbline.schema import PICKUP
 from curbline.sources.files import NEVER_TOO_OLD
+from curbline.streaming.archive import one_spelling, taken_files
 
 MARKER = "_closes_windows"
 
@@ -122,11 +123,6 @@ def open_trip_windows(spark: SparkSession, checkpoint: str) -> DataFrame:
     return select_kpis(totals, ["window_start"], WINDOW_KPIS)
 
 
-def _one_spelling(path: Column) -> Column:
-    """Local paths are written with one slash after the scheme, or with three."""
-    return F.regexp_replace(path, "^file:/+", "file:/")
-
-
 def late_rows(
     rows: DataFrame, checkpoint: str, time: str, width: str = "1 hour", late_by: str = LATE_BY
 ) -> DataFrame:
@@ -138,12 +134,8 @@ def late_rows(
     closed windows with, so by the rows of the batches before that.
     """
     spark = rows.sparkSession
-    # A line for each file, and again in each file of the log that sums up earlier ones.
-    entry = F.from_json("value", "path string, batchId long").alias("entry")
-    log = spark.read.text(f"{checkpoint}/sources/0").where("value LIKE '{%'").select(entry)
-    path = _one_spelling(F.col("entry.path")).alias("_path")
-    taken = log.groupBy(path).agg(F.max("entry.batchId").alias("_batch"))
-    own = rows.withColumn("_file", _one_spelling(F.col("_metadata.file_path")))
+    taken = taken_files(spark, checkpoint).toDF("_path", "_batch")
+    own = rows.withColumn("_file", one_spelling(F.col("_metadata.file_path")))
     batches = own.join(taken, F.col("_file") == F.col("_path")).drop("_file", "_path")
     newest = batches.groupBy("_batch").agg(F.max(time).alias("_newest"))
     # One row for each batch.

@@ -17,6 +17,7 @@ from curbline.plans.lake import Lake
 from curbline.schema import PICKUP, TRIP_COLUMNS, TRIP_SCHEMA, conform
 from curbline.sources.files import file_stream
 from curbline.sources.samples import trips as sample_trips
+from curbline.streaming.archive import passed_over, taken_files
 from curbline.streaming.ingest import with_ingest_columns
 from curbline.streaming.tables import checkpoint_of, drain_to_table, table_folder
 from curbline.streaming.windows import (
@@ -303,6 +304,38 @@ def test_files_are_taken_however_old_they_are(spark, lake):
     assert spark.table(lake.bronze).count() == before + 2
 
 
+def test_taken_files_move_to_the_archive(spark, lake, tmp_path):
+    land_hours(lake)
+    archiving = Lake(spark, lake.database, lake.landing, archive=str(tmp_path / "archive"))
+    for hour in (7, 8, 9):
+        archiving.fill_bronze()
+        land(lake, hour, trip(VendorID=hour))
+    archiving.fill_bronze()
+    left, moved = (list(Path(p).rglob("*.parquet")) for p in (lake.landing, tmp_path / "archive"))
+    assert len(moved) >= 6 and len(left) + len(moved) == 9
+    assert spark.table(lake.bronze).count() == 9
+    assert taken_files(spark, checkpoint_of(spark, lake.bronze)).count() == 9
+
+
+def test_files_that_a_forgetful_stream_passes_over_are_caught_up(spark, lake, tmp_path):
+    """A late copy that kept its old time. Without the comparison it would be lost without an error."""
+    land_hours(lake)
+    archive = str(tmp_path / "archive")
+    archiving = Lake(spark, lake.database, lake.landing, archive=archive)
+    archiving.fill_bronze()
+    frame(spark, [trip(), trip()]).coalesce(1).write.parquet(f"{lake.landing}/late/hour_01")
+    old = time.time() - 90 * 86400
+    for path in Path(f"{lake.landing}/late").rglob("*"):
+        os.utime(path, (old, old))
+    checkpoint = checkpoint_of(spark, lake.bronze)
+    bronze.ingest(spark, lake.landing, lake.bronze, source_options={"maxFileAge": "30d"})
+    assert spark.table(lake.bronze).count() == 6
+    assert passed_over(spark, lake.landing, checkpoint).count() == 1
+    archiving.fill_bronze()
+    assert spark.table(lake.bronze).count() == 8
+    assert passed_over(spark, lake.landing, checkpoint).isEmpty()
+
+
 def test_trip_windows_equal_hourly_kpis_of_closed_hours(spark, lake):
     rows = sample_trips(spark, "/root/testdata/sf0.001")
     rows.write.parquet(f"{lake.landing}/hour_00")
