@@ -2,15 +2,14 @@
 
 A line is the set of its words. Words are ordered by rarity (their count in a table of fixed
 size, then their hash), and a line is known by the first few of that order, its prefix: similar lines
-share two words of theirs. So they share a rare word, under which lines are indexed, or two words that
-many prefixes have, under whose combination they are. (A line with many such words would have too
-many combinations. It is indexed under each, and the others then are as well, to be compared
-with such lines only.) Pairs that differ too much in size, or share a word too late in the order
-to have enough in common, go; for the others the Jaccard similarity is computed. A line that
+share two words of theirs, so a line is indexed under all words of its prefix but the last. Pairs that
+differ too much in size, or share a word too late in the order or too few words of their prefixes to
+have enough in common, go; for the others the Jaccard similarity is computed. A line that
 is similar to an earlier one (by document, then place) is removed.
 
-Equal lines collapse first. Where many lines share a key, all are compared with the earliest of
-them; only those that this leaves are compared with the others. A large group of near
+Equal lines collapse first. Where many lines share a word, all are compared with the earliest of
+them; only those that this leaves are compared with the others, and each pair at the first word that
+both share. Lines bring their prefixes along for that. A large group of near
 copies thus costs one comparison for each member. All steps are built-in expressions.
 """
 
@@ -26,8 +25,8 @@ from curbline.llm.rules import HAS_WORD, bound, word_list
 NUMERATOR, DENOMINATOR = 9, 10
 # All lines with a word take part; a caller can leave out those of fewer distinct words.
 LEAST_WORDS = 1
-# Words of this rank (of more than some 30 lines) are indexed in pairs, unless a line has more than FEW.
-OFTEN_RANK, FEW = 30, 10
+# Prefixes of up to so many words travel with each entry of the index.
+LISTED = 64
 SLOTS = 1 << 21
 HASH_BITS = 56
 BITMAP = 1 << 23
@@ -112,12 +111,20 @@ def may_be_similar(n: Column, at: Column, m: Column, other_at: Column) -> Column
     )
 
 
-def enough_in_common(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose prefixes share as many words as those of similar lines must.
+def least_of_prefixes() -> Column:
+    """How many words the prefixes of similar lines share at least.
 
     At most n less the least intersection of a line's words are not in the other line; the rest
     of the prefix that ends first in the order of words is in the other prefix as well.
     """
+    shared = F.ceil(NUMERATOR * (F.col("n") + F.col("m")) / (NUMERATOR + DENOMINATOR))
+    return F.least(
+        F.size("prefix") - (F.col("n") - shared), F.size("a_prefix") - (F.col("m") - shared)
+    )
+
+
+def enough_in_common(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs whose prefixes share as many words as those of similar lines must."""
     own = classes.select(*PLACE, "n", "prefix")
     other = classes.select(
         F.col("doc_id").alias("a_doc"),
@@ -126,20 +133,15 @@ def enough_in_common(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         F.col("prefix").alias("a_prefix"),
     )
     both = pairs.join(own, PLACE).join(other, ["a_doc", "a_line"])
-    shared = F.ceil(NUMERATOR * (F.col("n") + F.col("m")) / (NUMERATOR + DENOMINATOR))
-    least = F.least(
-        F.size("prefix") - (F.col("n") - shared), F.size("a_prefix") - (F.col("m") - shared)
-    )
-    found = both.where(F.size(F.array_intersect("prefix", "a_prefix")) >= least)
+    found = both.where(F.size(F.array_intersect("prefix", "a_prefix")) >= least_of_prefixes())
     return stored(found.select(pairs.columns), "close-line-pairs")
 
 
-def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> DataFrame:
+def similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     """Of the pairs (doc_id, line_no, a_doc, a_line), the later places of those that are similar.
 
     The words are read again, of the lines that a bitmap of fixed size does not rule out.
     """
-    pairs = enough_in_common(pairs, classes)
     wanted = pairs.select(*PLACE).unionByName(
         pairs.select(F.col("a_doc").alias("doc_id"), F.col("a_line").alias("line_no"))
     )
@@ -161,9 +163,6 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame, classes: DataFrame) -> Data
     return stored(found.select(*PLACE).distinct(), "similar-lines")
 
 
-ALONE, BOTH, LIGHT, HEAVY = 0, 1, 2, 3
-
-
 def bitmap_of(hashes: Column, rows: DataFrame, name: str) -> DataFrame:
     """One row with an array of BITMAP bits in all, of which those of ``hashes`` are set."""
     bit = F.pmod(hashes, F.lit(BITMAP))
@@ -182,51 +181,6 @@ def is_set(bits: Column, hashes: Column) -> Column:
     return F.getbit(cell, (bit % 64).cast("int")) == 1
 
 
-def index_of(classes: DataFrame) -> DataFrame:
-    """key, kind, place, n and at (the place of the key's first word in the prefix).
-
-    ALONE: a rare word. BOTH: two frequent ones. LIGHT and HEAVY: a frequent one alone, of a line with
-    few or with many of them. Which words are frequent is in their upper bits, and frequent ones come
-    last, so a line needs nothing but its prefix; a bitmap of the words of heavy lines spares most
-    light ones their entries alone.
-    """
-
-    def is_frequent(word):
-        return F.shiftrightunsigned(word, HASH_BITS) >= OFTEN_RANK
-
-    ranked = F.transform("prefix", lambda w, i: F.struct(w.alias("word"), i.alias("at")))
-    rare = F.filter(ranked, lambda x: ~is_frequent(x["word"]))
-    frequent = F.filter(ranked, lambda x: is_frequent(x["word"]))
-    own = classes.select(*PLACE, "n", rare.alias("rare"), frequent.alias("frequent"))
-    own = own.withColumn("heavy", F.size("frequent") > FEW)
-    heavy = own.where("heavy").select(F.explode(F.col("frequent.word")).alias("word"))
-    heavy = bitmap_of(F.col("word"), heavy, "heavy-words")
-
-    def entry(kind, word, at):
-        return F.struct(F.lit(kind).alias("kind"), word.alias("key"), at.alias("at"))
-
-    def alone(kind):
-        return lambda x: entry(kind, x["word"], x["at"])
-
-    def pairs_with(x, i):
-        rest = F.slice("frequent", i + 2, F.size("frequent"))
-        return F.transform(rest, lambda y: entry(BOTH, F.xxhash64(x["word"], y["word"]), x["at"]))
-
-    def met_alone(bits):
-        return F.transform(F.filter("frequent", lambda x: is_set(bits, x["word"])), alone(LIGHT))
-
-    own = own.withColumn("bits", heavy.scalar())
-    light = F.concat(F.flatten(F.transform("frequent", pairs_with)), bound(F.col("bits"), met_alone))
-    often = F.when(F.col("heavy"), F.transform("frequent", alone(HEAVY))).otherwise(light)
-    entries = F.concat(F.transform("rare", alone(ALONE)), often)
-    return own.select(*PLACE, "n", F.inline(entries))
-
-
-def may_meet(kind: Column, other: Column) -> Column:
-    """Two light lines are compared by pairs of words."""
-    return (kind != LIGHT) | (other != LIGHT)
-
-
 def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id and line_no of the lines to remove, of those with ``least_words`` distinct words."""
     lines = lines_of(docs)
@@ -238,45 +192,45 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         F.min(place).alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
     classes = stored(classes.select("h1", "h2", "place.*", "n", "prefix"), "line-classes")
-    index = index_of(classes)
-    # A key of light lines alone leads to nothing.
-    earliest = F.min(F.struct(*PLACE, "n", "at", "kind")).alias("first")
-    keys = index.groupBy("key").agg(
-        earliest, F.count("*").alias("lines"), F.max(F.col("kind") != LIGHT).alias("useful")
-    )
-    keys = keys.where("lines > 1 AND useful").drop("useful")
+    carried = F.when(F.size("prefix") <= LISTED, F.col("prefix")).alias("prefix")
+    words = F.slice("prefix", F.lit(1), F.greatest(F.size("prefix") - 1, F.lit(0)))
+    index = classes.select(*PLACE, "n", carried, F.posexplode(words).alias("at", "key"))
+    earliest = F.min(F.struct(*PLACE, "n", "at")).alias("first")
+    keys = index.groupBy("key").agg(earliest, F.count("*").alias("lines")).where("lines > 1")
     index = stored(index.join(keys, "key"), "line-index")
     other = F.struct(*PLACE) != F.struct("first.doc_id", "first.line_no")
     starred = index.where(
-        other
-        & may_be_similar(F.col("n"), F.col("at"), F.col("first.n"), F.col("first.at"))
-        & may_meet(F.col("kind"), F.col("first.kind"))
+        other & may_be_similar(F.col("n"), F.col("at"), F.col("first.n"), F.col("first.at"))
     )
     pairs = starred.select(
         *PLACE, F.col("first.doc_id").alias("a_doc"), F.col("first.line_no").alias("a_line")
     )
-    found = similar_pairs(pairs.distinct(), docs, classes)
+    found = similar_pairs(enough_in_common(pairs.distinct(), classes), docs)
 
     left = index.where("lines > 2").where(other).join(found, PLACE, "left_anti")
-    left = left.select("key", *PLACE, "n", "at", "kind")
+    left = left.select("key", *PLACE, "n", "at", "prefix")
     earlier = index.where("lines > 2").where(other).select(
         "key",
         F.col("doc_id").alias("a_doc"),
         F.col("line_no").alias("a_line"),
-        F.col("n").alias("a_n"),
+        F.col("n").alias("m"),
         F.col("at").alias("a_at"),
-        F.col("kind").alias("a_kind"),
+        F.col("prefix").alias("a_prefix"),
     )
     before = F.struct("a_doc", "a_line") < F.struct(*PLACE)
+    # The first word that two prefixes share is the last of neither, as there are two at least.
+    shared = F.array_intersect("prefix", "a_prefix")
+    here = (F.get(shared, F.lit(0)) == F.col("key")) & (F.size(shared) >= least_of_prefixes())
+    listed = F.col("prefix").isNotNull() & F.col("a_prefix").isNotNull()
     more = left.join(earlier, "key").where(
         before
-        & may_be_similar(F.col("n"), F.col("at"), F.col("a_n"), F.col("a_at"))
-        & may_meet(F.col("kind"), F.col("a_kind"))
+        & may_be_similar(F.col("n"), F.col("at"), F.col("m"), F.col("a_at"))
+        & (~listed | here)
     )
     more = stored(more.select(*PLACE, "a_doc", "a_line").distinct(), "more-line-pairs")
     discard(index)
     if not more.isEmpty():
-        found = found.unionByName(similar_pairs(more, docs, classes)).distinct()
+        found = found.unionByName(similar_pairs(more, docs)).distinct()
 
     near = found.select(*PLACE, F.lit(True).alias("near"))
     named = classes.join(near, PLACE, "left").select(
