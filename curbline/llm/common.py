@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
@@ -110,6 +111,13 @@ def discard(rows: DataFrame) -> None:
     storage.remove(rows.sparkSession, rows.stored_at)
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Let go of what nothing refers to any more. Spark then removes the shuffle files of finished steps
+    now, and not when a driver with much memory happens to need some."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 @contextmanager
 def intermediates(spark: SparkSession) -> Iterator[None]:
     """A block after which all that was stored in it is removed. What comes out of it must be an

@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import batch, intermediates, lower_words, map_arrow, outcome, stored
+from curbline.llm.common import batch, free_shuffles, intermediates, lower_words, map_arrow, outcome, stored
 from curbline.llm.components import components
 
 SHINGLE = 5
@@ -535,6 +535,7 @@ def _joined(docs: DataFrame) -> DataFrame:
     parts = max(8, -(-entries // PARTITION_ENTRIES))
     index = packed_index(docs.where("doc_id IS NOT NULL"), counts, parts)
     found = stored(index.groupBy("part").applyInArrow(candidates_of_part, FOUND), "candidates")
+    free_shuffles(spark)
     large = found.where("big").select(
         "key",
         F.col("a").alias("node"),
@@ -560,7 +561,9 @@ def _joined(docs: DataFrame) -> DataFrame:
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node"))
     ids = stored(nodes.join(wanted.distinct(), "node", "left_semi"), "wanted")
     tokens = sets_of(docs, ids.select("doc_id", "node"))
+    free_shuffles(spark)
     links = stored(verified(pairs, tokens), "links")
+    free_shuffles(spark)
     joined = components(links)
     used, last = spark.createDataFrame([], "node bigint"), None
     while True:
@@ -573,6 +576,7 @@ def _joined(docs: DataFrame) -> DataFrame:
         used = stored(used.unionByName(pivots).distinct(), "pivots")
         links = stored(links.unionByName(verified(pairs, tokens)), "links")
         joined = components(links)
+        free_shuffles(spark)
     more = stored(unjoined_pairs(labelled), "more-pairs")
     if not more.isEmpty():
         links = links.unionByName(stored(verified(more, tokens), "more-links"))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import discard, intermediates, outcome, stored, whole_rows
+from curbline.llm.common import discard, free_shuffles, intermediates, outcome, stored, whole_rows
 from curbline.llm.rules import HAS_WORD, bound, word_list
 
 # Similar: 10 * intersection >= 9 * union.
@@ -192,12 +192,15 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         F.min(place).alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
     )
     classes = stored(classes.select("h1", "h2", "place.*", "n", "prefix"), "line-classes")
-    carried = F.when(F.size("prefix") <= LISTED, F.col("prefix")).alias("prefix")
+    places = stored(keyed.select(*PLACE, "h1", "h2"), "line-places")
+    discard(keyed)
+    free_shuffles(docs.sparkSession)
     words = F.slice("prefix", F.lit(1), F.greatest(F.size("prefix") - 1, F.lit(0)))
-    index = classes.select(*PLACE, "n", carried, F.posexplode(words).alias("at", "key"))
+    index = classes.select(*PLACE, "n", F.posexplode(words).alias("at", "key"))
     earliest = F.min(F.struct(*PLACE, "n", "at")).alias("first")
     keys = index.groupBy("key").agg(earliest, F.count("*").alias("lines")).where("lines > 1")
     index = stored(index.join(keys, "key"), "line-index")
+    free_shuffles(docs.sparkSession)
     other = F.struct(*PLACE) != F.struct("first.doc_id", "first.line_no")
     starred = index.where(
         other & may_be_similar(F.col("n"), F.col("at"), F.col("first.n"), F.col("first.at"))
@@ -207,9 +210,13 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     )
     found = similar_pairs(enough_in_common(pairs.distinct(), classes), docs)
 
-    left = index.where("lines > 2").where(other).join(found, PLACE, "left_anti")
-    left = left.select("key", *PLACE, "n", "at", "prefix")
-    earlier = index.where("lines > 2").where(other).select(
+    carried = F.when(F.size("prefix") <= LISTED, F.col("prefix")).alias("prefix")
+    open_ = index.where("lines > 2").where(other).select("key", *PLACE, "n", "at")
+    open_ = stored(open_.join(classes.select(*PLACE, carried), PLACE), "open-lines")
+    discard(index)
+    free_shuffles(docs.sparkSession)
+    left = open_.join(found, PLACE, "left_anti")
+    earlier = open_.select(
         "key",
         F.col("doc_id").alias("a_doc"),
         F.col("line_no").alias("a_line"),
@@ -228,7 +235,7 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         & (~listed | here)
     )
     more = stored(more.select(*PLACE, "a_doc", "a_line").distinct(), "more-line-pairs")
-    discard(index)
+    discard(open_)
     if not more.isEmpty():
         found = found.unionByName(similar_pairs(more, docs)).distinct()
 
@@ -236,7 +243,7 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     named = classes.join(near, PLACE, "left").select(
         "h1", "h2", F.struct(*PLACE).alias("first"), F.coalesce("near", F.lit(False)).alias("near")
     )
-    all_lines = keyed.select(*PLACE, "h1", "h2").join(named, ["h1", "h2"])
+    all_lines = places.join(named, ["h1", "h2"])
     return all_lines.where(F.col("near") | (place != F.col("first"))).select(*PLACE).distinct()
 
 
