@@ -189,9 +189,12 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     discard(ranks)
     place = F.struct(*PLACE)
     classes = keyed.groupBy("h1", "h2").agg(
-        F.min(place).alias("place"), F.first("n").alias("n"), F.first("prefix").alias("prefix")
+        F.min(place).alias("place"),
+        F.count("*").alias("lines"),
+        F.first("n").alias("n"),
+        F.first("prefix").alias("prefix"),
     )
-    classes = stored(classes.select("h1", "h2", "place.*", "n", "prefix"), "line-classes")
+    classes = stored(classes.select("h1", "h2", "place.*", "lines", "n", "prefix"), "line-classes")
     places = stored(keyed.select(*PLACE, "h1", "h2"), "line-places")
     discard(keyed)
     free_shuffles(docs.sparkSession)
@@ -236,11 +239,14 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     )
     more = stored(more.select(*PLACE, "a_doc", "a_line").distinct(), "more-line-pairs")
     discard(open_)
+    free_shuffles(docs.sparkSession)
     if not more.isEmpty():
-        found = found.unionByName(similar_pairs(more, docs)).distinct()
+        found = stored(found.unionByName(similar_pairs(more, docs)).distinct(), "found-lines")
+        free_shuffles(docs.sparkSession)
 
     near = found.select(*PLACE, F.lit(True).alias("near"))
-    named = classes.join(near, PLACE, "left").select(
+    # Of a line that comes once and resembles none nothing goes.
+    named = classes.join(near, PLACE, "left").where("near OR lines > 1").select(
         "h1", "h2", F.struct(*PLACE).alias("first"), F.coalesce("near", F.lit(False)).alias("near")
     )
     all_lines = places.join(named, ["h1", "h2"])
