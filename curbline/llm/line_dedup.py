@@ -8,9 +8,10 @@ have enough in common, go; for the others the Jaccard similarity is computed. A
 is similar to an earlier one (by document, then place) is removed.
 
 Equal lines collapse first. Where many lines share a word, all are compared with the earliest of
-them; only those that this leaves are compared with the others, and each pair at the first word that
-both share. Lines bring their prefixes along for that. A large group of near
-copies thus costs one comparison for each member. All steps are built-in expressions.
+them; only those that this leaves are compared with the others. An entry of the index brings along what
+follows its word in the prefix, in 16 bits a word: at the first word that two similar lines share,
+these must have enough in common. A large group of near copies thus costs one comparison for each
+member. All steps are built-in expressions.
 """
 
 from __future__ import annotations
@@ -25,7 +26,8 @@ from curbline.llm.rules import HAS_WORD, bound, word_list
 NUMERATOR, DENOMINATOR = 9, 10
 # All lines with a word take part; a caller can leave out those of fewer distinct words.
 LEAST_WORDS = 1
-# Prefixes of up to so many words travel with each entry of the index.
+# Of prefixes of up to so many words, the rest travels with each entry of the index. Pairs with a
+# longer one are compared by whole prefixes.
 LISTED = 64
 SLOTS = 1 << 21
 HASH_BITS = 56
@@ -51,13 +53,14 @@ def word_hashes(line: Column) -> Column:
     return F.array_distinct(F.transform(word_list(line), lambda w: F.xxhash64(w)))
 
 
-def rarities(lines: DataFrame) -> DataFrame:
-    """One row with an array of SLOTS small numbers: the logarithm of how many lines have a word of
-    the slot."""
-    slot = F.pmod("word", F.lit(SLOTS)).cast("int").alias("slot")
-    found = lines.select(F.explode(word_hashes(F.col("line"))).alias("word")).groupBy(slot)
+def rarities(docs: DataFrame) -> DataFrame:
+    """One row with an array of SLOTS small numbers: the logarithm of how often the words of a slot
+    occur. It is 0 for a word that occurs once, which no two lines share."""
+    texts = docs.where("doc_id IS NOT NULL")
+    slot = F.pmod(F.xxhash64("word"), F.lit(SLOTS)).cast("int").alias("slot")
+    found = texts.select(F.explode(word_list(F.col("text"))).alias("word")).groupBy(slot)
     found = found.agg(F.count("*").alias("n"))
-    spark = lines.sparkSession
+    spark = docs.sparkSession
     every = spark.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
     rank = F.least(F.lit(127), F.floor(6 * F.log2(F.coalesce("n", F.lit(1))))).cast("tinyint")
     pairs = every.join(found, "slot", "left").select(F.struct("slot", rank.alias("r")).alias("x"))
@@ -111,20 +114,47 @@ def may_be_similar(n: Column, at: Column, m: Column, other_at: Column) -> Column
     )
 
 
-def least_of_prefixes() -> Column:
-    """How many words the prefixes of similar lines share at least.
+def least_of_prefixes(n: Column, m: Column) -> Column:
+    """How many words the prefixes of similar lines of n and m words share at least.
 
     At most n less the least intersection of a line's words are not in the other line; the rest
     of the prefix that ends first in the order of words is in the other prefix as well.
     """
-    shared = F.ceil(NUMERATOR * (F.col("n") + F.col("m")) / (NUMERATOR + DENOMINATOR))
-    return F.least(
-        F.size("prefix") - (F.col("n") - shared), F.size("a_prefix") - (F.col("m") - shared)
+    shared = F.ceil(NUMERATOR * (n + m) / (NUMERATOR + DENOMINATOR))
+    return shared + 2 - F.greatest(least_shared(n), least_shared(m))
+
+
+def index_of(classes: DataFrame) -> DataFrame:
+    """An entry for every word of each prefix but the last: key, place, n, at and ``rest``, 16 bits of
+    each word that follows in the prefix (null where that is long)."""
+    short = F.transform("prefix", lambda k: (k.bitwiseAND(F.lit(65535)) - 32768).cast("smallint"))
+    listed = classes.withColumn("short", F.when(F.size("prefix") <= LISTED, short))
+    words = F.slice("prefix", F.lit(1), F.greatest(F.size("prefix") - 1, F.lit(0)))
+    entries = listed.select(*PLACE, "n", "short", F.posexplode(words).alias("at", "key"))
+    # The rank is in the upper bits: words that occur once are left out.
+    entries = entries.where(F.col("key") >= F.lit(1 << HASH_BITS))
+    return entries.select(
+        "key", *PLACE, "n", "at", F.slice("short", F.col("at") + 2, F.lit(LISTED)).alias("rest")
     )
 
 
+def may_meet(n: Column, at: Column, rest: Column, m: Column, other_at: Column, other_rest: Column) -> Column:
+    """Whether the word that two entries share can be the first that two similar lines do.
+
+    What follows holds all other words that their prefixes share. Words that 16 bits do not tell
+    apart can only add to those.
+    """
+    shared = 1 + F.size(rest) - F.size(F.array_except(rest, other_rest))
+    enough = rest.isNull() | other_rest.isNull() | (shared >= least_of_prefixes(n, m))
+    return may_be_similar(n, at, m, other_at) & enough
+
+
 def enough_in_common(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """The pairs whose prefixes share as many words as those of similar lines must."""
+    """``pairs``, of which those that are not ``sure`` are held against their whole prefixes."""
+    sure = pairs.where("sure").drop("sure").distinct()
+    open_ = pairs.where("NOT sure").drop("sure").distinct()
+    if open_.isEmpty():
+        return sure
     own = classes.select(*PLACE, "n", "prefix")
     other = classes.select(
         F.col("doc_id").alias("a_doc"),
@@ -132,9 +162,10 @@ def enough_in_common(pairs: DataFrame, classes: DataFrame) -> DataFrame:
         F.col("n").alias("m"),
         F.col("prefix").alias("a_prefix"),
     )
-    both = pairs.join(own, PLACE).join(other, ["a_doc", "a_line"])
-    found = both.where(F.size(F.array_intersect("prefix", "a_prefix")) >= least_of_prefixes())
-    return stored(found.select(pairs.columns), "close-line-pairs")
+    both = open_.join(own, PLACE).join(other, ["a_doc", "a_line"])
+    shared = F.size(F.array_intersect("prefix", "a_prefix"))
+    found = both.where(shared >= least_of_prefixes(F.col("n"), F.col("m")))
+    return sure.unionByName(found.select(sure.columns))
 
 
 def similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
@@ -160,7 +191,11 @@ def similar_pairs(pairs: DataFrame, docs: DataFrame) -> DataFrame:
     shared = F.size(F.array_intersect("words", "a_words"))
     union = F.size("words") + F.size("a_words") - shared
     found = both.where(DENOMINATOR * shared >= NUMERATOR * union)
-    return stored(found.select(*PLACE).distinct(), "similar-lines")
+    found = stored(found.select(*PLACE).distinct(), "similar-lines")
+    for done in (wanted, bits, texts):
+        discard(done)
+    free_shuffles(docs.sparkSession)
+    return found
 
 
 def bitmap_of(hashes: Column, rows: DataFrame, name: str) -> DataFrame:
@@ -183,9 +218,8 @@ def is_set(bits: Column, hashes: Column) -> Column:
 
 def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """doc_id and line_no of the lines to remove, of those with ``least_words`` distinct words."""
-    lines = lines_of(docs)
-    ranks = rarities(lines)
-    keyed = stored(keyed_lines(lines, ranks, least_words), "keyed-lines")
+    ranks = rarities(docs)
+    keyed = stored(keyed_lines(lines_of(docs), ranks, least_words), "keyed-lines")
     discard(ranks)
     place = F.struct(*PLACE)
     classes = keyed.groupBy("h1", "h2").agg(
@@ -198,26 +232,25 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     places = stored(keyed.select(*PLACE, "h1", "h2"), "line-places")
     discard(keyed)
     free_shuffles(docs.sparkSession)
-    words = F.slice("prefix", F.lit(1), F.greatest(F.size("prefix") - 1, F.lit(0)))
-    index = classes.select(*PLACE, "n", F.posexplode(words).alias("at", "key"))
-    earliest = F.min(F.struct(*PLACE, "n", "at")).alias("first")
+
+    index = index_of(classes)
+    earliest = F.min(F.struct(*PLACE, "n", "at", "rest")).alias("first")
     keys = index.groupBy("key").agg(earliest, F.count("*").alias("lines")).where("lines > 1")
-    index = stored(index.join(keys, "key"), "line-index")
+    entry = [F.col(c) for c in ("n", "at", "rest")]
+    is_first = F.struct(*PLACE) == F.struct("first.doc_id", "first.line_no")
+    meets = may_meet(*entry, *(F.col(f"first.{c}") for c in ("n", "at", "rest")))
+    sure = F.col("rest").isNotNull() & F.col("first.rest").isNotNull()
+    star = F.when(meets, F.struct("first.doc_id", "first.line_no", sure.alias("sure"))).alias("star")
+    joined = index.join(keys, "key").where(~is_first & (meets | (F.col("lines") > 2)))
+    index = stored(joined.select("key", *PLACE, "n", "at", "rest", "lines", star), "line-index")
     free_shuffles(docs.sparkSession)
-    other = F.struct(*PLACE) != F.struct("first.doc_id", "first.line_no")
-    starred = index.where(
-        other & may_be_similar(F.col("n"), F.col("at"), F.col("first.n"), F.col("first.at"))
+    pairs = index.where("star IS NOT NULL").select(
+        *PLACE, F.col("star.doc_id").alias("a_doc"), F.col("star.line_no").alias("a_line"), "star.sure"
     )
-    pairs = starred.select(
-        *PLACE, F.col("first.doc_id").alias("a_doc"), F.col("first.line_no").alias("a_line")
-    )
-    found = similar_pairs(enough_in_common(pairs.distinct(), classes), docs)
+    pairs = stored(enough_in_common(pairs, classes), "close-line-pairs")
+    found = similar_pairs(pairs, docs)
 
-    carried = F.when(F.size("prefix") <= LISTED, F.col("prefix")).alias("prefix")
-    open_ = index.where("lines > 2").where(other).select("key", *PLACE, "n", "at")
-    open_ = stored(open_.join(classes.select(*PLACE, carried), PLACE), "open-lines")
-    discard(index)
-    free_shuffles(docs.sparkSession)
+    open_ = index.where("lines > 2").select("key", *PLACE, "n", "at", "rest")
     left = open_.join(found, PLACE, "left_anti")
     earlier = open_.select(
         "key",
@@ -225,21 +258,17 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         F.col("line_no").alias("a_line"),
         F.col("n").alias("m"),
         F.col("at").alias("a_at"),
-        F.col("prefix").alias("a_prefix"),
+        F.col("rest").alias("a_rest"),
     )
     before = F.struct("a_doc", "a_line") < F.struct(*PLACE)
-    # The first word that two prefixes share is the last of neither, as there are two at least.
-    shared = F.array_intersect("prefix", "a_prefix")
-    here = (F.get(shared, F.lit(0)) == F.col("key")) & (F.size(shared) >= least_of_prefixes())
-    listed = F.col("prefix").isNotNull() & F.col("a_prefix").isNotNull()
     more = left.join(earlier, "key").where(
-        before
-        & may_be_similar(F.col("n"), F.col("at"), F.col("m"), F.col("a_at"))
-        & (~listed | here)
+        before & may_meet(*entry, *(F.col(c) for c in ("m", "a_at", "a_rest")))
     )
-    more = stored(more.select(*PLACE, "a_doc", "a_line").distinct(), "more-line-pairs")
-    discard(open_)
+    sure = F.col("rest").isNotNull() & F.col("a_rest").isNotNull()
+    more = stored(more.select(*PLACE, "a_doc", "a_line", sure.alias("sure")).distinct(), "open-line-pairs")
+    discard(index)
     free_shuffles(docs.sparkSession)
+    more = stored(enough_in_common(more, classes), "more-line-pairs")
     if not more.isEmpty():
         found = stored(found.unionByName(similar_pairs(more, docs)).distinct(), "found-lines")
         free_shuffles(docs.sparkSession)
