@@ -96,6 +96,16 @@ def test_line_dedup_equals_pairs_by_hand(spark):
             assert i not in kept
 
 
+def test_line_dedup_of_prefixes_beyond_the_list(spark, monkeypatch):
+    """Entries without the rest of their prefix are compared by whole prefixes."""
+    texts = lines_corpus()
+    docs = frame(spark, texts)
+    monkeypatch.setattr(line_dedup, "LISTED", 2)
+    assert {tuple(r) for r in line_dedup.removed_lines(docs).collect()} == removed_by_hand(
+        list(enumerate(texts))
+    )
+
+
 def test_short_lines_are_deduplicated(spark):
     """Repeats of lines of few distinct words go, near copies of nine and ten words as well."""
     ten = "a b c d e f g h i j"
