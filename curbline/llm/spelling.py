@@ -49,14 +49,17 @@ def runs_of(doc_id: int | None, text: str | None, noise: int = NOISE) -> Counter
     if doc_id is None or not noise:
         return found
     start = crc32(f"{doc_id}:".encode())
-    for run, n in list(found.items()):
+    # Each occurrence loses a letter once: what a run becomes is not looked at again.
+    kept: Counter = Counter()
+    for run, n in found.items():
         h = crc32(run.encode(), start)
         if h % noise == 0:
-            del found[run]
             at = h % len(run)
             if len(run) > LEAST_LENGTH:
-                found[run[:at] + run[at + 1 :]] += n
-    return found
+                kept[run[:at] + run[at + 1 :]] += n
+        else:
+            kept[run] += n
+    return kept
 
 
 def word_counts(docs: DataFrame, noise: int = NOISE) -> DataFrame:

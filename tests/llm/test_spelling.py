@@ -110,6 +110,13 @@ def test_noise_takes_letters_out():
     assert spelling.runs_of(1, "letters", noise=0) == Counter(letters=1)
 
 
+def test_a_shortened_run_loses_no_second_letter():
+    """In document 588 both runs lose a letter; "letterso" becomes "letters", which stays whole."""
+    rows = [(588, "letterso letters " * 5)]
+    assert spelling.runs_of(*rows[0]) == Counter(letters=5, lettrs=5)
+    assert {r[0]: r[3] for r in by_hand(rows)} == {"letters": 5, "lettrs": 5}
+
+
 @pytest.mark.parametrize("seed", range(30))
 def test_pivots_are_the_rarest_disjoint_pair(seed):
     rng = random.Random(seed)
