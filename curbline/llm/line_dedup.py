@@ -249,6 +249,7 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     )
     pairs = stored(enough_in_common(pairs, classes), "close-line-pairs")
     found = similar_pairs(pairs, docs)
+    discard(pairs)
 
     open_ = index.where("lines > 2").select("key", *PLACE, "n", "at", "rest")
     left = open_.join(found, PLACE, "left_anti")
@@ -265,13 +266,21 @@ def removed_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
         before & may_meet(*entry, *(F.col(c) for c in ("m", "a_at", "a_rest")))
     )
     sure = F.col("rest").isNotNull() & F.col("a_rest").isNotNull()
-    more = stored(more.select(*PLACE, "a_doc", "a_line", sure.alias("sure")).distinct(), "open-line-pairs")
+    open_pairs = stored(more.select(*PLACE, "a_doc", "a_line", sure.alias("sure")).distinct(), "open-line-pairs")
     discard(index)
     free_shuffles(docs.sparkSession)
-    more = stored(enough_in_common(more, classes), "more-line-pairs")
+    more = stored(enough_in_common(open_pairs, classes), "more-line-pairs")
+    discard(open_pairs)
     if not more.isEmpty():
-        found = stored(found.unionByName(similar_pairs(more, docs)).distinct(), "found-lines")
+        again = similar_pairs(more, docs)
+        discard(more)
+        both = stored(found.unionByName(again).distinct(), "found-lines")
+        for done in (found, again):
+            discard(done)
+        found = both
         free_shuffles(docs.sparkSession)
+    else:
+        discard(more)
 
     near = found.select(*PLACE, F.lit(True).alias("near"))
     # Of a line that comes once and resembles none nothing goes.

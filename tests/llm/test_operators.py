@@ -123,6 +123,29 @@ def test_short_lines_are_deduplicated(spark):
     assert {tuple(r) for r in line_dedup.removed_lines(docs, 5).collect()} == {(1, 4)}
 
 
+def test_line_dedup_keeps_only_what_it_still_reads(spark, monkeypatch):
+    """Pairs are removed once their lines are compared; what is left is read by the result."""
+    live = {}
+    store, drop = line_dedup.stored, line_dedup.discard
+
+    def stored(rows, name):
+        found = store(rows, name)
+        live[found.stored_at] = name
+        return found
+
+    def discard(rows):
+        live.pop(rows.stored_at, None)
+        drop(rows)
+
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    monkeypatch.setattr(line_dedup, "discard", discard)
+    texts = lines_corpus()
+    with line_dedup.intermediates(spark):
+        found = line_dedup.removed_lines(frame(spark, texts))
+        assert set(live.values()) <= {"line-classes", "line-places", "similar-lines", "found-lines"}
+        assert {tuple(r) for r in found.collect()} == removed_by_hand(list(enumerate(texts)))
+
+
 # ---------------------------------------------------------------------------
 # 2: packing
 # ---------------------------------------------------------------------------
