@@ -28,7 +28,16 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from curbline.llm.common import batch, free_shuffles, intermediates, lower_words, map_arrow, outcome, stored
+from curbline.llm.common import (
+    batch,
+    discard,
+    free_shuffles,
+    intermediates,
+    lower_words,
+    map_arrow,
+    outcome,
+    stored,
+)
 from curbline.llm.components import components
 
 SHINGLE = 5
@@ -557,30 +566,46 @@ def _joined(docs: DataFrame) -> DataFrame:
     least = least_common(F.col("n_a"), F.col("n_b")) - FEW
     most = F.col("shared") + F.least("degree_a", "degree_b")
     pairs = stored(counted.where(most >= least).select("a", "b"), "pairs")
+    # Stored tables go once nothing reads them any more.
+    for done in (found, degrees):
+        discard(done)
 
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).union(large.select("node"))
     ids = stored(nodes.join(wanted.distinct(), "node", "left_semi"), "wanted")
     tokens = sets_of(docs, ids.select("doc_id", "node"))
+    discard(ids)
     free_shuffles(spark)
     links = stored(verified(pairs, tokens), "links")
+    discard(pairs)
     free_shuffles(spark)
     joined = components(links)
-    used, last = spark.createDataFrame([], "node bigint"), None
+    used, last, labelled = None, None, None
     while True:
-        labelled = labelled_members(large, joined)
+        before, labelled = labelled, labelled_members(large, joined)
+        if before is not None:
+            discard(before)
         members, left = open_pairs(labelled)
         if left <= OPEN_PAIRS * members or last and left > (1 - LEAST_GAIN) * last:
             break
         last = left
-        pairs, pivots = pivot_pairs(labelled, used)
-        used = stored(used.unionByName(pivots).distinct(), "pivots")
-        links = stored(links.unionByName(verified(pairs, tokens)), "links")
+        pairs, pivots = pivot_pairs(labelled, used or spark.createDataFrame([], "node bigint"))
+        before, used = used, stored((pivots if used is None else used.unionByName(pivots)).distinct(), "pivots")
+        if before is not None:
+            discard(before)
+        before, links = links, stored(links.unionByName(verified(pairs, tokens)), "links")
+        for done in (before, pairs):
+            discard(done)
         joined = components(links)
         free_shuffles(spark)
     more = stored(unjoined_pairs(labelled), "more-pairs")
+    for done in (labelled, large, *([used] if used is not None else [])):
+        discard(done)
     if not more.isEmpty():
-        links = links.unionByName(stored(verified(more, tokens), "more-links"))
-        joined = components(links)
+        extra = stored(verified(more, tokens), "more-links")
+        joined = components(links.unionByName(extra))
+        discard(extra)
+    for done in (more, tokens, links):
+        discard(done)
     # Nodes are named by their smallest document; a component by that of all its nodes.
     named = joined.join(nodes.select("node", "doc_id"), "node")
     smallest = named.groupBy("component").agg(F.min("doc_id").alias("component_id"))

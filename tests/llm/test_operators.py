@@ -408,6 +408,34 @@ def test_jaccard_join_equals_brute_force(spark):
     assert jaccard_join.join(docs.limit(0)).count() == 0
 
 
+def test_jaccard_join_keeps_only_what_it_still_reads(spark, monkeypatch):
+    """Candidates, pairs, token sets and links go once read; what is left is read by the result."""
+    live = {}
+    store, drop = jaccard_join.stored, jaccard_join.discard
+
+    def stored(rows, name):
+        found = store(rows, name)
+        live[found.stored_at] = name
+        return found
+
+    def discard(rows):
+        live.pop(rows.stored_at, None)
+        drop(rows)
+
+    monkeypatch.setattr(jaccard_join, "stored", stored)
+    monkeypatch.setattr(jaccard_join, "discard", discard)
+    texts = [*odd_texts(), *near_copies(seed=2), *near_copies(seed=3, groups=1, copies=60, edits=1)]
+    sets = [shingles(t) for t in texts]
+    least = smallest_reachable(
+        list(range(len(texts))),
+        lambda i, j: bool(sets[i]) and 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j]),
+    )
+    with jaccard_join.intermediates(spark):
+        found = jaccard_join._joined(frame(spark, texts).repartition(5))
+        assert set(live.values()) <= {"shingle-sets", "nodes", "open-members"}
+        assert {r.doc_id: r.component_id for r in found.collect()} == dict(enumerate(least))
+
+
 def test_frequent_tokens_are_combined():
     """Light documents index pairs of frequent tokens; the others stay as they are."""
     counts = np.zeros(jaccard_join.SLOTS, np.int64)
